@@ -12,7 +12,7 @@ from newsloom.plans.silver import ORDER, read_silver
 from newsloom.settings import staged
 from newsloom.sources.lake import Lake
 
-ARTICLES = "gold/articles"
+LAYER, ARTICLES = "gold", "articles"
 
 
 def gold_tables(articles: DataFrame, groups: DataFrame, generated_at: Column) -> dict[str, DataFrame]:
@@ -40,18 +40,16 @@ def build_gold(
         return 0
     tables = gold_tables(articles, groups, generated_at)
     for name, rows in tables.items():
-        lake.write_run(rows.coalesce(1), f"gold/{name}", run_id)
+        lake.write_run(rows.coalesce(1), LAYER, name, run_id)
     if copy_articles:
-        lake.write_run(articles, ARTICLES, run_id)
-        lake.publish(spark, ARTICLES, run_id)
-    for name in tables:
-        lake.publish(spark, f"gold/{name}", run_id)
+        lake.write_run(articles, LAYER, ARTICLES, run_id)
+    lake.publish(spark, LAYER, run_id)
     return len(tables)
 
 
 def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     """A Gold table, or no rows when it was never built."""
-    return lake.read_latest(spark, f"gold/{name}", schemas.GOLD_TABLES[name])
+    return lake.read_latest(spark, LAYER, name, schemas.GOLD_TABLES[name])
 
 
 def dashboard_extract(tables: dict[str, DataFrame], sample: DataFrame) -> DataFrame:
@@ -61,25 +59,29 @@ def dashboard_extract(tables: dict[str, DataFrame], sample: DataFrame) -> DataFr
     articles.
     """
 
-    def as_array(rows: DataFrame, name: str) -> DataFrame:
-        ranked = F.struct(*rows.columns)
-        return rows.agg(F.collect_list(ranked).alias(name)).withColumn("part", F.lit(1))
+    def as_array(rows: DataFrame, name: str, *order: Column, descending: bool = False) -> DataFrame:
+        keyed = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.struct(*rows.columns).alias("row"))
+        ordered = F.sort_array(F.collect_list(keyed), asc=not descending)
+        return rows.agg(F.transform(ordered, lambda k: k["row"]).alias(name)).withColumn("part", F.lit(1))
 
     summary = tables["summary_stats"]
     row = summary.select(F.struct(*summary.columns).alias("summary"), F.lit(1).alias("part"))
-    for name, key in (
-        ("articles_by_source", "by_source"),
-        ("articles_by_language", "by_language"),
-        ("articles_by_date", "by_date"),
-        ("top_keywords", "keywords"),
-    ):
-        row = row.join(as_array(tables[name], key), "part")
-    return row.join(as_array(sample, "articles"), "part").drop("part")
+    count, day = F.col("article_count"), F.col("date")
+    parts = [
+        as_array(tables["articles_by_source"], "by_source", -count, F.col("source")),
+        as_array(tables["articles_by_language"], "by_language", -count, F.col("language_code")),
+        as_array(tables["articles_by_date"], "by_date", day, descending=True),
+        as_array(tables["top_keywords"], "keywords", -F.col("frequency"), F.col("keyword")),
+        as_array(sample, "articles", *[F.col(c) for c in ORDER]),
+    ]
+    for part in parts:
+        row = row.join(part, "part")
+    return row.drop("part")
 
 
 def dashboard(spark: SparkSession, lake: Lake) -> DataFrame:
     names = ("summary_stats", "articles_by_source", "articles_by_language", "articles_by_date", "top_keywords")
     tables = {name: read_gold(spark, lake, name) for name in names}
     file, pos = ORDER
-    sample = sample_files(read_silver(spark, lake), file, pos).drop(file, pos)
+    sample = sample_files(read_silver(spark, lake), file, pos)
     return dashboard_extract(tables, sample)

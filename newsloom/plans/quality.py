@@ -13,7 +13,7 @@ from newsloom.settings import staged
 from newsloom.sources import lake as lakes
 from newsloom.sources.lake import Lake
 
-EVENTS = "streaming/article_events"
+EVENT_LAYER, EVENTS = "streaming", "article_events"
 STORED_EVENT = schemas.EVENT + ", sequence bigint"
 
 
@@ -55,7 +55,7 @@ def file_issues(spark: SparkSession, folder: str, layer: str, pattern: str = "*.
 
 
 def silver_issues(spark: SparkSession, lake: Lake) -> DataFrame:
-    present = lake.latest_run(spark, silver.TABLE) is not None
+    present = lake.latest_path(spark, silver.LAYER, silver.TABLE) is not None
     missing = _layer_issues(
         spark, ops.layer_issue(_flag(not present), "silver", "missing_data", ERROR, "No files found")
     )
@@ -66,15 +66,15 @@ def silver_issues(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def event_issues(spark: SparkSession, lake: Lake) -> DataFrame:
-    if not lakes.exists(spark, lake.path(EVENTS)):
+    if not lakes.exists(spark, lake.path(EVENT_LAYER)):
         return _layer_issues(
             spark, ops.layer_issue(_flag(True), "streaming", "missing_data", WARNING, "No event files found")
         )
-    if not lakes.exists(spark, lake.path(EVENTS, lakes.LATEST)):
+    if not lakes.exists(spark, lake.path(EVENT_LAYER, lakes.LATEST)):
         return _layer_issues(
             spark, ops.layer_issue(_flag(True), "streaming", "missing_latest", WARNING, "No latest snapshot")
         )
-    events = ops.first_events(lake.read_latest(spark, EVENTS, STORED_EVENT))
+    events = ops.first_events(lake.read_latest(spark, EVENT_LAYER, EVENTS, STORED_EVENT))
     empty = events.agg(F.count(F.lit(1)).alias("n")).select(
         F.inline(
             F.array(
@@ -89,7 +89,7 @@ def gold_issues(spark: SparkSession, lake: Lake) -> DataFrame:
     """Missing tables, empty tables, broken rows and an implausible summary."""
     flags, counted = [], []
     for name in schemas.GOLD_TABLES:
-        present = lake.latest_run(spark, f"gold/{name}") is not None
+        present = lake.latest_path(spark, gold.LAYER, name) is not None
         flags.append(
             ops.layer_issue(_flag(not present), "gold", "missing_file", ERROR, f"Missing table {name}")
         )

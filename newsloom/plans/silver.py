@@ -10,7 +10,7 @@ from newsloom.operators import articles as ops
 from newsloom.operators.ranking import keep_first_by_url
 from newsloom.sources.lake import Lake
 
-TABLE = "silver/articles"
+LAYER, TABLE = "silver", "articles"
 ORDER = ("file_name", "pos")
 STORED = schemas.SILVER_ARTICLE + ", file_name string, pos bigint, reason string"
 
@@ -58,13 +58,13 @@ def build_silver(spark: SparkSession, lake: Lake, run_id: str, processed_at: Col
     partition filter.
     """
     raw = lake.read_bronze(spark, schemas.BRONZE_ARTICLE)
-    lake.write_run(check_articles(raw, processed_at), TABLE, run_id, "reason")
-    lake.publish(spark, TABLE, run_id)
+    lake.write_run(check_articles(raw, processed_at), LAYER, TABLE, run_id, "reason")
+    lake.publish(spark, LAYER, run_id)
     return silver_stats(raw, read_checked(spark, lake)).first().asDict()
 
 
 def read_checked(spark: SparkSession, lake: Lake) -> DataFrame:
-    return lake.read_latest(spark, TABLE, STORED)
+    return lake.read_latest(spark, LAYER, TABLE, STORED)
 
 
 def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:

@@ -9,7 +9,8 @@ from newsloom import schemas
 from newsloom.functions import dates, text
 from newsloom.operators import events as event_ops
 from newsloom.plans import gold
-from newsloom.sources.lake import Lake
+from newsloom.settings import staged
+from newsloom.sources.lake import Lake, read_or_empty
 
 # The key of each table.
 KEYS = {
@@ -22,6 +23,8 @@ KEYS = {
     "warehouse_summary": "id",
 }
 EVENT_TABLE = "streaming_article_events"
+LAYER = "warehouse"
+REJECTED_DAYS = "rejected_days"
 _DAY = r"^\d{4}-\d{2}-\d{2}$"
 
 
@@ -91,8 +94,17 @@ def star_schema(gold_rows: dict[str, DataFrame], articles: DataFrame) -> dict[st
 
 
 def require_unique(rows: DataFrame, key: str, table: str) -> None:
-    """Fail the load when a key repeats; only the key is shuffled."""
-    repeated = rows.groupBy(key).count().filter(F.col("count") > 1).select(key).first()
+    """Fail the load when a key repeats.
+
+    Short hashes are grouped first: if none repeats, no key does. Only keys of
+    repeated hashes are then compared in full.
+    """
+    code = F.xxhash64(key)
+    repeated_codes = rows.groupBy(code.alias("code")).count().filter("count > 1").select("code")
+    if repeated_codes.isEmpty():
+        return
+    suspects = rows.select(key, code.alias("code")).join(repeated_codes, "code", "left_semi")
+    repeated = suspects.groupBy(key).count().filter("count > 1").select(key).first()
     if repeated is not None:
         raise ValueError(f"{table}: key {repeated[0]!r} is not unique")
 
@@ -103,18 +115,16 @@ def load_warehouse(spark: SparkSession, lake: Lake, run_id: str, loaded_at: Colu
     A failure before the end leaves the previous load in place.
     """
     gold_rows = {name: gold.read_gold(spark, lake, name) for name in schemas.GOLD_TABLES}
-    articles = lake.read_latest(spark, gold.ARTICLES, schemas.SILVER_ARTICLE)
+    articles = lake.read_latest(spark, gold.LAYER, gold.ARTICLES, schemas.SILVER_ARTICLE)
     tables = star_schema(gold_rows, articles)
+    tables[REJECTED_DAYS] = rejected_days(gold_rows["articles_by_date"])
     stamp = loaded_at.cast("timestamp_ntz").alias("loaded_at")
     for name, rows in tables.items():
-        lake.write_run(rows.select("*", stamp), f"warehouse/{name}", run_id)
-    lake.write_run(
-        rejected_days(gold_rows["articles_by_date"]).select("*", stamp), "warehouse/rejected_days", run_id
-    )
-    for name in tables:
-        require_unique(_read_run(spark, lake, name, run_id), KEYS[name], name)
-    for name in [*tables, "rejected_days"]:
-        lake.publish(spark, f"warehouse/{name}", run_id)
+        lake.write_run(rows.select("*", stamp), LAYER, name, run_id)
+    for name, key in KEYS.items():
+        schema = schemas.WAREHOUSE_TABLES[name]
+        require_unique(spark.read.schema(schema).parquet(lake.run_path(LAYER, name, run_id)), key, name)
+    lake.publish(spark, LAYER, run_id)
     return load_stats(gold_rows, articles)
 
 
@@ -140,14 +150,9 @@ def count_parts(parts: dict[str, DataFrame]) -> DataFrame:
     return counts
 
 
-def _read_run(spark: SparkSession, lake: Lake, name: str, run_id: str) -> DataFrame:
-    schema = schemas.WAREHOUSE_TABLES[name] + ", loaded_at timestamp_ntz"
-    return spark.read.schema(schema).parquet(lake.run_path(f"warehouse/{name}", run_id))
-
-
 def read_warehouse(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     schema = schemas.WAREHOUSE_TABLES[name] + ", loaded_at timestamp_ntz"
-    return lake.read_latest(spark, f"warehouse/{name}", schema)
+    return lake.read_latest(spark, LAYER, name, schema)
 
 
 def write_jdbc(rows: DataFrame, table: str, url: str, properties: dict[str, str], tasks: int = 16) -> None:
@@ -177,10 +182,7 @@ def upsert_events(spark: SparkSession, lake: Lake, events: DataFrame, batch_id:
     hold the same keys: that one is read, merged, staged and replaced, whatever
     the size of the table.
     """
-    from newsloom.settings import staged
-    from newsloom.sources.lake import read_or_empty
-
-    path = lake.path("warehouse", EVENT_TABLE)
+    path = lake.path(LAYER, EVENT_TABLE)
     known = read_or_empty(spark, path, schemas.WAREHOUSE_EVENT).filter(F.col("batch_id") == batch_id)
     merged = event_ops.upsert(known, event_ops.warehouse_events(events, loaded_at))
     staged(merged, "event-merge").write.partitionBy("batch_id").option(

@@ -2,9 +2,9 @@
 
 The base may be ``file:``, ``hdfs:``, ``s3a:`` or any other scheme Spark knows;
 no code depends on which.  Tables are Parquet, one folder per run.  A snapshot
-is written once; ``_latest`` beside it names the current run, and is written
-only after the run's rows are in place, so a failed run leaves the old snapshot
-current.  JSON array files of other producers can be read as well.
+is written once; ``_latest`` of its layer names the current run, and is written
+only after all tables of the run are in place, so a failed run leaves the old
+snapshot current.  JSON array files of other producers can be read as well.
 """
 
 from __future__ import annotations
@@ -19,14 +19,9 @@ LATEST = "_latest"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path can be read; one listing, no job."""
-    try:
-        spark.read.schema("value string").text(path)
-        return True
-    except AnalysisException as error:
-        if _is_missing(error):
-            return False
-        raise
+    """Whether a path is there; nothing below it is listed."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
 def _is_missing(error: AnalysisException) -> bool:
@@ -131,49 +126,56 @@ class Lake:
             "file_name", F.concat("source_key", F.lit("_"), F.col("run_id").cast("string"))
         ).drop("source_key", "run_id")
 
-    # Snapshots: history per run and a pointer to the latest one.
+    # Snapshots: a folder per run of a layer, and a pointer to the latest run.
 
-    def run_path(self, table: str, run_id: str) -> str:
-        return self.path(table, f"run_id={run_id}")
+    def run_path(self, layer: str, table: str, run_id: str) -> str:
+        return self.path(layer, f"run_id={run_id}", table)
 
-    def write_run(self, rows: DataFrame, table: str, run_id: str, *partitions: str) -> None:
-        """Write one run of a table; a repeated run replaces its own rows."""
+    def write_run(self, rows: DataFrame, layer: str, table: str, run_id: str, *partitions: str) -> None:
+        """Write one table of a run; a repeated run replaces its own rows."""
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partitions:
             writer = writer.partitionBy(*partitions)
-        writer.parquet(self.run_path(table, run_id))
+        writer.parquet(self.run_path(layer, table, run_id))
 
-    def publish(self, spark: SparkSession, table: str, run_id: str) -> None:
-        """Make a written run the latest snapshot."""
+    def publish(self, spark: SparkSession, layer: str, run_id: str) -> None:
+        """Make a written run the latest: all its tables become current at once."""
         pointer = spark.range(1, numPartitions=1).select(F.lit(run_id).alias("run_id"))
-        pointer.write.mode("overwrite").json(self.path(table, LATEST))
-
-    def write_snapshot(self, rows: DataFrame, table: str, run_id: str) -> None:
-        self.write_run(rows, table, run_id)
-        self.publish(rows.sparkSession, table, run_id)
+        pointer.write.mode("overwrite").json(self.path(layer, LATEST))
 
-    def latest_run(self, spark: SparkSession, table: str) -> str | None:
+    def latest_run(self, spark: SparkSession, layer: str) -> str | None:
         """Run named by the pointer, else the run of the newest file, else None."""
         try:
-            named = spark.read.schema("run_id string").json(self.path(table, LATEST)).first()
+            named = spark.read.schema("run_id string").json(self.path(layer, LATEST)).first()
             if named is not None and named.run_id:
                 return named.run_id
         except AnalysisException as error:
             if not _is_missing(error):
                 raise
-        if not exists(spark, self.path(table)):
+        if not exists(spark, self.path(layer)):
             return None
-        newest = newest_file(list_files(spark, self.path(table), "*.parquet")).first()
+        files = list_files(spark, self.path(layer), "*.parquet").filter(F.col("path").contains("run_id="))
+        newest = newest_file(files).first()
         if newest.path is None:
             return None
-        return newest.path.rsplit("run_id=", 1)[1].split("/", 1)[0]
+        return newest.path.split("run_id=", 1)[1].split("/", 1)[0]
 
-    def read_latest(self, spark: SparkSession, table: str, schema: str) -> DataFrame:
-        """Latest snapshot of a table, or no rows when there is none."""
-        run_id = self.latest_run(spark, table)
+    def latest_path(self, spark: SparkSession, layer: str, table: str) -> str | None:
+        """Path of a table of the latest run, or None when it is not there."""
+        run_id = self.latest_run(spark, layer)
+        if run_id is None:
+            return None
+        path = self.run_path(layer, table, run_id)
+        return path if exists(spark, path) else None
+
+    def read_latest(self, spark: SparkSession, layer: str, table: str, schema: str) -> DataFrame:
+        """A table of the latest run, or no rows when it is not there."""
+        run_id = self.latest_run(spark, layer)
         if run_id is None:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(self.run_path(table, run_id))
+        return read_or_empty(spark, self.run_path(layer, table, run_id), schema)
+
+    # Reports.
 
     def append_report(self, rows: DataFrame, name: str) -> None:
         rows.write.mode("append").json(self.path("reports", name))

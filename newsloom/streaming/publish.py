@@ -17,7 +17,7 @@ from newsloom import schemas
 from newsloom.operators.events import build_events
 from newsloom.operators.sequence import number_rows
 from newsloom.plans import gold, silver, warehouse
-from newsloom.plans.quality import EVENTS
+from newsloom.plans.quality import EVENT_LAYER, EVENTS
 from newsloom.sources.lake import Lake
 
 
@@ -29,11 +29,10 @@ def batch_events(articles: DataFrame, batch_id: str, event_time: Column) -> Data
 
 def latest_articles(spark: SparkSession, lake: Lake) -> DataFrame:
     """Latest Silver articles, else the copy kept in Gold."""
-    table = silver.TABLE if lake.latest_run(spark, silver.TABLE) is not None else gold.ARTICLES
-    stored = schemas.SILVER_ARTICLE + ", file_name string, pos bigint"
-    if table == silver.TABLE:
+    if lake.latest_path(spark, silver.LAYER, silver.TABLE) is not None:
         return silver.read_silver(spark, lake)
-    return lake.read_latest(spark, table, stored)
+    stored = schemas.SILVER_ARTICLE + ", file_name string, pos bigint"
+    return lake.read_latest(spark, gold.LAYER, gold.ARTICLES, stored)
 
 
 def publish_batch(spark: SparkSession, lake: Lake, batch_id: str, now: Column) -> dict:
@@ -42,12 +41,12 @@ def publish_batch(spark: SparkSession, lake: Lake, batch_id: str, now: Column) -
     The lake write is the commit point; a failing mirror is reported, not raised.
     """
     events = batch_events(latest_articles(spark, lake), batch_id, now)
-    lake.write_run(events, EVENTS, batch_id)
-    stored = spark.read.schema(events.schema).parquet(lake.run_path(EVENTS, batch_id))
+    lake.write_run(events, EVENT_LAYER, EVENTS, batch_id)
+    stored = spark.read.schema(events.schema).parquet(lake.run_path(EVENT_LAYER, EVENTS, batch_id))
     count = stored.count()
     if count == 0:
         raise RuntimeError("no articles to publish")
-    lake.publish(spark, EVENTS, batch_id)
+    lake.publish(spark, EVENT_LAYER, batch_id)
     try:
         warehouse.upsert_events(spark, lake, stored, batch_id, now)
         mirrored = True
@@ -57,8 +56,16 @@ def publish_batch(spark: SparkSession, lake: Lake, batch_id: str, now: Column) -
     return {"batch_id": batch_id, "event_count": count, "warehouse_loaded": mirrored}
 
 
-def read_article_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet") -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def read_article_stream(
+    spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet", batch_bytes: int = 1 << 40
+) -> DataFrame:
+    """Stream of the files of a folder, at most ``batch_bytes`` per micro-batch."""
+    return (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", pattern)
+        .option("maxBytesPerTrigger", str(batch_bytes))
+        .parquet(folder)
+    )
 
 
 def publish_stream(

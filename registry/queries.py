@@ -17,7 +17,7 @@ from newsloom.operators import aggregates, crawl, events, extraction, links, qua
 from newsloom.operators import articles as article_ops
 from newsloom.plans import gold, run, silver, warehouse
 from newsloom.plans import quality as quality_plan
-from newsloom.settings import fresh_folder
+from newsloom.settings import fresh_folder, staged
 from newsloom.sources import feeds, lake
 from newsloom.streaming import dedup, publish
 from registry.derived import articles, table
@@ -49,6 +49,11 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
     return article_ops.accepted(checked(spark, sf))
 
 
+def stored_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, written once for queries that read it several times."""
+    return staged(clean(spark, sf), "silver")
+
+
 def foreign_silver(spark: SparkSession, sf: str) -> DataFrame:
     """Raw articles taken as somebody else's Silver: every check can fire."""
     return raw(spark, sf).withColumn(
@@ -274,7 +279,7 @@ def sample_articles(spark, sf):
 @query
 def dashboard_extract(spark, sf):
     """The one-row extract, its arrays as counts and sample as joined URLs."""
-    rows = clean(spark, sf)
+    rows = stored_clean(spark, sf)
     tables = gold.gold_tables(rows, aggregates.article_groups(rows), F.lit(STAMP))
     by_file = rows.withColumn("file_name", lake.source_key(F.col("source")))
     sample = ranking.sample_files(by_file, "file_name", "pos")
@@ -340,7 +345,7 @@ def wh_summary(spark, sf):
 
 @query
 def load_stats(spark, sf):
-    rows = clean(spark, sf)
+    rows = stored_clean(spark, sf)
     return warehouse.count_parts(
         {
             "articles": rows,
@@ -405,8 +410,12 @@ def bronze_history(spark, sf):
 def latest_snapshot(spark, sf):
     """Two Silver runs; the later one is what is read."""
     made = new_lake(spark, "lake")
-    made.write_snapshot(checked(spark, sf), silver.TABLE, BATCH)
-    made.write_snapshot(clean(spark, sf).withColumn("reason", F.lit("ok")), silver.TABLE, NEXT_BATCH)
+    made.write_run(checked(spark, sf), silver.LAYER, silver.TABLE, BATCH, "reason")
+    made.publish(spark, silver.LAYER, BATCH)
+    made.write_run(
+        clean(spark, sf).withColumn("reason", F.lit("ok")), silver.LAYER, silver.TABLE, NEXT_BATCH, "reason"
+    )
+    made.publish(spark, silver.LAYER, NEXT_BATCH)
     return silver.read_checked(spark, made).select("pos", "url", "reason")
 
 
@@ -414,8 +423,11 @@ def latest_snapshot(spark, sf):
 def newest_run_without_pointer(spark, sf):
     """With no latest pointer the newest file decides."""
     made = new_lake(spark, "lake")
-    made.write_run(checked(spark, sf), silver.TABLE, BATCH)
-    made.write_run(clean(spark, sf).withColumn("reason", F.lit("ok")), silver.TABLE, NEXT_BATCH)
+    for run_id, rows in (
+        (BATCH, checked(spark, sf)),
+        (NEXT_BATCH, clean(spark, sf).withColumn("reason", F.lit("ok"))),
+    ):
+        made.write_run(rows, silver.LAYER, silver.TABLE, run_id, "reason")
     return silver.read_checked(spark, made).agg(F.count(F.lit(1)).alias("article_count"))
 
 
@@ -436,11 +448,13 @@ def lake_run(spark, sf):
     parts = {
         "bronze": made.read_bronze(spark, schemas.BRONZE_ARTICLE),
         "silver": silver.read_silver(spark, made),
-        "events": made.read_latest(spark, quality_plan.EVENTS, quality_plan.STORED_EVENT),
+        "events": made.read_latest(
+            spark, quality_plan.EVENT_LAYER, quality_plan.EVENTS, quality_plan.STORED_EVENT
+        ),
         "warehouse_events": lake.read_or_empty(
-            spark, made.path("warehouse", warehouse.EVENT_TABLE), schemas.WAREHOUSE_EVENT
+            spark, made.path(warehouse.LAYER, warehouse.EVENT_TABLE), schemas.WAREHOUSE_EVENT
         ),
-        "gold_articles": made.read_latest(spark, gold.ARTICLES, schemas.SILVER_ARTICLE),
+        "gold_articles": made.read_latest(spark, gold.LAYER, gold.ARTICLES, schemas.SILVER_ARTICLE),
     }
     for name in schemas.GOLD_TABLES:
         parts[name] = gold.read_gold(spark, made, name)
@@ -472,8 +486,9 @@ def build_events(spark, sf):
 @query
 def event_upsert(spark, sf):
     """A batch, then its replay with other titles together with a new batch."""
-    first = _events(spark, sf, BATCH)
-    replay = first.withColumn("title", F.upper("title")).unionByName(_events(spark, sf, NEXT_BATCH))
+    rows = stored_clean(spark, sf)
+    first = publish.batch_events(rows, BATCH, F.lit(STAMP))
+    replay = first.withColumn("title", F.upper("title")).unionByName(publish.batch_events(rows, NEXT_BATCH, F.lit(STAMP)))
     known = events.warehouse_events(first, F.lit("2026-05-06T12:00:00"))
     later = events.warehouse_events(replay, F.lit("2026-05-06T13:00:00"))
     return events.upsert(known, later)
@@ -483,12 +498,13 @@ def event_upsert(spark, sf):
 def event_upsert_stored(spark, sf):
     """The same through the stored event table, a partition per batch."""
     made = new_lake(spark, "lake")
-    first = _events(spark, sf, BATCH)
+    rows = stored_clean(spark, sf)
+    first = publish.batch_events(rows, BATCH, F.lit(STAMP))
     warehouse.upsert_events(spark, made, first, BATCH, F.lit("2026-05-06T12:00:00"))
     replay = first.withColumn("title", F.upper("title"))
     warehouse.upsert_events(spark, made, replay, BATCH, F.lit("2026-05-06T13:00:00"))
-    warehouse.upsert_events(spark, made, _events(spark, sf, NEXT_BATCH), NEXT_BATCH, F.lit("2026-05-06T13:00:00"))
-    return spark.read.schema(schemas.WAREHOUSE_EVENT).parquet(made.path("warehouse", warehouse.EVENT_TABLE))
+    warehouse.upsert_events(spark, made, publish.batch_events(rows, NEXT_BATCH, F.lit(STAMP)), NEXT_BATCH, F.lit("2026-05-06T13:00:00"))
+    return spark.read.schema(schemas.WAREHOUSE_EVENT).parquet(made.path(warehouse.LAYER, warehouse.EVENT_TABLE))
 
 
 @query
@@ -815,7 +831,7 @@ def dq_q1_q5_bronze_layer(spark, sf):
 def dq_q11_q12_event_layer(spark, sf):
     """An event layer that was written but never made the latest."""
     made = new_lake(spark, "lake")
-    made.write_run(_events(spark, sf, BATCH), quality_plan.EVENTS, BATCH)
+    made.write_run(_events(spark, sf, BATCH), quality_plan.EVENT_LAYER, quality_plan.EVENTS, BATCH)
     return quality_plan.event_issues(spark, made)
 
 
@@ -823,7 +839,7 @@ def dq_q11_q12_event_layer(spark, sf):
 def dq_q15_q19_gold_layer(spark, sf):
     """Gold with a table missing, one empty and one of broken rows."""
     made = new_lake(spark, "lake")
-    rows = clean(spark, sf)
+    rows = stored_clean(spark, sf)
     tables = gold.gold_tables(rows, rows, F.lit(STAMP))
     tables.pop("articles_by_date")
     tables["articles_by_category"] = tables["articles_by_category"].limit(0)
@@ -831,16 +847,18 @@ def dq_q15_q19_gold_layer(spark, sf):
         "source", F.when(~F.col("source").startswith("src"), F.col("source"))
     )
     for name, table_rows in tables.items():
-        made.write_snapshot(table_rows.coalesce(1), f"gold/{name}", BATCH)
+        made.write_run(table_rows.coalesce(1), gold.LAYER, name, BATCH)
+    made.publish(spark, gold.LAYER, BATCH)
     return quality_plan.gold_issues(spark, made)
 
 
 @query
 def dq_q16_q17_summary(spark, sf):
-    empty = aggregates.summary_stats(clean(spark, sf).limit(0)).withColumn(
+    rows = stored_clean(spark, sf)
+    empty = aggregates.summary_stats(rows.limit(0)).withColumn(
         "generated_at", F.lit(None).cast("string")
     )
-    full = aggregates.summary_stats(clean(spark, sf)).withColumn("generated_at", F.lit(STAMP))
+    full = aggregates.summary_stats(rows).withColumn("generated_at", F.lit(STAMP))
     both = empty.unionByName(full)
     return quality.count_violations(both, quality.summary_checks(both))
 
