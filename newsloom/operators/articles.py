@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,16 +14,27 @@ MIN_TITLE = 5
 MIN_CONTENT = 50
 
 
+@cache
+def _clean_texts() -> Column:
+    """Title, author, category and content, cleaned. Built once: it is long."""
+    return F.transform(F.array("title", "author", "category", "content"), text.normalize_text)
+
+
+@cache
+def _clean_date() -> Column:
+    return dates.normalize_date(F.col("publication_date"), F.col("scraped_at"))
+
+
 def clean(raw: DataFrame, processed_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """Silver columns of each raw article; ``keep`` names extra columns to carry.
 
     ``inline`` binds the cleaned values to columns, so that later filters read
     them instead of repeating the cleaning in the filter and in the output.
     """
-    texts = F.transform(F.array("title", "author", "category", "content"), text.normalize_text)
-    date = dates.normalize_date(F.col("publication_date"), F.col("scraped_at"))
     bound = raw.select(
-        F.inline(F.array(F.struct(texts.alias("texts"), date.alias("publication_date")))),
+        F.inline(
+            F.array(F.struct(_clean_texts().alias("texts"), _clean_date().alias("publication_date")))
+        ),
         F.coalesce("source", F.lit("")).alias("source"),
         F.coalesce("url", F.lit("")).alias("url"),
         "language",
@@ -56,6 +69,7 @@ def clean(raw: DataFrame, processed_at: Column, keep: tuple[str, ...] = ()) -> D
     )
 
 
+@cache
 def rejection_reason() -> Column:
     """First failing rule of a cleaned article, or ``ok``."""
     return (

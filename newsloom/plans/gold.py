@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsloom import schemas
 from newsloom.operators import aggregates
 from newsloom.operators.ranking import sample_files
+from newsloom.operators.rows import one_row
 from newsloom.plans.silver import ORDER, read_silver
 from newsloom.settings import staged
 from newsloom.sources.lake import Lake
@@ -62,21 +63,18 @@ def dashboard_extract(tables: dict[str, DataFrame], sample: DataFrame) -> DataFr
     def as_array(rows: DataFrame, name: str, *order: Column, descending: bool = False) -> DataFrame:
         keyed = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.struct(*rows.columns).alias("row"))
         ordered = F.sort_array(F.collect_list(keyed), asc=not descending)
-        return rows.agg(F.transform(ordered, lambda k: k["row"]).alias(name)).withColumn("part", F.lit(1))
+        return rows.agg(F.transform(ordered, lambda k: k["row"]).alias(name))
 
     summary = tables["summary_stats"]
-    row = summary.select(F.struct(*summary.columns).alias("summary"), F.lit(1).alias("part"))
     count, day = F.col("article_count"), F.col("date")
-    parts = [
+    return one_row(
+        summary.select(F.struct(*summary.columns).alias("summary")),
         as_array(tables["articles_by_source"], "by_source", -count, F.col("source")),
         as_array(tables["articles_by_language"], "by_language", -count, F.col("language_code")),
         as_array(tables["articles_by_date"], "by_date", day, descending=True),
         as_array(tables["top_keywords"], "keywords", -F.col("frequency"), F.col("keyword")),
         as_array(sample, "articles", *[F.col(c) for c in ORDER]),
-    ]
-    for part in parts:
-        row = row.join(part, "part")
-    return row.drop("part")
+    )
 
 
 def dashboard(spark: SparkSession, lake: Lake) -> DataFrame:

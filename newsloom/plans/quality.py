@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsloom import schemas
 from newsloom.operators import quality as ops
 from newsloom.operators.quality import ERROR, WARNING
+from newsloom.operators.rows import one_row
 from newsloom.plans import gold, silver, warehouse
 from newsloom.settings import staged
 from newsloom.sources import lake as lakes
@@ -168,14 +169,12 @@ def quality_report(issues: DataFrame, samples: DataFrame | None, generated_at: C
     fired = issues.filter("violations > 0").agg(
         F.sort_array(F.collect_list(F.struct("layer", "type", "message", "severity", "violations"))).alias("issues")
     )
-    row = ops.score_issues(issues).withColumn("part", F.lit(1))
-    row = row.join(fired.withColumn("part", F.lit(1)), "part")
+    parts = [ops.score_issues(issues), fired]
     if samples is not None:
-        listed = samples.agg(
-            F.collect_list(F.struct("layer", "type", "message", "severity")).alias("samples")
+        parts.append(
+            samples.agg(F.collect_list(F.struct("layer", "type", "message", "severity")).alias("samples"))
         )
-        row = row.join(listed.withColumn("part", F.lit(1)), "part")
-    return row.drop("part").select(generated_at.cast("string").alias("generated_at"), "*")
+    return one_row(*parts).select(generated_at.cast("string").alias("generated_at"), "*")
 
 
 def check_lake(

@@ -244,6 +244,14 @@ TITLE = (
     + text_pieces(first_block("regexp_replace(html, '(?s)<!--.*?-->', '', 'g')", "h1"))
     + ", '')"
 )
+# Paragraphs of an article as a tree shows them: one that is never closed holds
+# everything that follows it.
+SEGMENTS = "string_split(" + first_block(without_blocks("html", "script", "style", "nav", "aside"), "article") + ", '<p>')"
+PARAGRAPHS = (
+    "array_to_string(list_transform(range(2, len(seg) + 1), lambda i: CASE WHEN contains(seg[i], '</p>') "
+    f"THEN array_to_string({text_pieces("string_split(seg[i], '</p>')[1]")}, '') "
+    f"ELSE array_to_string({text_pieces("array_to_string(seg[i:], '<p>')")}, '') END), ' ')"
+)
 FEED = """feed AS (
   SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '' ELSE 'Item ' || CAST(doc_id AS VARCHAR) END AS title,
     CASE WHEN doc_id % 10 = 0 THEN '' WHEN doc_id % 3 = 1 THEN '/news/' || CAST(doc_id AS VARCHAR)
@@ -393,6 +401,13 @@ ORACLES: dict[str, str] = {
     "body_cut": f"SELECT page_id, substr({BODY}, 1, 5000) AS content FROM pages WHERE {BODY} <> ''",
     "page_metadata": f"""SELECT page_id, {TITLE} AS title, 'ByAnn& Bo' AS author, '2026-05-06' AS publication_date,
         'Worldnews' AS category, {BODY} AS content FROM pages""",
+    "page_articles": f"""WITH s AS (SELECT *, page_id % 6 IN (0, 2, 3) AS listed, {SEGMENTS} AS seg FROM pages),
+        c AS (SELECT *, CASE WHEN listed THEN {BODY} ELSE {PARAGRAPHS} END AS body FROM s)
+        SELECT page_id, url, CASE WHEN listed THEN {TITLE} END AS title, CAST(NULL AS VARCHAR) AS author,
+          CAST(NULL AS VARCHAR) AS publication_date, CAST(NULL AS VARCHAR) AS category, substr(body, 1, 5000) AS content,
+          ['Hespress', 'BBC News', 'Barlamane', 'Akhbarona', 'Al Jazeera', 'Reuters'][page_id % 6 + 1] AS source,
+          CASE WHEN listed THEN 'ar' ELSE 'en' END AS language, '{STAMP}' AS scraped_at
+        FROM c WHERE body <> '' AND (NOT listed OR {TITLE} <> '')""",
     "body_fallback": f"""SELECT page_id, CASE WHEN page_id % 5 = 0 OR page_id % 7 = 0 OR {BODY} = ''
         THEN 'about ' || url ELSE {BODY} END AS content FROM pages""",
     "rss_items": f"""WITH {FEED}, u AS (SELECT *, CASE WHEN site = 'al_jazeera' AND starts_with(link, '/')
