@@ -77,7 +77,10 @@ def newest_file(files: DataFrame) -> DataFrame:
 
 
 def audit_article_files(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
-    """Per JSON file: ``ok``, ``format_error`` (no array) or ``file_error``."""
+    """Per JSON file: ``ok``, ``format_error`` (no array) or ``file_error``.
+
+    Files of zero bytes are not listed: Spark's readers skip them.
+    """
     files = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
