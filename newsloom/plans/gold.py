@@ -40,10 +40,10 @@ def build_gold(
     if groups.isEmpty():
         return 0
     tables = gold_tables(articles, groups, generated_at)
-    for name, rows in tables.items():
-        lake.write_run(rows.coalesce(1), LAYER, name, run_id)
+    written = dict(tables)
     if copy_articles:
-        lake.write_run(articles, LAYER, ARTICLES, run_id)
+        written[ARTICLES] = articles
+    lake.write_tables(written, LAYER, run_id)
     lake.publish(spark, LAYER, run_id)
     return len(tables)
 
@@ -53,6 +53,15 @@ def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return lake.read_latest(spark, LAYER, name, schemas.GOLD_TABLES[name])
 
 
+def read_all_gold(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """All six tables of the latest run."""
+    run_id = lake.latest_run(spark, LAYER)
+    return {
+        name: lake.read_run(spark, LAYER, name, run_id, schema)
+        for name, schema in schemas.GOLD_TABLES.items()
+    }
+
+
 def dashboard_extract(tables: dict[str, DataFrame], sample: DataFrame) -> DataFrame:
     """One row: the summary, four tables and the sample articles as arrays.
 
@@ -78,8 +87,7 @@ def dashboard_extract(tables: dict[str, DataFrame], sample: DataFrame) -> DataFr
 
 
 def dashboard(spark: SparkSession, lake: Lake) -> DataFrame:
-    names = ("summary_stats", "articles_by_source", "articles_by_language", "articles_by_date", "top_keywords")
-    tables = {name: read_gold(spark, lake, name) for name in names}
+    tables = read_all_gold(spark, lake)
     file, pos = ORDER
     sample = sample_files(read_silver(spark, lake), file, pos)
     return dashboard_extract(tables, sample)

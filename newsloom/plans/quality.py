@@ -26,6 +26,11 @@ def _flag(value: bool) -> Column:
     return F.lit(bool(value))
 
 
+def _if_empty(rows: DataFrame, layer: str, message: str) -> DataFrame:
+    issue = ops.layer_issue(F.col("n") == 0, layer, "empty_data", WARNING, message)
+    return rows.limit(1).agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(issue)))
+
+
 def bronze_issues(spark: SparkSession, lake: Lake, now: Column) -> DataFrame:
     path = lake.path("bronze", "articles")
     present = lakes.exists(spark, path)
@@ -76,33 +81,26 @@ def event_issues(spark: SparkSession, lake: Lake) -> DataFrame:
             spark, ops.layer_issue(_flag(True), "streaming", "missing_latest", WARNING, "No latest snapshot")
         )
     events = ops.first_events(lake.read_latest(spark, EVENT_LAYER, EVENTS, STORED_EVENT))
-    empty = events.agg(F.count(F.lit(1)).alias("n")).select(
-        F.inline(
-            F.array(
-                ops.layer_issue(F.col("n") == 0, "streaming", "empty_data", WARNING, "Latest snapshot is empty")
-            )
-        )
-    )
+    empty = _if_empty(events, "streaming", "Latest snapshot is empty")
     return empty.unionByName(ops.count_violations(events, ops.event_checks(events)))
 
 
 def gold_issues(spark: SparkSession, lake: Lake) -> DataFrame:
     """Missing tables, empty tables, broken rows and an implausible summary."""
     flags, counted = [], []
-    for name in schemas.GOLD_TABLES:
-        present = lake.latest_path(spark, gold.LAYER, name) is not None
+    run_id = lake.latest_run(spark, gold.LAYER)
+    tables = gold.read_all_gold(spark, lake)
+    for name, rows in tables.items():
+        present = run_id is not None and lakes.exists(spark, lake.run_path(gold.LAYER, name, run_id))
         flags.append(
             ops.layer_issue(_flag(not present), "gold", "missing_file", ERROR, f"Missing table {name}")
         )
         if not present:
             continue
-        rows = gold.read_gold(spark, lake, name)
         if name == "summary_stats":
             counted.append(ops.count_violations(rows, ops.summary_checks(rows)))
             continue
-        flags.append(
-            ops.layer_issue(_flag(rows.isEmpty()), "gold", "empty_data", WARNING, f"No data in {name}")
-        )
+        counted.append(_if_empty(rows, "gold", f"No data in {name}"))
         checks = ops.gold_checks(rows, name)
         if checks:
             counted.append(ops.count_violations(rows, checks))

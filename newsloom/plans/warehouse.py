@@ -114,13 +114,13 @@ def load_warehouse(spark: SparkSession, lake: Lake, run_id: str, loaded_at: Colu
 
     A failure before the end leaves the previous load in place.
     """
-    gold_rows = {name: gold.read_gold(spark, lake, name) for name in schemas.GOLD_TABLES}
+    gold_rows = gold.read_all_gold(spark, lake)
     articles = lake.read_latest(spark, gold.LAYER, gold.ARTICLES, schemas.SILVER_ARTICLE)
     tables = star_schema(gold_rows, articles)
     tables[REJECTED_DAYS] = rejected_days(gold_rows["articles_by_date"])
     stamp = loaded_at.cast("timestamp_ntz").alias("loaded_at")
-    for name, rows in tables.items():
-        lake.write_run(rows.select("*", stamp), LAYER, name, run_id)
+    stamped = {name: rows.select("*", stamp) for name, rows in tables.items()}
+    lake.write_tables(stamped, LAYER, run_id)
     for name, key in KEYS.items():
         schema = schemas.WAREHOUSE_TABLES[name]
         require_unique(spark.read.schema(schema).parquet(lake.run_path(LAYER, name, run_id)), key, name)

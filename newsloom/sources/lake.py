@@ -9,6 +9,7 @@ snapshot current.  JSON array files of other producers can be read as well.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -141,6 +142,14 @@ class Lake:
             writer = writer.partitionBy(*partitions)
         writer.parquet(self.run_path(layer, table, run_id))
 
+    def write_tables(self, tables: dict[str, DataFrame], layer: str, run_id: str) -> None:
+        """Write independent tables of a run side by side: most are small, and
+        one after the other they would leave the cluster idle."""
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            writes = [pool.submit(self.write_run, rows, layer, name, run_id) for name, rows in tables.items()]
+            for write in writes:
+                write.result()
+
     def publish(self, spark: SparkSession, layer: str, run_id: str) -> None:
         """Make a written run the latest: all its tables become current at once."""
         pointer = spark.range(1, numPartitions=1).select(F.lit(run_id).alias("run_id"))
@@ -171,13 +180,17 @@ class Lake:
         path = self.run_path(layer, table, run_id)
         return path if exists(spark, path) else None
 
-    def read_latest(self, spark: SparkSession, layer: str, table: str, schema: str) -> DataFrame:
-        """A table of the latest run, or no rows when it is not there."""
-        run_id = self.latest_run(spark, layer)
+    def read_run(
+        self, spark: SparkSession, layer: str, table: str, run_id: str | None, schema: str
+    ) -> DataFrame:
+        """A table of a run, or no rows when it is not there."""
         if run_id is None:
             return spark.createDataFrame([], schema)
         return read_or_empty(spark, self.run_path(layer, table, run_id), schema)
 
+    def read_latest(self, spark: SparkSession, layer: str, table: str, schema: str) -> DataFrame:
+        return self.read_run(spark, layer, table, self.latest_run(spark, layer), schema)
+
     # Reports.
 
     def append_report(self, rows: DataFrame, name: str) -> None:

@@ -468,11 +468,11 @@ def lake_run(spark, sf):
 
 @query
 def event_sequence(spark, sf):
-    return sequence.number_rows(clean(spark, sf), "file_name", "pos").select("pos", "url", "sequence")
+    return sequence.number_rows(stored_clean(spark, sf), "file_name", "pos").select("pos", "url", "sequence")
 
 
 def _events(spark, sf, batch):
-    return publish.batch_events(clean(spark, sf), batch, F.lit(STAMP))
+    return publish.batch_events(stored_clean(spark, sf), batch, F.lit(STAMP))
 
 
 @query
