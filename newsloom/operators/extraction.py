@@ -118,6 +118,13 @@ def body_or_description(guarded: Column, body: Column, description: Column) -> C
     )
 
 
+def succeeded() -> Column:
+    """Whether a parsed page makes an article: it has a body, and a title unless
+    the feed gives that."""
+    from_feed = F.col("site").isin([s.key for s in sites.SITES if s.feed])
+    return (from_feed | ~text.is_blank(F.col("title"))) & ~text.is_blank(F.col("content"))
+
+
 def finish(parsed: DataFrame, scraped_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw articles from parsed pages with a ``site``: cut the body, drop rows
     without a title or body, add the constants of the site."""
@@ -126,9 +133,7 @@ def finish(parsed: DataFrame, scraped_at: Column, keep: tuple[str, ...] = ()) ->
     for s in sites.SITES:
         source = F.when(site == s.key, s.source).otherwise(source)
         language = F.when(site == s.key, s.language).otherwise(language)
-    feed_keys = [s.key for s in sites.SITES if s.feed]
-    has_title = site.isin(feed_keys) | ~text.is_blank(F.col("title"))
-    return parsed.filter(has_title & ~text.is_blank(F.col("content"))).select(
+    return parsed.filter(succeeded()).select(
         "title",
         "author",
         "publication_date",

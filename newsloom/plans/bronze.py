@@ -5,33 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.operators import crawl, extraction, links, sites
+from newsloom.operators import extraction, links, sites
+from newsloom.operators.ranking import first_n, keep_first
+
+
+KEY = ["site", "url"]
+ORDER = ["category_rank", "pos"]
+
+
+def fetched_once(parsed: DataFrame) -> DataFrame:
+    """One page per URL, the first fetched, so that joins are one to one."""
+    return keep_first(parsed, KEY, ["page_id"])
 
 
 def from_listings(listings: DataFrame, pages: DataFrame) -> DataFrame:
     """Parsed articles of the sites that are crawled from listing pages.
 
     ``listings``: site, category_rank, html. Pages are parsed before the join,
-    so their raw HTML is never shuffled.
+    so their raw HTML is never shuffled. The first listing of a URL wins.
     """
     own = [s.key for s in sites.SITES if not s.feed]
-    wanted = links.listing_links(listings.filter(F.col("site").isin(own)))
-    parsed = extraction.parse_pages(pages.filter(F.col("site").isin(own)))
-    return wanted.join(parsed.drop("page_id"), ["site", "url"])
+    wanted = keep_first(links.listing_links(listings.filter(F.col("site").isin(own))), KEY, ORDER)
+    parsed = fetched_once(extraction.parse_pages(pages.filter(F.col("site").isin(own))))
+    return wanted.join(parsed, KEY)
 
 
 def from_feeds(items: DataFrame, pages: DataFrame) -> DataFrame:
     """Parsed articles of the sites that publish feeds.
 
     ``items``: site, category_rank, pos, title, url, publication_date,
-    description, category. An item whose page was not fetched is dropped.
+    description, category. The first item of a URL wins; an item whose page was
+    not fetched is dropped.
     """
     own = [s.key for s in sites.SITES if s.feed]
     feed_pages = pages.filter(F.col("site").isin(own)).withColumn("guarded", guarded())
-    parsed = extraction.parse_pages(feed_pages, keep=("guarded",)).select(
+    parsed = fetched_once(extraction.parse_pages(feed_pages, keep=("guarded",))).select(
         "site", "url", "guarded", "author", F.col("content").alias("body")
     )
-    joined = items.join(parsed, ["site", "url"])
+    joined = keep_first(items, KEY, ORDER).join(parsed, KEY)
     falls_back = F.col("site").isin([s.key for s in sites.SITES if s.guards])
     content = extraction.body_or_description(F.col("guarded"), F.col("body"), F.col("description"))
     return joined.withColumns(
@@ -51,21 +62,19 @@ def guarded() -> Column:
 
 
 def bronze_articles(listings: DataFrame, items: DataFrame, pages: DataFrame, scraped_at: Column) -> DataFrame:
-    """Articles of all six sites, deduplicated across listings and capped."""
+    """Articles of all six sites, deduplicated across listings and capped.
+
+    Only successful articles count towards the cap, and a URL that failed is
+    not taken up again from a later listing.
+    """
     located = pages.withColumn("site", extraction.site_of(F.col("url")))
     carried = ["site", "category_rank", "pos", "url", "title", "author", "publication_date", "category", "content"]
     found = from_listings(listings, located).select(carried).unionByName(
         from_feeds(items, located).select(carried)
     )
-    no_title = F.coalesce("title", F.lit("")) == ""
-    no_body = F.coalesce("content", F.lit("")) == ""
-    from_feed = F.col("site").isin([s.key for s in sites.SITES if s.feed])
-    candidates = found.withColumn("source", F.col("site")).withColumn(
-        "succeeded", (from_feed | ~no_title) & ~no_body
-    )
-    kept = crawl.cap_articles(candidates, "succeeded")
+    kept = first_n(found.filter(extraction.succeeded()), ["site"], ORDER, sites.ARTICLES_PER_SOURCE)
     # One position per article: row ids of a reader stay below 2^52.
-    ordered = kept.drop("source").withColumn(
+    ordered = kept.withColumn(
         "pos", F.shiftleft(F.col("category_rank").cast("bigint"), 52) + F.col("pos")
     )
     return extraction.finish(ordered, scraped_at, keep=("pos",))

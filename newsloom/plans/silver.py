@@ -12,7 +12,7 @@ from newsloom.sources.lake import Lake
 
 LAYER, TABLE = "silver", "articles"
 ORDER = ("file_name", "pos")
-STORED = schemas.SILVER_ARTICLE + ", file_name string, pos bigint, reason string"
+STORED = schemas.SILVER_ARTICLE + ", file_name string, pos bigint, reason string, accepted boolean"
 
 
 def check_articles(raw: DataFrame, processed_at: Column) -> DataFrame:
@@ -52,21 +52,24 @@ def rejects_by_reason(checked: DataFrame) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, lake: Lake, run_id: str, processed_at: Column) -> dict[str, int]:
-    """Write one Silver run, a folder per reason, and make it the latest.
-
-    Accepted and rejected rows come from one pass; reading either is a
-    partition filter.
-    """
+    """Write one Silver run and make it the latest."""
     raw = lake.read_bronze(spark, schemas.BRONZE_ARTICLE)
-    lake.write_run(check_articles(raw, processed_at), LAYER, TABLE, run_id, "reason")
+    write_checked(lake, check_articles(raw, processed_at), run_id)
     lake.publish(spark, LAYER, run_id)
     return silver_stats(raw, read_checked(spark, lake)).first().asDict()
 
 
+def write_checked(lake: Lake, checked: DataFrame, run_id: str) -> None:
+    """Accepted and rejected rows go to two folders in one pass; reading either
+    is a partition filter."""
+    split = checked.withColumn("accepted", F.col("reason") == "ok")
+    lake.write_run(split, LAYER, TABLE, run_id, "accepted")
+
+
 def read_checked(spark: SparkSession, lake: Lake) -> DataFrame:
     return lake.read_latest(spark, LAYER, TABLE, STORED)
 
 
 def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
     """Accepted articles of the latest run, with their place in Bronze."""
-    return ops.accepted(read_checked(spark, lake))
+    return read_checked(spark, lake).filter("accepted").drop("accepted", "reason")

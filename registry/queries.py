@@ -410,11 +410,9 @@ def bronze_history(spark, sf):
 def latest_snapshot(spark, sf):
     """Two Silver runs; the later one is what is read."""
     made = new_lake(spark, "lake")
-    made.write_run(checked(spark, sf), silver.LAYER, silver.TABLE, BATCH, "reason")
+    silver.write_checked(made, checked(spark, sf), BATCH)
     made.publish(spark, silver.LAYER, BATCH)
-    made.write_run(
-        clean(spark, sf).withColumn("reason", F.lit("ok")), silver.LAYER, silver.TABLE, NEXT_BATCH, "reason"
-    )
+    silver.write_checked(made, clean(spark, sf).withColumn("reason", F.lit("ok")), NEXT_BATCH)
     made.publish(spark, silver.LAYER, NEXT_BATCH)
     return silver.read_checked(spark, made).select("pos", "url", "reason")
 
@@ -427,7 +425,7 @@ def newest_run_without_pointer(spark, sf):
         (BATCH, checked(spark, sf)),
         (NEXT_BATCH, clean(spark, sf).withColumn("reason", F.lit("ok"))),
     ):
-        made.write_run(rows, silver.LAYER, silver.TABLE, run_id, "reason")
+        silver.write_checked(made, rows, run_id)
     return silver.read_checked(spark, made).agg(F.count(F.lit(1)).alias("article_count"))
 
 

@@ -147,7 +147,7 @@ def test_events_fall_back_to_gold(spark, lake):
 
 def test_a_failing_mirror_does_not_fail_the_publication(spark, lake, monkeypatch):
     silver_rows = raw(spark, [{}])
-    lake.write_run(silver.check_articles(silver_rows, F.lit("t")), silver.LAYER, silver.TABLE, "r", "reason")
+    silver.write_checked(lake, silver.check_articles(silver_rows, F.lit("t")), "r")
 
     def broken(*_):
         raise OSError("down")
