@@ -20,13 +20,12 @@ from newsloom.settings import session_options  # noqa: E402
 from registry.queries import QUERIES  # noqa: E402
 
 HEADLINE = """
-strip_html normalize_text normalize_date detect_language tokenize
-dedup_articles silver_articles silver_stats silver_build
-articles_by_source articles_by_category articles_by_language articles_by_date
-top_keywords summary_stats article_groups
-wh_fact_articles event_sequence build_events event_upsert stream_publish stream_dedup
-page_links top_links_per_page page_title page_body page_metadata page_articles
-crawl_cap rss_items dq_q3_bronze_required dq_q7_silver_required lake_run
+normalize_text normalize_date tokenize
+dedup_articles silver_articles silver_build
+articles_by_source articles_by_date top_keywords summary_stats
+wh_fact_articles event_sequence event_upsert stream_publish
+page_links top_links_per_page page_body page_articles bronze_build
+rss_items dq_q3_bronze_required lake_run
 """.split()
 
 

@@ -15,7 +15,7 @@ from newsloom import schemas
 from newsloom.functions import dates, markup, text
 from newsloom.operators import aggregates, crawl, events, extraction, links, quality, ranking, sequence, sites
 from newsloom.operators import articles as article_ops
-from newsloom.plans import gold, run, silver, warehouse
+from newsloom.plans import bronze, gold, run, silver, warehouse
 from newsloom.plans import quality as quality_plan
 from newsloom.settings import fresh_folder, staged
 from newsloom.sources import feeds, lake
@@ -518,7 +518,7 @@ def event_upsert_log(spark, sf):
 def _article_stream(spark, sf):
     """A file stream over derived articles written as a table."""
     folder = fresh_folder(spark, "articles")
-    clean(spark, sf).coalesce(1).write.parquet(folder)
+    clean(spark, sf).write.parquet(folder)
     schema = schemas.SILVER_ARTICLE + ", file_name string, pos bigint"
     return publish.read_article_stream(spark, folder, schema)
 
@@ -685,6 +685,30 @@ def page_articles(spark, sf):
     return extraction.finish(parsed, F.lit(STAMP), keep=("page_id",))
 
 
+@query
+def bronze_build(spark, sf):
+    """The given pages as pages of the six sites, with derived listings and feeds."""
+    base = F.element_at(
+        F.create_map(*[F.lit(x) for s in sites.SITES for x in (s.key, s.base)]), F.col("site")
+    )
+    path = F.concat(F.lit("/"), F.col("page_id").cast("string"), F.lit(".html"))
+    placed = _sited(spark, sf).withColumn("url", F.concat(base, path))
+    anchor = F.struct("page_id", F.concat(F.lit('<a href="'), path, F.lit('">x</a>')).alias("a"))
+    # A listing covers sixty page ids, so it holds ten links at most.
+    listings = placed.groupBy("site", F.expr("page_id div 60").alias("category_rank")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(anchor)), lambda x: x["a"]), " ").alias("html")
+    )
+    feeds_of = placed.filter(F.col("site").isin([s.key for s in sites.SITES if s.feed]))
+    items = feeds_of.select(
+        "site", F.lit(0).alias("category_rank"), F.col("page_id").alias("pos"),
+        F.concat(F.lit("Item "), F.col("page_id").cast("string")).alias("title"), "url",
+        F.lit("Mon, 06 May 2026 12:00:00 GMT").alias("publication_date"),
+        F.concat(F.lit("about "), "url").alias("description"), F.lit("world").alias("category"),
+    )
+    pages_of = placed.select("page_id", "url", "html")
+    return bronze.bronze_articles(listings, items, pages_of, F.lit(STAMP)).drop("pos")
+
+
 @query
 def body_fallback(spark, sf):
     """Guarded pages and pages without a body fall back to the description."""
