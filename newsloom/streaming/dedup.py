@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from newsloom.functions.dates import parse_datetime
+from newsloom.operators.ranking import keep_first_by_url
+from newsloom.sources.lake import read_or_empty
 
 
 def first_seen(rows: DataFrame, key: str, time: Column, delay: str = "7 days") -> DataFrame:
     """Drop rows whose key came before, within ``delay`` of event time.
 
     The watermark bounds the state: a key is forgotten once it is older than
-    the delay, and rows later than that are taken as late.
+    the delay, and rows later than that are taken as late. All rows of a key
+    meet in one task; for keys that hold much of a stream ``keep_first_ever``
+    is the better choice.
     """
     timed = rows.withColumn("_time", time)
     return timed.withWatermark("_time", delay).dropDuplicatesWithinWatermark([key]).drop("_time")
@@ -24,6 +29,27 @@ def first_article_seen(articles: DataFrame, delay: str = "7 days") -> DataFrame:
     return first_seen(articles, "url", time, delay)
 
 
-def first_ever_seen(articles: DataFrame) -> DataFrame:
-    """The exact form: remembers every URL, so its state grows with them."""
-    return articles.dropDuplicates(["url"])
+def keep_first_ever(
+    articles: DataFrame, out: str, checkpoint: str, order: tuple[str, ...] = ("file_name", "pos")
+) -> StreamingQuery:
+    """The exact form: write the articles whose URL is new, a folder per epoch.
+
+    What was seen is the table itself, not state in memory. Each micro-batch is
+    first cut to one row per URL, before its shuffle, so the join with the known
+    URLs has each URL once on both sides. A replayed epoch replaces its rows.
+    """
+    url = F.coalesce("url", F.lit(""))
+
+    def write_epoch(rows: DataFrame, epoch: int) -> None:
+        table = read_or_empty(rows.sparkSession, out, "url string, epoch string")
+        known = table.filter(F.col("epoch") != str(epoch)).select(url.alias("_url"))
+        fresh = keep_first_by_url(rows, list(order)).withColumn("_url", url)
+        new = fresh.join(known, "_url", "left_anti").drop("_url").withColumn("epoch", F.lit(str(epoch)))
+        new.write.partitionBy("epoch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(out)
+
+    return (
+        articles.writeStream.foreachBatch(write_epoch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

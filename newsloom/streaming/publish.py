@@ -7,6 +7,7 @@ replaces its own rows.
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,8 @@ from newsloom.plans import gold, silver, warehouse
 from newsloom.plans.quality import EVENT_LAYER, EVENTS
 from newsloom.sources.lake import Lake
 
+logger = logging.getLogger(__name__)
+
 
 def batch_events(articles: DataFrame, batch_id: str, event_time: Column) -> DataFrame:
     """Events of one batch; articles carry ``file_name`` and ``pos``."""
@@ -51,7 +54,7 @@ def publish_batch(spark: SparkSession, lake: Lake, batch_id: str, now: Column) -
         warehouse.upsert_events(spark, lake, stored, batch_id, now)
         mirrored = True
     except Exception as error:  # the mirror must not fail the publication
-        print(f"event mirror failed: {error}")
+        logger.warning("event mirror failed: %s", error)
         mirrored = False
     return {"batch_id": batch_id, "event_count": count, "warehouse_loaded": mirrored}
 

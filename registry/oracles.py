@@ -368,7 +368,7 @@ ORACLES: dict[str, str] = {
         arg_min(event_id, (ts, event_type, value, event_id)) AS log_id FROM events GROUP BY user_id""",
     "stream_publish": f"""{EVENTS} SELECT {event_id('0')} AS event_id, '0' AS batch_id, url, title, language, sequence FROM numbered""",
     "stream_dedup": f"{A} SELECT DISTINCT url FROM a",
-    "stream_dedup_exact": f"{A} SELECT DISTINCT url FROM a",
+    "stream_dedup_exact": f"{KEPT.format(order='pos')} SELECT pos, url FROM kept",
     "stream_dedup_log": "SELECT DISTINCT user_id FROM events",
     # Pages and feeds
     "page_links": f"WITH {LINKS} SELECT page_id, pos, href FROM links",

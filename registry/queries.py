@@ -566,7 +566,9 @@ def stream_dedup_exact(spark, sf):
     raw(spark, sf).write.parquet(folder)
     schema = schemas.BRONZE_ARTICLE + ", file_name string, pos bigint"
     stream = publish.read_article_stream(spark, folder, schema)
-    return _drain(dedup.first_ever_seen(stream).select("url"), "dedup-exact")
+    out = fresh_folder(spark, "dedup-exact")
+    dedup.keep_first_ever(stream, out, fresh_folder(spark, "dedup-exact-state")).awaitTermination()
+    return spark.read.schema(schema).parquet(out).select("pos", "url")
 
 
 @query

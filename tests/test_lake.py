@@ -212,6 +212,23 @@ def test_stream_dedup(spark, tmp_path):
     assert step([("a", "2026-05-02T00:00:00"), ("c", "2026-05-02T00:00:00")]) == ["a", "b", "c"]
 
 
+def test_exact_stream_dedup_over_epochs_and_replays(spark, tmp_path):
+    schema = "url string, file_name string, pos bigint"
+    source, out = f"file:{tmp_path}/in", f"file:{tmp_path}/out"
+
+    def step(rows, state="state"):
+        if rows:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = publish.read_article_stream(spark, source, schema)
+        dedup.keep_first_ever(stream, out, f"file:{tmp_path}/{state}").awaitTermination()
+        return sorted((r.url or "", r.file_name, r.pos) for r in spark.read.schema(schema).parquet(out).collect())
+
+    first = [("a", "f", 1), ("b", "f", 3)]
+    assert step([("a", "f", 2), ("a", "f", 1), ("b", "f", 3)]) == first
+    assert step([("a", "e", 0), ("c", "g", 0), (None, "g", 1), ("", "g", 2)]) == [("", "g", 1), *first, ("c", "g", 0)]
+    assert step([]) == [("", "g", 1), *first, ("c", "g", 0)]
+
+
 @pytest.mark.parametrize("errors,warnings,score,verdict", [
     (0, 0, 100, "EXCELLENT"), (0, 1, 96, "EXCELLENT"), (1, 0, 80, "GOOD"), (5, 0, 0, "POOR"), (0, 25, 0, "POOR"),
     (9, 99, 0, "POOR"), (1, 2, 72, "POOR"),
