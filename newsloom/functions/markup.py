@@ -6,9 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsloom.functions.dates import strip_space
-from newsloom.functions.text import unescape_html
+from newsloom.functions.text import TAG, unescape_html
 
-_TAG = r"(?s)<!--.*?-->|</[^>]*>|<[A-Za-z!?][^>]*>"
 _HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 
@@ -30,7 +29,7 @@ def first_block(html: Column, tag: str) -> Column:
 def text_pieces(html: Column) -> Column:
     """Text between tags: decoded, stripped, empty pieces left out."""
     pieces = F.transform(
-        F.split(html, _TAG),
+        F.split(html, TAG),
         lambda p: strip_space(F.when(p.contains("&"), unescape_html(p)).otherwise(p)),
     )
     return F.filter(pieces, lambda p: p != "")

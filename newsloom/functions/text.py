@@ -40,7 +40,7 @@ dans pour avec elle elles nous vous leur plus
 just like
 """.split()
 
-_TAG = r"(?s)<!--.*?-->|</[^>]*>|<[A-Za-z!?][^>]*>"
+TAG = r"(?s)<!--.*?-->|</[^>]*+>|<[A-Za-z!?][^>]*+>"
 
 # A keyword begins and ends where word and non-word characters meet. Marks and
 # punctuation of the Arabic block are non-word characters that a keyword may
@@ -142,7 +142,7 @@ def strip_html(c: Column) -> Column:
     page extraction drops those blocks beforehand.  An unfinished reference or
     tag at the end is kept as text.
     """
-    pieces = F.filter(F.split(F.coalesce(c, F.lit("")), _TAG), lambda x: x != "")
+    pieces = F.filter(F.split(F.coalesce(c, F.lit("")), TAG), lambda x: x != "")
     return unescape_html(F.array_join(pieces, " "))
 
 

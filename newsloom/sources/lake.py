@@ -77,6 +77,18 @@ def newest_file(files: DataFrame) -> DataFrame:
     return files.agg(F.max(F.struct("modified_at", "path")).alias("newest")).select("newest.*")
 
 
+def read_latest_file(spark: SparkSession, folder: str, latest: str, schema: str) -> DataFrame:
+    """Rows of the JSON file named ``latest`` in a folder, else of its newest
+    JSON file, else none: the snapshot of a lake kept as JSON arrays."""
+    path = f"{folder.rstrip('/')}/{latest}"
+    if not exists(spark, path):
+        newest = newest_file(list_files(spark, folder)).first() if exists(spark, folder) else None
+        path = newest.path if newest is not None else None
+    if path is None:
+        return spark.createDataFrame([], schema + ", file_name string, pos bigint")
+    return read_article_files(spark, path, schema)
+
+
 def audit_article_files(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
     """Per JSON file: ``ok``, ``format_error`` (no array) or ``file_error``.
 

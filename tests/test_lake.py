@@ -53,6 +53,21 @@ def test_newest_file_and_exists(spark, tmp_path):
     assert lakes.exists(spark, f"file:{tmp_path}/a.json") and not lakes.exists(spark, f"file:{tmp_path}/none")
 
 
+def test_latest_json_snapshot(spark, tmp_path):
+    def titles(folder):
+        rows = lakes.read_latest_file(spark, f"file:{folder}", "articles_latest.json", schemas.SILVER_ARTICLE)
+        return [r.title for r in rows.orderBy("file_name", "pos").collect()]
+
+    assert titles(tmp_path / "none") == []
+    for name, i in (("b.json", 1), ("a.json", 2)):
+        (tmp_path / name).write_text(json.dumps([article(i)]))
+        time.sleep(0.05)
+    assert titles(tmp_path) == ["Title 2"], "the newest file"
+    (tmp_path / "articles_latest.json").write_text(json.dumps([article(4), article(3)]))
+    (tmp_path / "c.json").write_text(json.dumps([article(5)]))
+    assert titles(tmp_path) == ["Title 4", "Title 3"], "the named file"
+
+
 def test_missing_tables_are_empty(spark, lake):
     assert gold.read_gold(spark, lake, "top_keywords").count() == 0
     assert lakes.read_or_empty(spark, lake.path("nowhere"), "a int").count() == 0
