@@ -215,7 +215,7 @@ class WordBpe:
     def normalize(self, text: str) -> str:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
-            if not text.islower() and self.capitals.search(text):
+            if self.capitals.search(text):
                 # Lower case letter by letter: a capital sigma has no final form here.
                 text = text.translate(SMALL)
         return self.space.sub(" ", text).lower()
