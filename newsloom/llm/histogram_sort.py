@@ -74,6 +74,47 @@ def cut(sizes: list[int], shards: int) -> list[int]:
     return [sum(c <= i for c in out) for i in range(len(sizes))]
 
 
+class Histogram:
+    """Cells of keys with exact counts, and the shard each belongs to."""
+
+    def __init__(self, rows: DataFrame, key: Column, size: Column, shards: int, tolerance: float):
+        self.spark = rows.sparkSession
+        self.rounds: list[dict[str, int]] = []
+        narrow = rows.select(key.alias("_key"), size.cast("bigint").alias("_size"))
+        located = narrow.withColumn("_cell", F.substring("_key", 1, FIRST))
+        cells = _count(located)
+        while wide := _wide(cells, shards, tolerance):
+            self.rounds.append(wide)
+            own = located.join(self._probes(wide), "_cell")
+            cells = {k: v for k, v in cells.items() if k not in wide} | _count(own.withColumn("_cell", self._finer()))
+            located = self._refine(located, wide)
+        order = sorted(cells)
+        self.places, filled = [], {}
+        for cell, shard in zip(order, cut([cells[c][0] for c in order], shards), strict=True):
+            self.places.append((cell, shard, filled.get(shard, 0)))
+            filled[shard] = filled.get(shard, 0) + cells[cell][1]
+
+    def _probes(self, wide: dict[str, int]) -> DataFrame:
+        return F.broadcast(self.spark.createDataFrame(list(wide.items()), "_cell string, _length int"))
+
+    @staticmethod
+    def _finer() -> Column:
+        return F.expr("substring(_key, 1, _length)")
+
+    def _refine(self, located: DataFrame, wide: dict[str, int]) -> DataFrame:
+        found = located.join(self._probes(wide), "_cell", "left")
+        return found.withColumn("_cell", F.coalesce(self._finer(), "_cell")).drop("_length")
+
+    def place(self, df: DataFrame, key: Column) -> DataFrame:
+        """Rows with the same keys get ``_key``, ``_cell``, ``shard`` and ``_before``, the
+        rows of the shard in earlier cells. No shuffle: the tables looked up are bounded."""
+        located = df.drop("shard").withColumn("_key", key).withColumn("_cell", F.substring("_key", 1, FIRST))
+        for wide in self.rounds:
+            located = self._refine(located, wide)
+        places = self.spark.createDataFrame(self.places, "_cell string, shard int, _before bigint")
+        return located.join(F.broadcast(places), "_cell")
+
+
 def histogram_shards(df: DataFrame, key: Column, size: Column, shards: int = 8, tolerance: float = 0.001) -> DataFrame:
     """``df`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (its place there, from 0).
 
@@ -86,31 +127,6 @@ def histogram_shards(df: DataFrame, key: Column, size: Column, shards: int = 8,
     ``shard`` or ``slot`` are replaced. ``df`` is read once per round of probes
     (two or three), so stage it where it is costly to compute.
     """
-    spark = df.sparkSession
-    rows = df.drop("shard", "slot").withColumns({"_key": key, "_size": size.cast("bigint")})
-    located = rows.withColumn("_cell", F.substring("_key", 1, FIRST))
-    cells = _count(located)
-    while wide := _wide(cells, shards, tolerance):
-        probes = F.broadcast(spark.createDataFrame(list(wide.items()), "_cell string, _length int"))
-        finer = F.expr("substring(_key, 1, _length)")
-        cells = {k: v for k, v in cells.items() if k not in wide} | _count(
-            located.join(probes, "_cell").withColumn("_cell", finer)
-        )
-        located = (
-            located.join(probes, "_cell", "left")
-            .withColumn("_cell", F.coalesce(finer, "_cell"))
-            .drop("_length")
-        )
-    order = sorted(cells)
-    shard_of = cut([cells[c][0] for c in order], shards)
-    placed, filled = [], {}
-    for cell, shard in zip(order, shard_of, strict=True):
-        placed.append((cell, shard, filled.get(shard, 0)))
-        filled[shard] = filled.get(shard, 0) + cells[cell][1]
-    places = F.broadcast(spark.createDataFrame(placed, "_cell string, shard int, _before bigint"))
+    placed = Histogram(df, key, size, shards, tolerance).place(df.drop("slot"), key)
     within = F.row_number().over(Window.partitionBy("_cell").orderBy("_key"))
-    return (
-        located.join(places, "_cell")
-        .withColumn("slot", F.col("_before") + within - 1)
-        .drop("_cell", "_key", "_size", "_before")
-    )
+    return placed.withColumn("slot", F.col("_before") + within - 1).drop("_cell", "_key", "_before")

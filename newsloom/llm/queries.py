@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontaminate, histogram_sort, language, licenses, secrets
+from newsloom.llm import bpe, decontaminate, histogram_sort, jaccard, language, licenses, secrets, topk, warc
 from newsloom.llm.common import table, text_or_empty
-from newsloom.settings import staged
+from newsloom.settings import fresh_folder, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -25,6 +25,19 @@ def tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_jaccard(spark, sf):
+    return jaccard.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op3_warc(spark, sf):
+    folder = fresh_folder(spark, "warc")
+    warc.write_archives(table(spark, sf, "pages"), folder)
+    records = warc.read_archives(spark, folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op4_secrets(spark, sf):
     return secrets.scan_secrets(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
@@ -35,6 +48,12 @@ def op5_licenses(spark, sf):
     return licenses.find_licenses(table(spark, sf, "documents"), licenses.known_licenses(spark))
 
 
+@query
+def op6_topk(spark, sf):
+    vectors = table(spark, sf, "embeddings").select("vec_id", topk.quantized(F.col("embedding")).alias("vec"))
+    return topk.nearest(vectors, F.col("vec_id") % 50 == 0).withColumn("rank", F.col("rank").cast("int"))
+
+
 @query
 def op7_decontamination(spark, sf):
     items = decontaminate.load_items(table(spark, sf, "benchmark"))
