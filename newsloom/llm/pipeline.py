@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontaminate, language, secrets
+from newsloom.llm import bpe, decontaminate, jaccard, language, secrets
 from newsloom.llm.common import table
 from newsloom.llm.queries import tokenizer
 
@@ -24,6 +24,12 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return judged.filter(F.col("lang_pred") != language.UNKNOWN).select(docs.columns)
 
 
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked as near duplicates, the one with the smallest id."""
+    groups = jaccard.near_duplicates(docs, words=5, percent=80)
+    return docs.join(groups.filter("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+
+
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; a document that is mostly benchmark goes."""
     items = decontaminate.load_items(table(spark, sf_dir, "benchmark"))

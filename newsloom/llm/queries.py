@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontaminate, histogram_sort, jaccard, language, licenses, secrets, topk, warc
+from newsloom.llm import bpe, decontaminate, histogram_sort, jaccard, language, licenses, secrets, substring_dedup, topk, warc
 from newsloom.llm.common import table, text_or_empty
 from newsloom.settings import fresh_folder, staged
 
@@ -25,6 +25,11 @@ def tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_substrings(spark, sf):
+    return substring_dedup.remove_repeated(table(spark, sf, "documents")).drop("text", "kept")
+
+
 @query
 def op2_jaccard(spark, sf):
     return jaccard.near_duplicates(table(spark, sf, "documents"))
