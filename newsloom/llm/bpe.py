@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame
 
 from newsloom.llm.common import Maker, add_columns, sha256, texts_of
 
-# Words whose tokens a worker remembers; then it starts anew.
-REMEMBERED = 300_000
+# Words whose tokens a worker remembers, twice: the newest, and those before them.
+REMEMBERED = 200_000
+NEVER = 1 << 60
 # Runs of more symbols are merged with a heap; a window takes in so many beyond the lookahead.
 SHORT = 48
 STEP = 4096
@@ -97,11 +98,11 @@ SMALL = {
 
 
 @functools.cache
-def _ranges(category: str, more: str = "") -> str:
-    """The inside of a character class: all characters of a general category, and ``more``."""
+def _ranges(category: str, most: int, more: str = "") -> str:
+    """The inside of a character class: all characters of a general category up to ``most``, and ``more``."""
     newer = {c for span in NEWER[category].split() for c in _span(span)}
     own = [
-        c for c in range(sys.maxunicode + 1)
+        c for c in range(most + 1)
         if unicodedata.category(chr(c))[0] == category or chr(c) in more or c in newer
     ]
     starts = [c for i, c in enumerate(own) if i == 0 or own[i - 1] != c - 1]
@@ -109,6 +110,15 @@ def _ranges(category: str, more: str = "") -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
 
 
+def _spelled_out(pattern: str, most: int) -> str:
+    """A pattern with its character properties written as ranges."""
+    for escape, inside in (
+        (r"\p{L}", _ranges("L", most)), (r"\p{N}", _ranges("N", most)), (r"\s", _ranges("Z", most, BLANKS))
+    ):
+        pattern = pattern.replace(f"[{escape}]", f"[{inside}]").replace(escape, inside)
+    return pattern
+
+
 class WordBpe:
     """Encoder and decoder for a tokenizer file with word ends, read from its JSON text.
 
@@ -123,25 +133,27 @@ class WordBpe:
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []
         symbols = {i: self._symbols(t) for t, i in self.vocab.items()}
         made = []
         for rank, (a, b) in enumerate(model["merges"]):
-            new = self.vocab[a + b]
-            self.merges[self.vocab[a], self.vocab[b]] = (rank, new)
+            self.rank[self.vocab[a], self.vocab[b]] = rank
+            self.made.append(self.vocab[a + b])
             made.append(symbols[self.vocab[a]] + symbols[self.vocab[b]])
         self.lookahead = lookahead(made)
-        self.letters = byte_letters()
-        self.bytes = {c: b for b, c in enumerate(self.letters)}
+        letters = byte_letters()
+        self.bytes = {c: b for b, c in enumerate(letters)}
+        self.within = [self.vocab[c] for c in letters]
+        self.last = [self.vocab[c + self.suffix] for c in letters]
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        for name, inside in (("L", _ranges("L")), ("N", _ranges("N")), ("s", _ranges("Z", BLANKS))):
-            escape = rf"\p{{{name}}}" if name != "s" else r"\s"
-            pattern = pattern.replace(f"[{escape}]", f"[{inside}]").replace(escape, inside)
-        self.word = re.compile(pattern)
-        self.capitals = re.compile(f"[{''.join(map(chr, SMALL))}]")
-        self.space = re.compile(f"[{_ranges('Z', BLANKS)}]+")
+        # Character classes within the basic plane are much faster than those beyond it.
+        self.words = [re.compile(_spelled_out(pattern, most)) for most in (0x7F, 0xFFFF, sys.maxunicode)]
+        self.astral = re.compile("[\U00010000-\U0010ffff]")
+        self.capitals = [chr(c) for c in SMALL if c <= 0xFFFF]
         self.marks = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.new: dict[str, Iterable[int]] = {}
+        self.old: dict[str, Iterable[int]] = {}
 
     def _symbols(self, token: str) -> tuple[str, ...]:
         if token.endswith(self.suffix) and len(token) > len(self.suffix):
@@ -151,38 +163,41 @@ class WordBpe:
 
     def _merge(self, ids: list[int]) -> list[int]:
         """Apply merges, the lowest rank first and the leftmost among equals."""
-        merges = self.merges
         if len(ids) > SHORT:
             return self._merge_long(ids)
-        while len(ids) > 1:
-            low, at = None, -1
-            for i, pair in enumerate(zip(ids, ids[1:])):
-                found = merges.get(pair)
-                if found and (low is None or found < low):
-                    low, at = found, i
-            if low is None:
+        rank = self.rank
+        ranks = [rank.get(pair, NEVER) for pair in zip(ids, ids[1:])]
+        while ranks:
+            low = min(ranks)
+            if low == NEVER:
                 break
-            ids[at : at + 2] = [low[1]]
+            i = ranks.index(low)
+            ids[i] = self.made[low]
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank.get((ids[i], ids[i + 1]), NEVER)
+            if i:
+                ranks[i - 1] = rank.get((ids[i - 1], ids[i]), NEVER)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap of pairs and links between neighbours."""
-        merges, n = self.merges, len(ids)
+        rank, n = self.rank, len(ids)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(*merges[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]
+        heap = [(rank[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in rank]
         heapq.heapify(heap)
         while heap:
-            _, new, i, a, b = heapq.heappop(heap)
+            low, i, a, b = heapq.heappop(heap)
             j = after[i] if ids[i] == a else -1
             if j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j], after[i] = new, -1, after[j]
+            ids[i], ids[j], after[i] = self.made[low], -1, after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             for left in (before[i], i):
                 pair = (ids[left], ids[after[left]]) if left >= 0 and after[left] >= 0 else None
-                if pair in merges:
-                    heapq.heappush(heap, (*merges[pair], left, *pair))
+                if pair in rank:
+                    heapq.heappush(heap, (rank[pair], left, *pair))
         return [i for i in ids if i >= 0]
 
     def stream(self, symbols: Iterator[int], width: dict[int, int] | None = None) -> Iterator[int]:
@@ -204,42 +219,48 @@ class WordBpe:
     def widths(self) -> dict[int, int]:
         return {i: len(self._symbols(t)) for t, i in self.vocab.items()}
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        letters = [self.letters[b] for b in word.encode("utf-8")]
-        letters[-1] += self.suffix
-        symbols = [self.vocab[c] for c in letters]
+    def _word(self, word: str) -> list[int]:
+        data = word.encode("utf-8")
+        symbols = [self.within[b] for b in data]
+        symbols[-1] = self.last[data[-1]]
         if len(symbols) < STEP + self.lookahead:
-            return tuple(self._merge(symbols))
-        return tuple(self.stream(iter(symbols)))
+            return self._merge(symbols)
+        return list(self.stream(iter(symbols)))
 
     def normalize(self, text: str) -> str:
+        """NFC and lower case. White space separates words and is dropped, however it is written."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
-            if self.capitals.search(text):
+            if any(map(text.__contains__, self.capitals)) or self.astral.search(text):
                 # Lower case letter by letter: a capital sigma has no final form here.
                 text = text.translate(SMALL)
-        return self.space.sub(" ", text).lower()
+        return text.lower()
 
-    def _plain(self, text: str) -> Iterator[int]:
-        known = self.known
-        for word in self.word.findall(self.normalize(text)):
-            ids = known.get(word)
+    def _plain(self, text: str, out: list[int]) -> None:
+        text = self.normalize(text)
+        plane = 0 if text.isascii() else 2 if self.astral.search(text) else 1
+        for word in self.words[plane].findall(text):
+            ids = self.new.get(word)
             if ids is None:
-                ids = self._word(word)
+                ids = self.old.get(word)
+                if ids is None:
+                    ids = self._word(word)
                 if len(word) < 64:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[word] = ids
-            yield from ids
-
-    def encode(self, text: str) -> Iterator[int]:
-        """Ids of a whole text, one after the other."""
+                    if len(self.new) >= REMEMBERED:
+                        self.old, self.new = self.new, {}
+                    self.new[word] = ids
+            out += ids
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a whole text."""
+        out: list[int] = []
         at = 0
         for mark in self.marks.finditer(text):
-            yield from self._plain(text[at : mark.start()])
-            yield self.special[mark.group()]
+            self._plain(text[at : mark.start()], out)
+            out.append(self.special[mark.group()])
             at = mark.end()
-        yield from self._plain(text[at:] if at else text)
+        self._plain(text[at:] if at else text, out)
+        return out
 
     def decode_tokens(self, ids: Iterable[int]) -> str:
         """Tokens as they are spelled, blank between them: what a file without a decoder gives."""
@@ -283,7 +304,7 @@ def encode_texts(df: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     def maker():
         bpe = load(path)
-        return lambda batch: {"ids": [list(bpe.encode(t or "")) for t in texts_of(batch, text)]}
+        return lambda batch: {"ids": [bpe.encode(t or "") for t in texts_of(batch, text)]}
 
     return add_columns(df, "ids array<int>", maker)
 
@@ -313,7 +334,7 @@ def _digests(path: str, text: str) -> Maker:
         def compute(batch):
             n, ids_sha, text_sha = [], [], []
             for t in texts_of(batch, text):
-                ids = list(bpe.encode(t or ""))
+                ids = bpe.encode(t or "")
                 n.append(len(ids))
                 ids_sha.append(sha256(np.array(ids, "<u4").tobytes()))
                 text_sha.append(sha256(bpe.decode_tokens(ids).encode("utf-8")))
