@@ -35,13 +35,12 @@ PERCENT = 85
 FREQUENT, FREQUENT_MOST = 32, 1 << 22
 # Shingles counted at a time; those seen less often among them are not added up.
 COUNTED, LEAST_COUNT = 1 << 21, 4
-# Sets up to SINGLE shingles index single shingles only, from BOTH on (also) class pairs;
-# sets similar to each other always have one of the two in common.
-SINGLE, BOTH = 40, 34
-# Sets from LARGE on index class pairs of all shingles, and up to 1.25 times that also singles.
-LARGE = 1024
-# Buckets of the sketch that bounds an overlap from above.
-BUCKETS = 32
+# Sets up to SINGLE shingles index single shingles only, larger ones class pairs of frequent
+# ones, and from LARGE on class pairs of all shingles. Sets that may be similar to one on the
+# other side of such a limit do both.
+SINGLE, CLASSES, LARGE = 40, 16, 512
+# Bits of the sketch that bounds the difference of two sets from below.
+SKETCH = 256
 # Members of a group that are compared in one task at a time.
 CHUNK = 1024
 REMEMBERED = 500_000
@@ -115,33 +114,35 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
     out = []
     if n <= SINGLE:
         out.append(np.concatenate([rare, often])[:needed])
-    if BOTH <= n < LARGE * 5 // 4:
+    if 100 * n >= percent * SINGLE and percent * n <= 100 * LARGE:
         out.append(rare[:needed])
         if len(rare) < needed:
-            out.append(_class_pairs(often, len(rare), needed, 16))
+            out.append(_class_pairs(often, len(rare), needed, CLASSES))
     if n >= LARGE:
-        # Classes in a number that is the same for all sets a set of this size can be similar to.
-        level = max(0, int(np.log2(n / LARGE)))
-        for step in (level, level + 1) if n > (LARGE << (level + 1)) * 4 // 5 else (level,):
-            out.append(_class_pairs(np.concatenate([rare, often]), 0, needed, 128 << step) + np.uint64(step + 1))
+        # The number of classes doubles with the size; near the next step both numbers are used.
+        level = (n // LARGE).bit_length() - 1
+        for step in (level, level + 1) if 100 * n >= percent * (LARGE << (level + 1)) else (level,):
+            pairs = _class_pairs(np.concatenate([rare, often]), 0, needed, (LARGE // 2) << step)
+            out.append(pairs + np.uint64(step + 1))
     return np.unique(np.concatenate(out))
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Tokens per bucket. Where a bucket is too full for a byte, all are full: no bound."""
-    counts = np.bincount((tokens % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-    return bytes([255] * BUCKETS) if counts.max() >= 255 else counts.astype(np.uint8).tobytes()
+    """A bit per bucket: whether it holds an odd number of tokens. A token that only one of two
+    sets has changes one bit, so the sets differ by at least as many tokens as the sketches by bits."""
+    counts = np.bincount((tokens % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+    return np.packbits(counts & 1).tobytes()
 
 
 def _possible(na, nb, sa, sb, percent: int) -> np.ndarray:
-    """Whether pairs can be similar, by sizes and by the overlap of their sketches."""
-    most = np.minimum(sa, sb).astype(np.int64).sum(axis=1)
-    most = np.where((sa[:, 0] == 255) | (sb[:, 0] == 255), np.minimum(na, nb), most)
-    return (100 * most >= percent * (na + nb - most)) & (most > 0)
+    """Whether pairs can be similar, by their sizes and sketches."""
+    differ = np.maximum(np.bitwise_count(sa ^ sb).sum(axis=1, dtype=np.int64), np.abs(na - nb))
+    # With d tokens in one set only, the overlap is (na + nb - d) / 2 and the union (na + nb + d) / 2.
+    return 100 * (na + nb - differ) >= percent * (na + nb + differ)
 
 
 def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BUCKETS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
 
 
 def _frequent(docs: DataFrame, words: int) -> np.ndarray:

@@ -1,0 +1,366 @@
+"""The corpus operators against plain Python, with odd inputs of every kind."""
+
+import random
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from newsloom.llm import bpe, components, decontaminate, histogram_sort, jaccard, language, licenses, secrets
+from newsloom.llm import substring_dedup, topk, warc
+from newsloom.llm.queries import QUERIES, tokenizer
+from newsloom.settings import fresh_folder
+from tests.llm import plain
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def words(seed, n, size=400):
+    r = random.Random(seed)
+    return " ".join(f"w{r.randrange(size)}é"[: r.randrange(2, 6)] for _ in range(n))
+
+
+def documents():
+    """Copies, near copies, shared passages, nulls, empty, short, periodic and long texts."""
+    r = random.Random(5)
+    texts = [None, "", " ", "one", "ONE", "one two three", "!!! 123 ..", "aaaa" * 400, "ab" * 700, "é" * 300]
+    base = words(1, 300)
+    texts += [base] * 3 + [base.upper()]
+    for k in range(30):
+        parts = base.split()
+        for _ in range(k % 4):
+            parts[r.randrange(len(parts))] = f"x{k}{_}"
+        texts.append(" ".join(parts))
+    passage = words(2, 60)
+    texts += [f"{words(100 + k, 20 + 7 * k)} {passage} {words(200 + k, 30)}" for k in range(12)]
+    texts += [words(3, 9000), words(3, 9000) + " tail", "x" * 70_000 + " " + words(4, 50)]
+    texts += [" ".join(f"s{i % 7}" for i in range(n)) for n in (3, 4, 5, 30, 36, 41, 47)]
+    return list(enumerate(texts))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, ("en", "fr", None)[i % 3], "s", len(t or "")) for i, t in documents()]
+    return spark.createDataFrame(rows, DOCS).repartition(5).cache()
+
+
+def by_id(df, *columns):
+    return {r[0]: tuple(r[1:]) for r in df.select(df.columns[0] if not columns else columns[0], *columns[1:]).collect()}
+
+
+SUBSTRING_COLUMNS = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@pytest.mark.parametrize("often", [4096, 2])
+def test_repeated_substrings(docs, often, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "OFTEN", often)
+    monkeypatch.setattr(substring_dedup, "PIECE", 3000)
+    got = by_id(substring_dedup.remove_repeated(docs), *SUBSTRING_COLUMNS)
+    assert got == plain.substrings(documents())
+
+
+def test_suffix_sort_survives_hash_collisions(monkeypatch):
+    import numpy as np
+
+    r = random.Random(3)
+    texts = [bytes(r.choice(b"ab") for _ in range(r.randrange(1, 30))) for _ in range(300)]
+    group = np.sort(np.array([r.randrange(9) for _ in texts]))
+    lengths = np.array([len(t) for t in texts])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    start = np.cumsum(lengths) - lengths
+    expected = sorted(range(300), key=lambda i: (group[i], texts[i]))
+    for collide in (False, True):
+        suffixes = substring_dedup.Suffixes(data, start, lengths)
+        if collide:
+            suffixes.sums = np.zeros_like(suffixes.sums)
+        order, common = suffixes.sort(group)
+        assert [texts[i] for i in order] == [texts[i] for i in expected]
+        for k in range(1, 300):
+            if group[order[k]] == group[order[k - 1]]:
+                x, y = texts[order[k - 1]], texts[order[k]]
+                assert common[k] == next((n for n in range(min(len(x), len(y))) if x[n] != y[n]), min(len(x), len(y)))
+
+
+@pytest.mark.parametrize("words_percent", [(4, 85), (5, 80)])
+@pytest.mark.parametrize("frequent", [32, 1])
+def test_near_duplicates(docs, words_percent, frequent, monkeypatch):
+    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard, "LEAST_COUNT", 1)
+    monkeypatch.setattr(jaccard, "CHUNK", 8)
+    got = by_id(jaccard.near_duplicates(docs, words=words_percent[0], percent=words_percent[1]))
+    assert got == plain.near_duplicates(documents(), *words_percent)
+
+
+@pytest.mark.parametrize("seed", range(80))
+def test_similar_sets_share_an_entry(seed):
+    """The promise of the index, for sets of all sizes and any set of frequent shingles."""
+    import numpy as np
+
+    r = random.Random(seed)
+    n = r.choice([1, 2, 5, 19, 32, 33, 34, 36, 40, 41, 60, 300, 511, 512, 600, 640, 641, 820, 1023, 1024, 1200, 2048, 5000])
+    percent = r.choice([80, 85])
+    tokens = np.unique(np.array([r.getrandbits(64) for _ in range(n)], np.uint64))
+    frequent = np.sort(np.array(r.sample(tokens.tolist(), r.choice([0, n // 2, n])), np.uint64))
+    room = n - -(-n * percent // 100)  # removed from, or added to, the set
+    fewer = np.array(sorted(r.sample(tokens.tolist(), n - r.randint(0, room))), np.uint64)
+    entries = jaccard.signatures(tokens, frequent, percent)
+    assert len(np.intersect1d(entries, jaccard.signatures(fewer, frequent, percent)))
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(40)] + [(100, 50), (100, 100), (60, 100), (60, 50)]
+    got = by_id(components.connected(spark.createDataFrame(chain, "a bigint, b bigint")), "node", "component")
+    assert got == {**{i: (0,) for i in range(41)}, 50: (50,), 60: (50,), 100: (50,)}
+
+
+PAGES = "page_id bigint, url string, html string, page string"
+
+
+def test_archives(spark):
+    same, short = "<p>é</p>" * 30, "<p>a</p>"
+    rows = [(7, "u7", same), (3, "u3", same), (5, None, same), (1, "u1", short), (2, "u2", short), (4, "u\r\n4", None),
+            (6, "u6", ""), (None, "n", same), (9, "u9", "x" * 100_000), (3, "again", same), (8, "u8", "a" * 100)]
+    pages = spark.createDataFrame([(*r, "extra") for r in rows], PAGES)
+    found = []
+    for parts in (1, 4):
+        folder = fresh_folder(spark, "warc-test")
+        warc.write_archives(pages.repartition(parts), folder, range_bytes=20_000, file_bytes=400)
+        read = warc.read_archives(spark, folder, payload=True)
+        files = spark.read.json(f"{folder}/{warc.MANIFEST}").select("file", "records", "bytes", "sha256")
+        found.append((sorted(map(str, read.collect())), sorted(map(str, files.collect()))))
+    assert found[0] == found[1]
+    got = sorted((r.page_id or 0, r.record_type, r.refers_to or 0, r.payload_bytes) for r in read.collect())
+    assert got == [
+        (0, "revisit", 3, 270), (1, "response", 0, 8), (2, "response", 0, 8), (3, "response", 0, 270),
+        (3, "revisit", 3, 270), (4, "response", 0, 0), (5, "revisit", 3, 270), (6, "response", 0, 0),
+        (7, "revisit", 3, 270), (8, "response", 0, 100), (9, "response", 0, 100_000),
+    ]
+    assert {r.payload_digest for r in read.collect() if r.page_id == 7} == {plain.sha(same.encode())}
+    bodies = {r.page_id: r.payload for r in read.filter("record_type = 'response'").collect()}
+    assert bodies[9] == b"x" * 100_000 and bodies[3] == same.encode()
+
+
+def test_a_damaged_archive_fails_the_read():
+    import gzip
+
+    record = warc.page_record(1, "u", b"body", None, warc.DATE)
+    assert [r["page_id"] for r in warc._rows("f", record, True)] == [1]
+    with pytest.raises(ValueError, match="damaged"):
+        list(warc._rows("f", gzip.compress(gzip.decompress(record).replace(b"body", b"bodx")), True))
+
+
+def secret_texts():
+    body = "0123456789ABCDEFGHIJKLMNOPQRST"
+    good = "ghp_" + body + secrets.checksum(body)
+    return [
+        None, "", "password=abcdef", "PassWord : 'abc123'", "token = abc secret=longenough", "secret=token=abcdef",
+        "api_key=\"A+/=._-z\" apikey:123456", "AKIA" + "A" * 16, "AKIA" + "A" * 15, "akia" + "A" * 16, "AKIAKIA" + "B" * 13,
+        "f" * 24, "f" * 23, "F" * 30, "deadbeef" * 3 + "x" + "0" * 40, f"é {good} {good[:-1]}0", "paſſword=abcdef",
+        "İİ token=abcdefg", "x" * 50_000 + "passwd=qwerty12", "to\nken=abcdef token\n=abcdef token=\n",
+    ]
+
+
+def test_secrets(spark):
+    rows = list(enumerate(secret_texts()))
+    df = spark.createDataFrame([(*r, "mine") for r in rows], "doc_id bigint, text string, spans string")
+    got = {r.doc_id: r for r in secrets.scan_secrets(df).collect()}
+    for doc, text in rows:
+        counts, digest = plain.base_secrets(text)
+        r = got[doc]
+        assert ((r.n_assign, r.n_access, r.n_hex), r.base_sha256) == (counts, digest), text
+    assert got[15].spans == "checked:2:42"
+    clean = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert clean[0] is None and clean[4] == "token = abc [secret]" and clean[12] == "f" * 23
+    assert not any(secrets.finder()(t or "") for t in clean.values())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="pastokenwrdic=: 'AKI9f_ſ", max_size=60))
+def test_secrets_of_any_text(text):
+    spans = [s for s in secrets.finder()(text) if s[1] < 3]
+    assert plain.sha(secrets.written(spans).encode()) == plain.base_secrets(text)[1]
+
+
+def test_licenses(spark):
+    rows = [
+        (1, "intro\nReleased under the MIT licence!\nend"), (2, "Copyright (c) 2020 Someone\nLicensed under the MIT  LICENSE"),
+        (3, "MIT"), (4, None), (5, ""), (6, "licensed under cc by-nc 4.0\nReleased under the MIT License."),
+    ]
+    known = licenses.known_licenses(spark)
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, license_id string")
+    got = {(r.doc_id, r.license_id, r.n_lines, r.whole) for r in licenses.find_licenses(df, known).collect()}
+    assert got == {(1, "MIT", 1, False), (2, "MIT", 1, True), (6, "MIT", 1, False), (6, "CC-BY-NC-4.0", 1, False)}
+    assert licenses.find_licenses(df.limit(0), known).count() == 0
+
+
+def test_nearest_vectors(spark):
+    r = random.Random(2)
+    rows = [(i, [r.gauss(0, 0.2) for _ in range(8)]) for i in range(400)]
+    rows += [(400 + i, list(rows[3][1])) for i in range(60)]  # ties
+    rows += [(1000, None), (1001, [None] * 8), (1002, [float("nan")] * 8), (1050, [float("inf")] * 8)]
+    df = spark.createDataFrame([(*x, 1) for x in rows], "vec_id bigint, embedding array<float>, rank int")
+    exact = [(i, None if v is None else [None if x is None else float(__import__("numpy").float32(x)) for x in v]) for i, v in rows]
+    vectors = df.select("vec_id", topk.quantized(F.col("embedding")).alias("vec"))
+    is_query = F.col("vec_id") % 50 == 0
+    got = sorted(map(tuple, topk.nearest(vectors, is_query).collect()))
+    assert got == plain.nearest(exact)
+    few = vectors.filter("vec_id in (0, 7, 8)")
+    assert [r.vec_id for r in topk.nearest(few.union(few), is_query).orderBy("rank").collect()] in ([7, 8], [8, 7])
+    assert topk.nearest(vectors.limit(0), is_query).count() == 0
+
+
+def test_bounds_spare_most_evaluations():
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    vectors = (r.normal(size=(4000, 3)) * 200).astype(np.int64)
+    greatest = int((vectors**2).sum(axis=1).max())
+    search = topk._Search(vectors[:32], greatest, 5)
+    seen = []
+
+    class Watched(np.ndarray):
+        def __getitem__(self, at):
+            if isinstance(at, np.ndarray):
+                seen.append(len(at))
+            return super().__getitem__(at)
+
+    found = list(search.run(np.arange(4000), vectors.view(Watched), np.array([0]), vectors[:1]))
+    assert [f[1] for f in found] == sorted(range(1, 4000), key=lambda i: (-int(vectors[i] @ vectors[0]), i))[:5]
+    assert sum(seen) < 2000
+
+
+def test_decontamination(spark, docs):
+    texts = dict(documents())
+    some = texts[14].split()
+    items = [(1, " ".join(some[:10])), (2, " ".join(some[5:40])), (10, "one"), (3, "one two"), (4, None), (5, "..."),
+             ("b", " ".join(some[5:40])), (7, "s0 s1 s2 s3 s4 s5 s6 s0 s1 s2 s3 s4")]
+    bench = spark.createDataFrame([(str(i), t) for i, t in items], "item_id string, text string")
+    parts = decontaminate.load_items(bench)
+    found = decontaminate.with_digest(decontaminate.find_contamination(docs, parts))
+    got = by_id(found, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert got == plain.contamination(documents(), items)
+    split = [[item] for part in parts for item in part]
+    again = decontaminate.with_digest(decontaminate.find_contamination(docs, split))
+    assert by_id(again, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == got
+    clean = decontaminate.remove_contamination(docs, parts)
+    assert clean.columns == docs.columns
+    left = decontaminate.find_contamination(clean.filter("doc_id < 58"), parts)
+    assert left.filter("n_hit > 0").count() == 0
+    assert {0, 1, 2} <= {r.doc_id for r in clean.collect()}
+    assert decontaminate.find_contamination(docs, []).filter("n_hit > 0").count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.lists(st.text(alphabet="ab c", max_size=14), max_size=4), st.text(alphabet="abd ", max_size=40), st.integers(1, 4)
+)
+def test_automaton_finds_all_windows(items, text, window):
+    items = list(enumerate(items))
+    words = decontaminate.words_of(text)
+    runs, found = decontaminate.Automaton(items, window).scan(words)
+    n, hit, n_items, digest, _ = plain.contamination([(0, text)], items, window)[0]
+    assert (sum(b - a for a, b in runs), len(found)) == (hit, n_items)
+    assert plain.sha(",".join(sorted(found)).encode()) == digest
+
+
+def test_language(spark):
+    rows = [(i, f"{'the of and to thing' if i % 2 else 'le la de et chose'} {words(i, 40)}", ("fr", "en")[i % 2]) for i in range(60)]
+    rows += [(100, None, "fr"), (101, "", "fr"), (102, "12 !!", "en"), (103, "the", None), (None, "la la la", "fr")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, lang string, score string")
+    judged = df.withColumn("held_out", language.held_out())
+    profiles = language.learn_profiles(judged.filter(~F.col("held_out")))
+    got = by_id(language.predict_language(judged, profiles), "doc_id", "held_out", "lang_pred", "score")
+    want = plain.languages(rows)
+    assert got.keys() == want.keys()
+    for doc, (out_of, name, score) in want.items():
+        assert got[doc][:2] == (out_of, name) and got[doc][2] == pytest.approx(score)
+    assert language.learn_profiles(df.limit(0)) == {}
+    assert by_id(language.predict_language(df, {}), "doc_id", "lang_pred")[3] == ("und",)
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(tokenizer())
+    made.no_truncation()
+    made.no_padding()
+    return made
+
+
+def test_encoding(spark, library):
+    r = random.Random(4)
+    pieces = [t.removesuffix("</w>") for t in library.get_vocab() if t.removesuffix("</w>").isalpha() and t.isascii()]
+    texts = [None, "", "  ", "I'VE it's 's!! 12x3", "a<|endoftext|>b<|startoftext|>", "ΑΣ İ é Å ﬁ", "a\u0000b\u0085c", "</w>",
+             "\U00010d50x \U0001e5f1 𝒜𝒷", "".join(r.choice(pieces) for _ in range(6000)), "ab" * 9000, "z" * 9000]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, ids string")
+    encoded = bpe.encode_texts(df, tokenizer())
+    got = {r.doc_id: r.ids for r in encoded.collect()}
+    digests = by_id(bpe.token_digests(df, tokenizer()), "doc_id", "n_tokens", "decoded_sha256")
+    for i, t in enumerate(texts):
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        assert got[i] == ids, t
+        assert digests[i] == (len(ids), plain.sha(library.decode(ids, skip_special_tokens=False).encode()))
+    back = by_id(bpe.decode_ids(encoded, tokenizer()), "doc_id", "decoded")
+    assert back[0] == ("",) and back[5] == ("ασ i ̇ é å ﬁ ",) and back[4] == ("a <|endoftext|>b <|startoftext|>",)
+
+
+def test_tokens_are_stable_after_the_lookahead(library):
+    coder = bpe.load(tokenizer())
+    r = random.Random(8)
+    width = coder.widths()
+    for _ in range(60):
+        symbols = [coder.vocab[r.choice("aeinorst")] for _ in range(6000)]
+        cut = r.randrange(coder.lookahead, 6000)
+        part, whole = coder._merge(symbols[:cut]), coder._merge(symbols[:])
+        done = 0
+        for a, b in zip(part, whole):
+            done += width[a]
+            if done > cut - coder.lookahead:
+                break
+            assert a == b
+
+
+def shards_of(df, n=8):
+    placed = histogram_sort.histogram_shards(
+        df, histogram_sort.sort_key(F.col("text"), F.col("doc_id")), F.octet_length(F.coalesce("text", F.lit(""))) + 1, n
+    )
+    return placed, placed.collect()
+
+
+def test_sharding(spark, docs):
+    hot = spark.range(3000).select(F.col("id") + 1000, F.lit("same text"), F.lit("en"), F.lit("s"), F.lit(9))
+    df = docs.filter("length(text) < 5000 or text is null").union(hot).withColumn("shard", F.lit("mine"))
+    placed, rows = shards_of(df)
+    assert placed.columns == [c for c in df.columns if c != "shard"] + ["shard", "slot"]
+    sizes, slots = [0] * 8, [[] for _ in range(8)]
+    for r in rows:
+        sizes[r.shard] += len((r.text or "").encode()) + 1
+        slots[r.shard].append(r.slot)
+    assert len(rows) == df.count() and all(sorted(s) == list(range(len(s))) for s in slots)
+    assert max(sizes) - min(sizes) < 0.15 * sum(sizes) / 8
+    assert shards_of(df.limit(0))[1] == []
+    assert len(shards_of(docs.union(docs))[1]) == 2 * docs.count()
+    assert "Python" not in placed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cut_goes_to_the_nearest_edge():
+    assert histogram_sort.cut([5, 5, 5, 5], 2) == [0, 0, 1, 1]
+    assert histogram_sort.cut([1, 1, 10, 1, 1], 2) in ([0, 0, 1, 1, 1], [0, 0, 0, 1, 1])
+    assert histogram_sort.cut([], 3) == []
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_empty_tables(spark, name, tmp_path):
+    for t, schema in (("documents", DOCS), ("pages", "page_id bigint, url string, html string"),
+                      ("embeddings", "vec_id bigint, embedding array<float>, label int"), ("benchmark", "item_id bigint, text string")):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert QUERIES[name](spark, str(tmp_path)).collect() == []
+
+
+def test_crc32_is_that_of_the_text(spark):
+    got = QUERIES["op10_sharding"](spark, "/root/testdata/sf0.001").limit(3).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert all(r.text_crc32 == zlib.crc32(texts[r.doc_id].encode()) for r in got)
