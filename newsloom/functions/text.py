@@ -142,8 +142,11 @@ def strip_html(c: Column) -> Column:
     page extraction drops those blocks beforehand.  An unfinished reference or
     tag at the end is kept as text.
     """
-    pieces = F.filter(F.split(F.coalesce(c, F.lit("")), TAG), lambda x: x != "")
-    return unescape_html(F.array_join(pieces, " "))
+    text = F.coalesce(c, F.lit(""))
+    pieces = F.filter(F.split(text, TAG), lambda x: x != "")
+    # Most texts have no markup, and splitting them would cost more than looking for it.
+    plain = F.when(text.contains("<"), F.array_join(pieces, " ")).otherwise(text)
+    return F.when(plain.contains("&"), unescape_html(plain)).otherwise(plain)
 
 
 def remove_urls(c: Column) -> Column:
@@ -161,7 +164,7 @@ def collapse_whitespace(c: Column) -> Column:
 
 def filter_characters(c: Column) -> Column:
     """Replace each character outside the allow-list by a space."""
-    return F.regexp_replace(c, DISALLOWED_CHARS, " ")
+    return F.when(c.rlike(DISALLOWED_CHARS), F.regexp_replace(c, DISALLOWED_CHARS, " ")).otherwise(c)
 
 
 def normalize_text(c: Column) -> Column:

@@ -6,22 +6,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators import sites
-from newsloom.operators.ranking import first_n, keep_first
+from newsloom.operators.extraction import succeeded
+from newsloom.operators.ranking import first_n_salted, keep_first
 
 
-def cap_articles(
-    candidates: DataFrame, succeeded: str, per_source: int = sites.ARTICLES_PER_SOURCE
-) -> DataFrame:
-    """First listing wins per (source, url); then the first successful articles
-    of each source, in (category_rank, pos) order.
+def cap_articles(candidates: DataFrame, succeeded: str, per_source: int | None = None) -> DataFrame:
+    """First listing wins per (source, url); of the successful articles all are kept, or
+    with ``per_source`` the first of each source in (category_rank, pos) order.
 
     A URL that failed is not tried again under a later listing, and failures do
-    not count towards the cap. Both steps keep only the leading rows of a key in
-    each input partition before they shuffle.
+    not count towards the cap.
     """
     order = ["category_rank", "pos"]
-    once = keep_first(candidates, ["source", "url"], order)
-    return first_n(once.filter(F.col(succeeded)), ["source"], order, per_source)
+    found = keep_first(candidates, ["source", "url"], order).filter(F.col(succeeded))
+    return found if per_source is None else first_n_salted(found, ["source"], order, per_source)
+
+
+def counts_by(articles: DataFrame, column: str) -> DataFrame:
+    """Articles per value of ``language`` or ``source``; a missing value counts as such."""
+    return articles.groupBy(column).agg(F.count(F.lit(1)).alias("article_count"))
+
+
+def site_outcomes(parsed: DataFrame) -> DataFrame:
+    """Per site, what became of its fetched pages: read, failed, and articles made."""
+    return parsed.groupBy("site").agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.count_if(F.col("error").isNotNull()).alias("failed"),
+        F.count_if(succeeded()).alias("articles"),
+    )
 
 
 def source_counts(articles: DataFrame) -> DataFrame:

@@ -58,16 +58,22 @@ def warehouse_events(events: DataFrame, loaded_at: Column) -> DataFrame:
 def upsert(existing: DataFrame, incoming: DataFrame, key: str = "event_id") -> DataFrame:
     """Insert new keys; for a known key only ``loaded_at`` moves on.
 
-    One aggregation with a map-side step, so many copies of one key shrink
-    before the shuffle. All of a row takes part in the order, so the result does
-    not depend on which copy arrives first.
+    Keys are unique in ``existing``. The incoming rows are counted per key by hash; known
+    keys take the newest stamp by a join, new ones come in as they are. Only keys that
+    repeat within the batch are ordered by all of their row, so that the result
+    does not depend on which copy arrives first.
     """
     rest = [c for c in existing.columns if c not in (key, "loaded_at")]
-    both = existing.withColumn("_incoming", F.lit(0)).unionByName(
-        incoming.withColumn("_incoming", F.lit(1))
-    )
-    first = F.min(F.struct("_incoming", "loaded_at", *rest)).alias("first")
-    merged = both.groupBy(key).agg(first, F.max("loaded_at").alias("loaded_at"))
-    return merged.select(key, *[F.col(f"first.{c}").alias(c) for c in rest], "loaded_at").select(
-        *existing.columns
+    counts = incoming.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"), F.max("loaded_at").alias("_loaded"))
+    known = existing.join(counts, key, "left").withColumn("loaded_at", F.greatest("loaded_at", "_loaded"))
+    fresh = incoming.join(existing.select(key), key, "left_anti").join(counts, key)
+    once = fresh.filter(F.col("_copies") == 1)
+    first = F.min(F.struct("loaded_at", *rest)).alias("first")
+    repeated = (
+        fresh.filter(F.col("_copies") > 1)
+        .groupBy(key)
+        .agg(first, F.max("_loaded").alias("loaded_at"))
+        .select(key, *[F.col(f"first.{c}").alias(c) for c in rest], "loaded_at")
     )
+    columns = existing.columns
+    return known.select(columns).unionByName(once.select(columns)).unionByName(repeated.select(columns))

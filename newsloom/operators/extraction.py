@@ -23,7 +23,9 @@ from newsloom.operators.sites import Site
 for _module in (page_tree, sites, sys.modules[__name__]):
     cloudpickle.register_pickle_by_value(_module)
 
-PARSED = "title string, author string, publication_date string, category string, content string"
+PARSED = "title string, author string, publication_date string, category string, content string, error string"
+# Whole pages travel to the parser; it takes a batch in parts of so many.
+PAGES_AT_A_TIME = 64
 
 
 def site_of(url: Column) -> Column:
@@ -37,24 +39,29 @@ def site_of(url: Column) -> Column:
 
 
 def read_page(html: str, site: Site) -> tuple:
-    """Title, author, date, category and body of one page."""
+    """Title, author, date, category and body of one page, and the error if it cannot be read."""
+    try:
+        return *_fields(html, site), None
+    except Exception as error:  # one page must not fail the others
+        return None, None, None, None, None, f"{type(error).__name__}: {error}"
+
+
+def _fields(html: str, site: Site) -> tuple:
     page = parse(html)
+    wanted = [*site.title, site.date, site.category, site.author, *site.body]
+    found = page.firsts([s for s in wanted if s])
 
     def text_of(selector: str):
-        node = page.first(selector) if selector else None
+        node = found.get(selector)
         return None if node is None else node.text()
 
-    title = None
-    for selector in site.title:
-        title = text_of(selector)
-        if title is not None:
-            break
+    title = next((text_of(s) for s in site.title if s in found), None)
     date = None
-    node = page.first(site.date) if site.date else None
+    node = found.get(site.date)
     if node is not None:
         date = node.attrs.get("datetime") or node.text()
     category = None
-    node = page.first(site.category) if site.category else None
+    node = found.get(site.category)
     if node is not None and site.category_links:
         links = node.all("a")
         category = links[-1].text() if len(links) > 1 else None
@@ -62,11 +69,11 @@ def read_page(html: str, site: Site) -> tuple:
         category = node.text()
     # The author is read before the body drops elements of the page.
     author = text_of(site.author)
-    return title, author, date, category, _body(page, site)
+    return title, author, date, category, _body(found, site)
 
 
-def _body(page, site: Site) -> str:
-    node = next(filter(None, (page.first(s) for s in site.body)), None)
+def _body(found: dict, site: Site) -> str:
+    node = next((found[s] for s in site.body if s in found), None)
     if node is None:
         return ""
     dropped = set(site.drop_classes)
@@ -92,10 +99,12 @@ def parse_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     fields = [f.split()[0] for f in PARSED.split(", ")]
 
     def parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [read_page(h, by_key[s]) for h, s in zip(batch["html"], batch["site"])]
-            parsed = pd.DataFrame(rows, columns=fields, index=batch.index)
-            yield pd.concat([batch[carried], parsed], axis=1)
+        for whole in batches:
+            for at in range(0, len(whole), PAGES_AT_A_TIME):
+                batch = whole.iloc[at : at + PAGES_AT_A_TIME]
+                rows = [read_page(h, by_key[s]) for h, s in zip(batch["html"], batch["site"])]
+                parsed = pd.DataFrame(rows, columns=fields, index=batch.index)
+                yield pd.concat([batch[carried], parsed], axis=1)
 
     source = pages.filter(F.col("site").isin(list(by_key)) & F.col("html").isNotNull())
     types = dict(source.dtypes)
@@ -119,15 +128,17 @@ def body_or_description(guarded: Column, body: Column, description: Column) -> C
 
 
 def succeeded() -> Column:
-    """Whether a parsed page makes an article: it has a body, and a title unless
-    the feed gives that."""
+    """Whether a parsed page makes an article: it was read, has a body, and a title
+    unless the feed gives that."""
     from_feed = F.col("site").isin([s.key for s in sites.SITES if s.feed])
-    return (from_feed | ~text.is_blank(F.col("title"))) & ~text.is_blank(F.col("content"))
+    return F.col("error").isNull() & (from_feed | ~text.is_blank(F.col("title"))) & ~text.is_blank(F.col("content"))
 
 
-def finish(parsed: DataFrame, scraped_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Raw articles from parsed pages with a ``site``: cut the body, drop rows
-    without a title or body, add the constants of the site."""
+def finish(
+    parsed: DataFrame, scraped_at: Column, keep: tuple[str, ...] = (), max_content: int | None = None
+) -> DataFrame:
+    """Raw articles from parsed pages with a ``site``: drop rows without a title or
+    body, add the constants of the site; with ``max_content`` bodies are cut to that length."""
     site = F.col("site")
     source, language = F.lit(None).cast("string"), F.lit(None).cast("string")
     for s in sites.SITES:
@@ -138,7 +149,7 @@ def finish(parsed: DataFrame, scraped_at: Column, keep: tuple[str, ...] = ()) ->
         "author",
         "publication_date",
         "category",
-        cut_content(F.col("content")).alias("content"),
+        cut_content(F.col("content"), max_content).alias("content"),
         source.alias("source"),
         "url",
         language.alias("language"),
@@ -147,5 +158,5 @@ def finish(parsed: DataFrame, scraped_at: Column, keep: tuple[str, ...] = ()) ->
     )
 
 
-def cut_content(content: Column) -> Column:
-    return F.substring(content, 1, sites.MAX_CONTENT)
+def cut_content(content: Column, n: int | None) -> Column:
+    return content if n is None else F.substring(content, 1, n)

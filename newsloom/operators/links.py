@@ -36,14 +36,16 @@ def is_article_link(href: Column, site: Column, base: Column) -> Column:
     return href.startswith(base) & by_site
 
 
-def first_links(html: Column, base: Column, wanted, n: int = sites.LINKS_PER_LISTING) -> Column:
-    """The first n distinct wanted links of a page, in document order."""
+def first_links(html: Column, base: Column, wanted, n: int | None = None) -> Column:
+    """The distinct wanted links of a page, in document order; with ``n`` the first n."""
     resolved = F.transform(markup.hrefs(html), lambda h: markup.resolve(h, base))
-    return F.slice(F.array_distinct(F.filter(resolved, wanted)), 1, n)
+    distinct = F.array_distinct(F.filter(resolved, wanted))
+    return distinct if n is None else F.slice(distinct, 1, n)
 
 
-def listing_links(listings: DataFrame, n: int = sites.LINKS_PER_LISTING) -> DataFrame:
-    """Article links of listing pages with ``site`` and ``category_rank``."""
+def listing_links(listings: DataFrame, n: int | None = None) -> DataFrame:
+    """Article links of listing pages with ``site`` and ``category_rank``; with ``n``
+    at most n of each page. ``listing`` tells pages of equal rank apart."""
     base = F.lit(None).cast("string")
     for s in sites.SITES:
         base = F.when(F.col("site") == s.key, s.base).otherwise(base)
@@ -51,4 +53,5 @@ def listing_links(listings: DataFrame, n: int = sites.LINKS_PER_LISTING) -> Data
     found = first_links(
         F.col("html"), F.col("base"), lambda h: is_article_link(h, F.col("site"), F.col("base")), n
     )
-    return based.select("site", "category_rank", F.posexplode(found).alias("pos", "url"))
+    listing = F.xxhash64("html").alias("listing")
+    return based.select("site", "category_rank", listing, F.posexplode(found).alias("pos", "url"))

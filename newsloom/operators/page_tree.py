@@ -7,7 +7,9 @@ open element is ignored; nothing else is repaired.
 
 from __future__ import annotations
 
+import functools
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 _VOID = frozenset(
@@ -48,24 +50,25 @@ class Element:
         pieces = (s.strip() for s in self.strings())
         return separator.join(p for p in pieces if p)
 
-    def matches(self, selector: str) -> bool:
-        want = _SELECTOR.fullmatch(selector).groupdict()
-        if want["tag"] and self.tag != want["tag"]:
-            return False
-        if want["cls"]:
-            return want["cls"] in (self.attrs.get("class") or "").split()
-        if want["attr"]:
-            value = self.attrs.get(want["attr"]) or ""
-            if want["op"] == "*=":
-                return want["value"] in value.lower()
-            return value == want["value"]
-        return True
+    def firsts(self, selectors: list[str]) -> dict:
+        """The first element of each selector, found in one walk."""
+        tests = [(s, _compiled(s)) for s in selectors]
+        found: dict[str, Element] = {}
+        for node in self.walk():
+            hits = [s for s, test in tests if test(node)]
+            if hits:
+                found.update((s, node) for s in hits)
+                tests = [t for t in tests if t[0] not in found]
+                if not tests:
+                    break
+        return found
 
     def first(self, selector: str):
-        return next((n for n in self.walk() if n.matches(selector)), None)
+        return self.firsts([selector]).get(selector)
 
     def all(self, selector: str) -> list:
-        return [n for n in self.walk() if n.matches(selector)]
+        test = _compiled(selector)
+        return [n for n in self.walk() if test(n)]
 
     def remove(self, unwanted) -> None:
         """Drop every descendant for which ``unwanted`` holds."""
@@ -75,11 +78,31 @@ class Element:
             ]
 
 
+@functools.cache
+def _compiled(selector: str):
+    """A selector as a function of an element."""
+    want = _SELECTOR.fullmatch(selector).groupdict()
+    tag, cls, attr, value = want["tag"], want["cls"], want["attr"], want["value"]
+
+    def test(node: Element) -> bool:
+        if tag and node.tag != tag:
+            return False
+        if cls:
+            return cls in (node.attrs.get("class") or "").split()
+        if attr:
+            own = node.attrs.get(attr) or ""
+            return value in own.lower() if want["op"] == "*=" else own == value
+        return True
+
+    return test
+
+
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Element("", {})
         self.open = [self.root]
+        self.counts = Counter()  # open elements by tag
         self.run_on = False  # the last string may still grow
 
     def handle_starttag(self, tag, attrs):
@@ -88,6 +111,7 @@ class _Builder(HTMLParser):
         self.open[-1].children.append(node)
         if tag not in _VOID:
             self.open.append(node)
+            self.counts[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -95,9 +119,10 @@ class _Builder(HTMLParser):
 
     def handle_endtag(self, tag):
         self.run_on = False
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
+        while self.counts[tag]:
+            closed = self.open.pop().tag
+            self.counts[closed] -= 1
+            if closed == tag:
                 return
 
     def handle_data(self, data):
@@ -117,6 +142,15 @@ class _Builder(HTMLParser):
     def handle_pi(self, data):
         self.run_on = False
 
+    def unknown_decl(self, data):
+        self.run_on = False
+
+    def parse_marked_section(self, i, report=1):
+        """A marked section of any kind ends at the next ``>`` and is no text."""
+        self.run_on = False
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
 
 def parse(html: str) -> Element:
     builder = _Builder()

@@ -80,7 +80,7 @@ def silver_checks(df: DataFrame) -> list[Check]:
     language = F.coalesce("language", F.lit(""))
     date = F.col("publication_date")
     return _required(df, "silver", SILVER_REQUIRED, "processed article") + [
-        Check("silver", "normalization_error", WARNING, "HTML tags found in content", content.rlike("[<>]")),
+        Check("silver", "normalization_error", WARNING, "Markup left in the text", content.rlike("[<>]")),
         Check("silver", "language_detection", WARNING, "Unknown language code", ~language.isin(*LANGUAGES)),
         Check(
             "silver", "date_format", WARNING, "Invalid date format",
@@ -112,13 +112,13 @@ def summary_checks(df: DataFrame) -> list[Check]:
     ]
     total = F.coalesce("total_articles", F.lit(0))
     return missing + [
-        Check("gold", "invalid_stats", WARNING, "Total articles should be > 0", total <= 0)
+        Check("gold", "invalid_stats", WARNING, "No article counted", total <= 0)
     ]
 
 
-def first_events(events: DataFrame) -> DataFrame:
-    """The events that are checked: the first fifty of the batch."""
-    return events.orderBy("sequence").limit(CHECKED_EVENTS)
+def first_events(events: DataFrame, n: int = CHECKED_EVENTS) -> DataFrame:
+    """The first events of a batch, for a quick look; checks run over all events."""
+    return events.orderBy("sequence").limit(n)
 
 
 def count_violations(df: DataFrame, checks: list[Check]) -> DataFrame:

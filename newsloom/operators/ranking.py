@@ -17,6 +17,13 @@ def first_n(df: DataFrame, keys: list[str | Column], order: list[str | Column],
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
 
 
+def first_n_salted(df: DataFrame, keys: list[str | Column], order: list[str | Column], n: int, salts: int = 64) -> DataFrame:
+    """The same for a few keys with very many rows: first within salted parts of
+    each key, so that no task gets n rows of a key from every input partition."""
+    salt = F.pmod(F.xxhash64(*order), F.lit(salts))
+    return first_n(first_n(df, [*keys, salt], order, n), keys, order, n)
+
+
 def keep_first(df: DataFrame, keys: list[str | Column], order: list[str | Column]) -> DataFrame:
     """One row per key: the first in the given order."""
     return first_n(df, keys, order, 1)

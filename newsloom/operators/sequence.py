@@ -1,53 +1,31 @@
 """Gap-free 1-based numbering of a whole table without one big task.
 
-Rows are cut into blocks by position. A block holds at most ``BLOCK`` rows, as
-positions are unique within a file, whatever share of the table one file has.
-Numbering runs inside each block; what a block starts at comes from running
-sums over block sizes, taken in two levels: over the blocks of one span, then
-over the spans. Only span totals (one row per file and ``BLOCK * SPAN`` rows)
-meet in a single task.
+Rows are sorted by ranges and written once, with their place in their range. The rows per
+range are counted, and the running sum over ranges, of which there are as many as tasks and
+not as many as files or rows, gives what each range starts at.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from itertools import accumulate
 
-BLOCK = 1 << 16
-SPAN = 1 << 10
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from newsloom.settings import staged
 
-def number_rows(
-    df: DataFrame, file: str, pos: str, out: str = "sequence", block: int = BLOCK, span: int = SPAN
-) -> DataFrame:
-    """Add ``out``: the 1-based rank of each row by (file, pos).
 
-    ``pos`` must be a non-negative integer, unique within its file.
-    """
-    cut = F.expr(f"{pos} div {block}")
-    keyed = df.withColumn("_block", cut)
-    sizes = (
-        df.groupBy(file, cut.alias("_block")).agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_span", F.expr(f"_block div {span}"))
-    )
-    in_span = Window.partitionBy(file, "_span").orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    over_spans = Window.orderBy(file, "_span").rowsBetween(Window.unboundedPreceding, -1)
-    spans = (
-        sizes.groupBy(file, "_span").agg(F.sum("_size").alias("_total"))
-        .withColumn("_before_span", F.coalesce(F.sum("_total").over(over_spans), F.lit(0)))
-        .drop("_total")
-    )
-    starts = (
-        sizes.withColumn("_before", F.coalesce(F.sum("_size").over(in_span), F.lit(0)))
-        .join(spans, [file, "_span"])
-        .select(file, "_block", (F.col("_before") + F.col("_before_span")).alias("_start"))
-    )
-    in_block = Window.partitionBy(file, "_block").orderBy(pos)
-    return (
-        keyed.withColumn("_rank", F.row_number().over(in_block))
-        .join(starts, [file, "_block"])
-        .withColumn(out, F.col("_start") + F.col("_rank"))
-        .drop("_block", "_rank", "_start")
+def number_rows(df: DataFrame, *order: str, out: str = "sequence") -> DataFrame:
+    """Add ``out``: the 1-based rank of each row in the given order, which must be total."""
+    # The low 33 bits of a row id count the rows of a task.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = staged(ranges.withColumns({"_range": F.spark_partition_id(), "_place": place}), "numbered")
+    sizes = sorted(rows.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect())
+    starts = list(accumulate([s.n for s in sizes], initial=0))
+    table = df.sparkSession.createDataFrame(
+        [(s["_range"], start) for s, start in zip(sizes, starts)], "_range int, _start bigint"
     )
+    # A row per task of the sort: bounded by the number of partitions.
+    numbered = rows.join(F.broadcast(table), "_range")
+    return numbered.withColumn(out, F.col("_start") + F.col("_place") + 1).drop("_range", "_place", "_start")

@@ -114,7 +114,8 @@ SITES = (
 BARLAMANE_SKIPPED = ("/category/", "/page/", "/tag/", "/author/", "/fr", "/feed", "/contact", "/about")
 ARTICLE_LINK = {"hespress": r"\.html$", "akhbarona": r"/[0-9]+\.html$"}
 
-# Text that a BBC feed link must hold, and the caps.
+# Text that a BBC feed link must hold, and the bounds of a small crawl. Nothing
+# applies these bounds by itself; callers that want them pass them on.
 BBC_LINK_PART = "bbc.com"
 LINKS_PER_LISTING = 10
 ARTICLES_PER_SOURCE = 50

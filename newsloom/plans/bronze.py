@@ -6,50 +6,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators import extraction, links, sites
-from newsloom.operators.ranking import first_n, keep_first
+from newsloom.operators.ranking import first_n_salted, keep_first
+from newsloom.operators.sequence import number_rows
 
 
 KEY = ["site", "url"]
-ORDER = ["category_rank", "pos"]
+# ``listing`` and ``url`` decide between listings of equal rank.
+ORDER = ["category_rank", "pos", "listing", "url"]
+ITEM = ["title", "publication_date", "description", "category"]
 
 
-def fetched_once(parsed: DataFrame) -> DataFrame:
-    """One page per URL, the first fetched, so that joins are one to one."""
-    return keep_first(parsed, KEY, ["page_id"])
+def wanted_articles(listings: DataFrame, items: DataFrame, links_per_listing: int | None = None) -> DataFrame:
+    """URLs to read, each once per site: from links of listing pages, and from feed items
+    with their ``item`` (title, date, description and category). The first one wins."""
+    listed = listings.filter(F.col("site").isin([s.key for s in sites.SITES if not s.feed]))
+    links_of = links.listing_links(listed, links_per_listing)
+    item = F.struct(*ITEM).alias("item")
+    from_links = links_of.select(*KEY, *ORDER[:3], F.lit(None).cast(items.select(item).schema["item"].dataType).alias("item"))
+    fed = items.filter(F.col("site").isin([s.key for s in sites.SITES if s.feed]))
+    from_items = fed.select(*KEY, F.col("category_rank"), F.col("pos"), F.lit(0).cast("bigint").alias("listing"), item)
+    return keep_first(from_links.unionByName(from_items), KEY, ORDER)
 
 
-def from_listings(listings: DataFrame, pages: DataFrame) -> DataFrame:
-    """Parsed articles of the sites that are crawled from listing pages.
+def read_wanted(wanted: DataFrame, located: DataFrame) -> DataFrame:
+    """Articles of the wanted URLs whose page was fetched, with the ``error`` of pages
+    that cannot be read. ``located``: pages with their ``site``.
 
-    ``listings``: site, category_rank, html. Pages are parsed before the join,
-    so their raw HTML is never shuffled. The first listing of a URL wins.
+    Pages are parsed once, before the join, so their raw HTML is never shuffled; of a URL
+    that was fetched several times the first page counts, so the join is one to one.
     """
-    own = [s.key for s in sites.SITES if not s.feed]
-    wanted = keep_first(links.listing_links(listings.filter(F.col("site").isin(own))), KEY, ORDER)
-    parsed = fetched_once(extraction.parse_pages(pages.filter(F.col("site").isin(own))))
-    return wanted.join(parsed, KEY)
-
-
-def from_feeds(items: DataFrame, pages: DataFrame) -> DataFrame:
-    """Parsed articles of the sites that publish feeds.
-
-    ``items``: site, category_rank, pos, title, url, publication_date,
-    description, category. The first item of a URL wins; an item whose page was
-    not fetched is dropped.
-    """
-    own = [s.key for s in sites.SITES if s.feed]
-    feed_pages = pages.filter(F.col("site").isin(own)).withColumn("guarded", guarded())
-    parsed = fetched_once(extraction.parse_pages(feed_pages, keep=("guarded",))).select(
-        "site", "url", "guarded", "author", F.col("content").alias("body")
-    )
-    joined = keep_first(items, KEY, ORDER).join(parsed, KEY)
+    parsed = extraction.parse_pages(located.withColumn("guarded", guarded()), keep=("guarded",))
+    page = keep_first(parsed, KEY, ["page_id"])
+    both = wanted.join(page.withColumnsRenamed({"content": "body", "title": "page_title", "category": "page_category",
+                                                "publication_date": "page_date"}), KEY)
+    fed = F.col("site").isin([s.key for s in sites.SITES if s.feed])
     falls_back = F.col("site").isin([s.key for s in sites.SITES if s.guards])
-    content = extraction.body_or_description(F.col("guarded"), F.col("body"), F.col("description"))
-    return joined.withColumns(
-        {
-            "content": F.when(falls_back, content).otherwise(F.col("body")),
-            "author": F.when(~F.col("guarded"), F.col("author")),
-        }
+    content = extraction.body_or_description(F.col("guarded"), F.col("body"), F.col("item.description"))
+    return both.select(
+        *KEY, "category_rank", "pos", "listing", "error",
+        F.when(fed, F.col("item.title")).otherwise(F.col("page_title")).alias("title"),
+        F.when(~fed | ~F.col("guarded"), F.col("author")).alias("author"),
+        F.when(fed, F.col("item.publication_date")).otherwise(F.col("page_date")).alias("publication_date"),
+        F.when(fed, F.col("item.category")).otherwise(F.col("page_category")).alias("category"),
+        F.when(falls_back, content).otherwise(F.col("body")).alias("content"),
     )
 
 
@@ -61,20 +60,32 @@ def guarded() -> Column:
     return hit
 
 
-def bronze_articles(listings: DataFrame, items: DataFrame, pages: DataFrame, scraped_at: Column) -> DataFrame:
-    """Articles of all six sites, deduplicated across listings and capped.
-
-    Only successful articles count towards the cap, and a URL that failed is
-    not taken up again from a later listing.
+def bronze_articles(
+    listings: DataFrame,
+    items: DataFrame,
+    pages: DataFrame,
+    scraped_at: Column,
+    *,
+    per_source: int | None = None,
+    links_per_listing: int | None = None,
+    max_content: int | None = None,
+) -> DataFrame:
+    """Articles of all six sites, each URL once, numbered by ``pos`` in the order of the
+    crawl. ``listings``: site, category_rank, html; ``items``: as from ``read_feeds``;
+    ``pages``: page_id, url, html.
+
+    Everything is kept unless bounds are given: the first ``per_source`` successful
+    articles of a source, ``links_per_listing`` links of a page, ``max_content`` characters.
+    A URL that failed is not taken up again from a later listing.
     """
     located = pages.withColumn("site", extraction.site_of(F.col("url")))
-    carried = ["site", "category_rank", "pos", "url", "title", "author", "publication_date", "category", "content"]
-    found = from_listings(listings, located).select(carried).unionByName(
-        from_feeds(items, located).select(carried)
-    )
-    kept = first_n(found.filter(extraction.succeeded()), ["site"], ORDER, sites.ARTICLES_PER_SOURCE)
-    # One position per article: row ids of a reader stay below 2^52.
-    ordered = kept.withColumn(
-        "pos", F.shiftleft(F.col("category_rank").cast("bigint"), 52) + F.col("pos")
+    read = read_wanted(wanted_articles(listings, items, links_per_listing), located)
+    kept = read.filter(extraction.succeeded())
+    if per_source is not None:
+        # Chosen on narrow rows; their texts are joined again afterwards.
+        narrow = first_n_salted(kept.select(*KEY, *ORDER[:3]), ["site"], ORDER, per_source)
+        kept = kept.join(narrow.select(KEY), KEY, "left_semi")
+    ordered = number_rows(kept.drop("error").withColumnRenamed("pos", "place"), "category_rank", "place", "listing", *KEY, out="pos")
+    return extraction.finish(
+        ordered.withColumn("error", F.lit(None).cast("string")), scraped_at, keep=("pos",), max_content=max_content
     )
-    return extraction.finish(ordered, scraped_at, keep=("pos",))

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from newsloom import schemas
 from newsloom.operators import aggregates
 from newsloom.operators.ranking import sample_files
-from newsloom.operators.rows import one_row
 from newsloom.plans.silver import ORDER, read_silver
 from newsloom.settings import staged
 from newsloom.sources.lake import Lake
 
-LAYER, ARTICLES = "gold", "articles"
+LAYER, ARTICLES, DASHBOARD = "gold", "articles", "dashboard"
 
 
 def gold_tables(articles: DataFrame, groups: DataFrame, generated_at: Column) -> dict[str, DataFrame]:
@@ -62,32 +61,37 @@ def read_all_gold(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     }
 
 
-def dashboard_extract(tables: dict[str, DataFrame], sample: DataFrame) -> DataFrame:
-    """One row: the summary, four tables and the sample articles as arrays.
-
-    Everything in it is small by construction: aggregates and at most twenty
-    articles.
-    """
+def dashboard_tables(tables: dict[str, DataFrame], sample: DataFrame) -> dict[str, DataFrame]:
+    """What a dashboard shows, as tables: the summary, counts, keywords and sample articles."""
+    return {
+        "summary": tables["summary_stats"],
+        "by_source": tables["articles_by_source"],
+        "by_language": tables["articles_by_language"],
+        "by_date": tables["articles_by_date"],
+        "keywords": tables["top_keywords"],
+        "articles": sample,
+    }
 
-    def as_array(rows: DataFrame, name: str, *order: Column, descending: bool = False) -> DataFrame:
-        keyed = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.struct(*rows.columns).alias("row"))
-        ordered = F.sort_array(F.collect_list(keyed), asc=not descending)
-        return rows.agg(F.transform(ordered, lambda k: k["row"]).alias(name))
 
-    summary = tables["summary_stats"]
-    count, day = F.col("article_count"), F.col("date")
-    return one_row(
-        summary.select(F.struct(*summary.columns).alias("summary")),
-        as_array(tables["articles_by_source"], "by_source", -count, F.col("source")),
-        as_array(tables["articles_by_language"], "by_language", -count, F.col("language_code")),
-        as_array(tables["articles_by_date"], "by_date", day, descending=True),
-        as_array(tables["top_keywords"], "keywords", -F.col("frequency"), F.col("keyword")),
-        as_array(sample, "articles", *[F.col(c) for c in ORDER]),
-    )
+def build_dashboard(spark: SparkSession, lake: Lake, run_id: str) -> int:
+    """Write the dashboard tables of a run and make them current; returns their number."""
+    file, pos = ORDER
+    sample = sample_files(staged(read_silver(spark, lake), "dashboard-articles"), file, pos)
+    tables = dashboard_tables(read_all_gold(spark, lake), sample)
+    lake.write_tables(tables, DASHBOARD, run_id)
+    lake.publish(spark, DASHBOARD, run_id)
+    return len(tables)
 
 
-def dashboard(spark: SparkSession, lake: Lake) -> DataFrame:
-    tables = read_all_gold(spark, lake)
-    file, pos = ORDER
-    sample = sample_files(read_silver(spark, lake), file, pos)
-    return dashboard_extract(tables, sample)
+def read_dashboard(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The dashboard tables of the latest run."""
+    run_id = lake.latest_run(spark, DASHBOARD)
+    schemas_of = {
+        "summary": schemas.GOLD_TABLES["summary_stats"],
+        "by_source": schemas.GOLD_TABLES["articles_by_source"],
+        "by_language": schemas.GOLD_TABLES["articles_by_language"],
+        "by_date": schemas.GOLD_TABLES["articles_by_date"],
+        "keywords": schemas.GOLD_TABLES["top_keywords"],
+        "articles": schemas.SILVER_ARTICLE + ", file_name string, pos bigint",
+    }
+    return {name: lake.read_run(spark, DASHBOARD, name, run_id, schema) for name, schema in schemas_of.items()}

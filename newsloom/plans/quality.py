@@ -15,6 +15,7 @@ from newsloom.sources import lake as lakes
 from newsloom.sources.lake import Lake
 
 EVENT_LAYER, EVENTS = "streaming", "article_events"
+LAYERS = ("bronze", "silver", EVENT_LAYER, "gold")
 STORED_EVENT = schemas.EVENT + ", sequence bigint"
 
 
@@ -33,14 +34,15 @@ def _if_empty(rows: DataFrame, layer: str, message: str) -> DataFrame:
 
 def bronze_issues(spark: SparkSession, lake: Lake, now: Column) -> DataFrame:
     path = lake.path("bronze", "articles")
-    present = lakes.exists(spark, path)
+    newest = lakes.newest_file(lakes.list_files(spark, path, "*.parquet")) if lakes.exists(spark, path) else None
+    # A folder without data files is as good as none.
+    present = newest is not None and newest.first().path is not None
     missing = _layer_issues(
         spark, ops.layer_issue(_flag(not present), "bronze", "missing_data", ERROR, "No files found")
     )
     if not present:
         return missing
     rows = lake.read_bronze(spark, schemas.BRONZE_ARTICLE)
-    newest = lakes.newest_file(lakes.list_files(spark, path, "*.parquet"))
     late = ops.layer_issue(
         ops.stale(F.col("modified_at"), now), "bronze", "data_freshness", WARNING, "Latest data is old"
     )
@@ -60,6 +62,13 @@ def file_issues(spark: SparkSession, folder: str, layer: str, pattern: str = "*.
     return ops.count_violations(audit, checks)
 
 
+def table_file_issues(spark: SparkSession, folder: str, layer: str) -> DataFrame:
+    """Parquet files of a layer that cannot be read."""
+    audit = lakes.audit_table_files(spark, folder)
+    check = ops.Check(layer, "file_error", ERROR, "Unreadable file", F.col("status") == "file_error")
+    return ops.count_violations(audit, [check])
+
+
 def silver_issues(spark: SparkSession, lake: Lake) -> DataFrame:
     present = lake.latest_path(spark, silver.LAYER, silver.TABLE) is not None
     missing = _layer_issues(
@@ -71,16 +80,19 @@ def silver_issues(spark: SparkSession, lake: Lake) -> DataFrame:
     return missing.unionByName(ops.count_violations(rows, ops.silver_checks(rows)))
 
 
-def event_issues(spark: SparkSession, lake: Lake) -> DataFrame:
+def event_issues(spark: SparkSession, lake: Lake, checked_events: int | None = None) -> DataFrame:
+    """Checks of the latest events: all of them, or with ``checked_events`` the first so many."""
     if not lakes.exists(spark, lake.path(EVENT_LAYER)):
         return _layer_issues(
             spark, ops.layer_issue(_flag(True), "streaming", "missing_data", WARNING, "No event files found")
         )
-    if not lakes.exists(spark, lake.path(EVENT_LAYER, lakes.LATEST)):
+    if not lake.published(spark, EVENT_LAYER):
         return _layer_issues(
             spark, ops.layer_issue(_flag(True), "streaming", "missing_latest", WARNING, "No latest snapshot")
         )
-    events = ops.first_events(lake.read_latest(spark, EVENT_LAYER, EVENTS, STORED_EVENT))
+    events = lake.read_latest(spark, EVENT_LAYER, EVENTS, STORED_EVENT)
+    if checked_events is not None:
+        events = ops.first_events(events, checked_events)
     empty = _if_empty(events, "streaming", "Latest snapshot is empty")
     return empty.unionByName(ops.count_violations(events, ops.event_checks(events)))
 
@@ -141,13 +153,31 @@ def all_issues(spark: SparkSession, lake: Lake, now: Column) -> DataFrame:
     }
     summary = gold.read_gold(spark, lake, "summary_stats").first()
     gold_total = None if summary is None else (summary.total_articles or 0)
-    return (
+    issues = (
         bronze_issues(spark, lake, now)
         .unionByName(silver_issues(spark, lake))
         .unionByName(event_issues(spark, lake))
         .unionByName(gold_issues(spark, lake))
         .unionByName(consistency_issues(counts["bronze"], counts["silver"], gold_total, spark))
     )
+    for layer in LAYERS:
+        if lakes.exists(spark, lake.path(layer)):
+            issues = issues.unionByName(table_file_issues(spark, lake.path(layer), layer))
+    return issues
+
+
+def lake_stats(spark: SparkSession, lake: Lake) -> DataFrame:
+    """One row: data files per layer, articles in Silver, and articles by language and by
+    source as the library's own tables give them in full."""
+    files = None
+    for layer in LAYERS:
+        path = lake.path(layer)
+        listed = lakes.list_files(spark, path, "*.parquet") if lakes.exists(spark, path) else spark.range(0)
+        one = listed.agg(F.count(F.lit(1)).alias("n")).select(F.lit(layer).alias("layer"), "n")
+        files = one if files is None else files.unionByName(one)
+    counted = files.agg(*[F.max(F.when(F.col("layer") == x, F.col("n"))).alias(f"{x}_files") for x in LAYERS])
+    total = silver.read_silver(spark, lake).agg(F.count(F.lit(1)).alias("total_articles"))
+    return one_row(counted, total)
 
 
 def sample_issues(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -162,8 +192,10 @@ def sample_issues(spark: SparkSession, lake: Lake) -> DataFrame:
     return ops.first_n(both, ["severity"], ["layer", *silver.ORDER, "check_no"], ops.SAMPLES)
 
 
-def quality_report(issues: DataFrame, samples: DataFrame | None, generated_at: Column) -> DataFrame:
-    """One row: score, verdict, the checks that fired and sample issues."""
+def quality_report(
+    issues: DataFrame, samples: DataFrame | None, generated_at: Column, stats: DataFrame | None = None
+) -> DataFrame:
+    """One row: score, verdict, the checks that fired, sample issues and figures of the lake."""
     fired = issues.filter("violations > 0").agg(
         F.sort_array(F.collect_list(F.struct("layer", "type", "message", "severity", "violations"))).alias("issues")
     )
@@ -172,15 +204,27 @@ def quality_report(issues: DataFrame, samples: DataFrame | None, generated_at: C
         parts.append(
             samples.agg(F.collect_list(F.struct("layer", "type", "message", "severity")).alias("samples"))
         )
+    if stats is not None:
+        parts.append(stats.select(F.struct(*stats.columns).alias("stats")))
     return one_row(*parts).select(generated_at.cast("string").alias("generated_at"), "*")
 
 
 def check_lake(
     spark: SparkSession, lake: Lake, now: Column, fail_on_poor: bool = False
 ) -> DataFrame:
-    """Check the lake, append the report, return its row."""
-    issues = staged(all_issues(spark, lake, now), "quality-issues")
-    report = staged(quality_report(issues, sample_issues(spark, lake), now), "quality-report")
+    """Check the lake, append the report, return its row.
+
+    Files that cannot be read count as issues and do not end the check.
+    """
+    name = "spark.sql.files.ignoreCorruptFiles"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        issues = staged(all_issues(spark, lake, now), "quality-issues")
+        report = quality_report(issues, sample_issues(spark, lake), now, lake_stats(spark, lake))
+        report = staged(report, "quality-report")
+    finally:
+        spark.conf.set(name, before)
     lake.append_report(report, "quality")
     if fail_on_poor and not report.first().acceptable:
         raise RuntimeError("data quality is poor")

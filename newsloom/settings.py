@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_STAGED: list[tuple[SparkSession, str]] = []
+
 
 def session_options() -> dict[str, str]:
     """Settings the jobs rely on; sizes of partitions are left to the cluster."""
@@ -15,16 +19,14 @@ def session_options() -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        # Whole pages travel to the parser: keep a batch to some tens of MB.
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     }
 
 
 def work_folder(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only a local session may
-    go without: it then gets a folder of its own, set once per session.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a session whose executors
+    are the driver itself may go without: it gets a folder of its own, once per session.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -32,7 +34,7 @@ def work_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = "file:" + tempfile.mkdtemp(prefix="newsloom-")
         context.setCheckpointDir(folder)
@@ -46,8 +48,20 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the work folder and read it back: computed once, and
-    still there when an executor is lost."""
+    """Write a frame to the work folder and read it back: computed once, and still
+    there when an executor is lost. The files go when the driver program ends."""
     path = fresh_folder(df.sparkSession, name)
+    _STAGED.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def _remove_staged() -> None:
+    """Frames read from staged tables are lazy, so nothing is removed before the end."""
+    for spark, path in _STAGED:
+        try:
+            location = spark._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+        except Exception:  # the session may be gone already
+            return

@@ -13,14 +13,21 @@ from newsloom.operators import sites
 ITEM = "title string, link string, pubDate string, description string"
 
 
-def read_feeds(spark: SparkSession, folder: str) -> DataFrame:
-    """Items of all feeds. ``pos`` rises in the order of the items of a feed.
+def read_feeds(spark: SparkSession, folder: str, order: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """Items of all feeds. ``pos`` rises in the order of the items of a feed, and
+    ``category_rank`` is the place of the feed in the ``order`` of its site: the category of
+    the first feed wins where an item is in several. Feeds not in the order come last.
 
     The reader splits large files at item tags; nothing is read whole.
     """
     schema = ITEM + ", site string, category string"
     raw = spark.read.format("xml").option("rowTag", "item").schema(schema).load(folder)
-    return usable_items(raw.withColumn("pos", F.monotonically_increasing_id()))
+    rank = F.lit(max(map(len, (order or {}).values()), default=0))
+    for site, feeds in (order or {}).items():
+        for i, feed in enumerate(feeds):
+            rank = F.when((F.col("site") == site) & (F.col("category") == feed), i).otherwise(rank)
+    placed = raw.withColumns({"pos": F.monotonically_increasing_id(), "category_rank": rank})
+    return usable_items(placed)
 
 
 def usable_items(raw: DataFrame) -> DataFrame:
@@ -35,6 +42,7 @@ def usable_items(raw: DataFrame) -> DataFrame:
     url = F.when(F.col("site") == aljazeera.key, resolve(link, F.lit(aljazeera.base))).otherwise(link)
     items = raw.select(
         "site",
+        "category_rank",
         "pos",
         clean("title").alias("title"),
         url.alias("url"),

@@ -2,9 +2,11 @@
 
 The base may be ``file:``, ``hdfs:``, ``s3a:`` or any other scheme Spark knows;
 no code depends on which.  Tables are Parquet, one folder per run.  A snapshot
-is written once; ``_latest`` of its layer names the current run, and is written
-only after all tables of the run are in place, so a failed run leaves the old
-snapshot current.  JSON array files of other producers can be read as well.
+is written once. After all tables of a run are in place a marker is added to
+``_published`` of its layer, an empty file whose name holds a number and the run; the
+highest number is the current run. Markers are only ever added, so at every moment, and after
+a failure at any point, readers find a whole snapshot. JSON array files of other producers
+can be read as well.
 """
 
 from __future__ import annotations
@@ -16,7 +18,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LATEST = "_latest"
+PUBLISHED = "_published"
+
+
+def _file_system(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; no job is started."""
+    files, location = _file_system(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(location)] if files.exists(location) else []
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -110,6 +123,32 @@ def audit_article_files(spark: SparkSession, folder: str, pattern: str = "*.json
     return files.select("file_name", status.alias("status"))
 
 
+def audit_table_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Per Parquet file at any depth: ``ok`` or ``file_error``.
+
+    Files that give rows are sound. Of the others, which are few, the two marks that begin
+    and end a Parquet file are looked for.
+    """
+    files = list_files(spark, folder, "*.parquet").select(F.col("path").alias("file_name"))
+    read = (
+        spark.read.option("ignoreCorruptFiles", True)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .schema("_none string")
+        .parquet(folder)
+        .select(F.col("_metadata.file_path").alias("file_name"))
+        .distinct()
+    )
+    silent = [r.file_name for r in files.join(read, "file_name", "left_anti").collect()]
+    broken = spark.createDataFrame([], "file_name string")
+    if silent:
+        content = spark.read.format("binaryFile").load(silent)
+        sound = F.col("content").startswith(F.lit(b"PAR1")) & F.col("content").endswith(F.lit(b"PAR1"))
+        broken = content.filter(~sound).select(F.col("path").alias("file_name"))
+    marked = files.join(broken.withColumn("status", F.lit("file_error")), "file_name", "left")
+    return marked.withColumn("status", F.coalesce("status", F.lit("ok")))
+
+
 @dataclass(frozen=True)
 class Lake:
     base: str
@@ -120,24 +159,25 @@ class Lake:
     # Bronze: history by source and run.
 
     def add_bronze(self, articles: DataFrame, run_id: str) -> None:
-        """Add the articles of one run. Earlier runs stay; repeating a run
-        replaces its own rows. Rebalancing splits a source too large for one
-        task and keeps small ones from becoming many files."""
+        """Add the articles of one run. Earlier runs stay; repeating a run replaces
+        all of its rows. Rebalancing splits a source too large for one task and
+        keeps small ones from becoming many files."""
         (
             articles.withColumn("source_key", source_key(F.col("source")))
-            .withColumn("run_id", F.lit(run_id))
             .hint("rebalance", "source_key")
-            .write.partitionBy("source_key", "run_id")
-            .option("partitionOverwriteMode", "dynamic")
+            .write.partitionBy("source_key")
+            .option("partitionOverwriteMode", "static")
             .mode("overwrite")
-            .parquet(self.path("bronze", "articles"))
+            .parquet(self.path("bronze", "articles", f"run_id={run_id}"))
         )
 
-    def read_bronze(self, spark: SparkSession, schema: str) -> DataFrame:
-        """All Bronze rows; ``file_name`` orders runs as file names would."""
+    def read_bronze(self, spark: SparkSession, schema: str, run_id: str | None = None) -> DataFrame:
+        """Bronze rows of all runs or of one; ``file_name`` orders runs as file names would."""
         rows = read_or_empty(
             spark, self.path("bronze", "articles"), schema + ", pos bigint, source_key string, run_id string"
         )
+        if run_id is not None:
+            rows = rows.filter(F.col("run_id") == run_id)
         return rows.withColumn(
             "file_name", F.concat("source_key", F.lit("_"), F.col("run_id").cast("string"))
         ).drop("source_key", "run_id")
@@ -163,26 +203,39 @@ class Lake:
                 write.result()
 
     def publish(self, spark: SparkSession, layer: str, run_id: str) -> None:
-        """Make a written run the latest: all its tables become current at once."""
-        pointer = spark.range(1, numPartitions=1).select(F.lit(run_id).alias("run_id"))
-        pointer.write.mode("overwrite").json(self.path(layer, LATEST))
+        """Make a written run the latest: all its tables become current at once.
+
+        One writer publishes to a layer at a time; of equal numbers the later run id counts."""
+        number = 1 + max((n for n, _ in self._markers(spark, layer)), default=0)
+        files, marker = _file_system(spark, self.path(layer, PUBLISHED, f"{number:012d}-{run_id}"))
+        files.mkdirs(marker.getParent())
+        files.create(marker, False).close()
+
+    def _markers(self, spark: SparkSession, layer: str) -> list[tuple[int, str]]:
+        names = [n for n in _names(spark, self.path(layer, PUBLISHED)) if n[:12].isdigit()]
+        return sorted((int(n[:12]), n[13:]) for n in names)
+
+    def published(self, spark: SparkSession, layer: str) -> bool:
+        return bool(self._markers(spark, layer))
 
     def latest_run(self, spark: SparkSession, layer: str) -> str | None:
-        """Run named by the pointer, else the run of the newest file, else None."""
-        try:
-            named = spark.read.schema("run_id string").json(self.path(layer, LATEST)).first()
-            if named is not None and named.run_id:
-                return named.run_id
-        except AnalysisException as error:
-            if not _is_missing(error):
-                raise
-        if not exists(spark, self.path(layer)):
-            return None
-        files = list_files(spark, self.path(layer), "*.parquet").filter(F.col("path").contains("run_id="))
-        newest = newest_file(files).first()
-        if newest.path is None:
-            return None
-        return newest.path.split("run_id=", 1)[1].split("/", 1)[0]
+        """The run published last. In a layer where nothing ever was, the newest run of
+        which all tables are complete; else None."""
+        markers = self._markers(spark, layer)
+        if markers:
+            return markers[-1][1]
+        newest = None
+        files, _ = _file_system(spark, self.base)
+        for name in _names(spark, self.path(layer)):
+            if not name.startswith("run_id="):
+                continue
+            tables = _names(spark, self.path(layer, name))
+            done = [self.path(layer, name, t, "_SUCCESS") for t in tables]
+            if not done or not all(exists(spark, d) for d in done):
+                continue
+            when = max(files.getFileStatus(_file_system(spark, d)[1]).getModificationTime() for d in done)
+            newest = max(newest or (0, ""), (when, name.removeprefix("run_id=")))
+        return newest[1] if newest else None
 
     def latest_path(self, spark: SparkSession, layer: str, table: str) -> str | None:
         """Path of a table of the latest run, or None when it is not there."""

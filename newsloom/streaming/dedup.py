@@ -2,53 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from newsloom.functions.dates import parse_datetime
 from newsloom.operators.ranking import keep_first_by_url
 from newsloom.sources.lake import read_or_empty
+from newsloom.streaming.epochs import query_id, write_epoch
 
+BUCKETS = 256
 
-def first_seen(rows: DataFrame, key: str, time: Column, delay: str = "7 days") -> DataFrame:
-    """Drop rows whose key came before, within ``delay`` of event time.
 
-    The watermark bounds the state: a key is forgotten once it is older than
-    the delay, and rows later than that are taken as late. All rows of a key
-    meet in one task; for keys that hold much of a stream ``keep_first_ever``
-    is the better choice.
+def first_seen(rows: DataFrame, key: str, delay: str = "7 days") -> DataFrame:
+    """Drop rows whose key came before, within ``delay`` of arrival.
+
+    Time is the time of arrival: no row is late, and rows without a time of their own are
+    like any other, so none is lost. State is bounded, as a key is forgotten after the
+    delay; one that comes again later is taken as new, and ``keep_first_ever`` is the form
+    for which it is not. All rows of a key meet in one task; for keys that hold much
+    of a stream that form is the better choice too.
     """
-    timed = rows.withColumn("_time", time)
-    return timed.withWatermark("_time", delay).dropDuplicatesWithinWatermark([key]).drop("_time")
+    timed = rows.withColumn("_arrived", F.current_timestamp())
+    return timed.withWatermark("_arrived", delay).dropDuplicatesWithinWatermark([key]).drop("_arrived")
 
 
 def first_article_seen(articles: DataFrame, delay: str = "7 days") -> DataFrame:
-    """First article per URL; the time of scraping is the event time."""
-    time = parse_datetime(F.col("scraped_at")).cast("timestamp")
-    return first_seen(articles, "url", time, delay)
+    """First article per URL."""
+    return first_seen(articles, "url", delay)
 
 
 def keep_first_ever(
     articles: DataFrame, out: str, checkpoint: str, order: tuple[str, ...] = ("file_name", "pos")
 ) -> StreamingQuery:
-    """The exact form: write the articles whose URL is new, a folder per epoch.
+    """The exact form: write the articles whose URL is new, a folder per query and epoch.
 
-    What was seen is the table itself, not state in memory. Each micro-batch is
-    first cut to one row per URL, before its shuffle, so the join with the known
-    URLs has each URL once on both sides. A replayed epoch replaces its rows.
+    What was seen is the table itself, not state in memory; it may have been written by
+    several queries. Each micro-batch is first cut to one row per URL, before its shuffle, so
+    the join with the known URLs has each URL once on both sides. The table is kept by
+    hash of the URL, and only folders that the micro-batch touches are read. A replayed
+    epoch replaces its rows.
     """
     url = F.coalesce("url", F.lit(""))
 
-    def write_epoch(rows: DataFrame, epoch: int) -> None:
-        table = read_or_empty(rows.sparkSession, out, "url string, epoch string")
-        known = table.filter(F.col("epoch") != str(epoch)).select(url.alias("_url"))
+    def write(rows: DataFrame, epoch: int) -> None:
+        spark = rows.sparkSession
+        own = query_id(spark, checkpoint)
         fresh = keep_first_by_url(rows, list(order)).withColumn("_url", url)
-        new = fresh.join(known, "_url", "left_anti").drop("_url").withColumn("epoch", F.lit(str(epoch)))
-        new.write.partitionBy("epoch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(out)
+        fresh = fresh.withColumn("bucket", F.pmod(F.xxhash64("_url"), F.lit(BUCKETS)).cast("int"))
+        touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
+        table = read_or_empty(spark, out, "url string, bucket int, query string, epoch string")
+        earlier = table.filter(F.col("bucket").isin(touched) & ~((F.col("query") == own) & (F.col("epoch") == str(epoch))))
+        new = fresh.join(earlier.select(url.alias("_url")), "_url", "left_anti").drop("_url")
+        write_epoch(new, out, own, epoch, "bucket")
 
     return (
-        articles.writeStream.foreachBatch(write_epoch)
+        articles.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

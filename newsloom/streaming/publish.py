@@ -1,8 +1,8 @@
 """Publishing clean articles as events, in batch and as a stream.
 
-Both use the same event columns. The stream takes its batch id from the epoch
-of the query, so a replayed micro-batch makes the same events again and
-replaces its own rows.
+Both use the same event columns. In a stream the batch of an event is the file name of
+its article and its number the article's place there, so event ids depend neither on how
+much a micro-batch takes nor on replays.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from newsloom.operators.sequence import number_rows
 from newsloom.plans import gold, silver, warehouse
 from newsloom.plans.quality import EVENT_LAYER, EVENTS
 from newsloom.sources.lake import Lake
+from newsloom.streaming import epochs
 
 logger = logging.getLogger(__name__)
 
@@ -60,36 +61,39 @@ def publish_batch(spark: SparkSession, lake: Lake, batch_id: str, now: Column) -
 
 
 def read_article_stream(
-    spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet", batch_bytes: int = 1 << 40
+    spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet", batch_bytes: int | None = None
 ) -> DataFrame:
-    """Stream of the files of a folder, at most ``batch_bytes`` per micro-batch."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("maxBytesPerTrigger", str(batch_bytes))
-        .parquet(folder)
-    )
+    """Stream of the files of a folder; with ``batch_bytes`` at most so many per micro-batch
+    (but one file at least). Results do not depend on it."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if batch_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", str(batch_bytes))
+    return reader.parquet(folder)
+
+
+def stream_events(articles: DataFrame, event_time: Column) -> DataFrame:
+    """Events of articles as they come: ``batch_id`` is the ``file_name``, ``sequence`` the
+    1-based place in it."""
+    file, pos = silver.ORDER
+    return build_events(articles.withColumn("sequence", F.col(pos) + 1), F.col(file), event_time)
 
 
 def publish_stream(
     articles: DataFrame, out: str, checkpoint: str, event_time: Column | None = None
 ) -> StreamingQuery:
-    """Write the events of a stream of articles under ``out``, a folder per epoch.
+    """Write the events of a stream of articles under ``out``, a folder per query and epoch.
 
     Runs over what is there now and stops; the next start goes on from there.
     """
 
-    def write_epoch(rows: DataFrame, epoch: int) -> None:
+    def write(rows: DataFrame, epoch: int) -> None:
         stamp = event_time if event_time is not None else F.lit(
             datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S+00:00")
         )
-        events = batch_events(rows, str(epoch), stamp)
-        events.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "batch_id"
-        ).parquet(out)
+        epochs.write_epoch(stream_events(rows, stamp), out, epochs.query_id(rows.sparkSession, checkpoint), epoch)
 
     return (
-        articles.writeStream.foreachBatch(write_epoch)
+        articles.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,7 +1,7 @@
 """News articles derived from the ``documents`` table.
 
 The given tables hold no articles, so this SQL, which reads the same in Spark
-and DuckDB, dresses each document as one: HTML in some bodies, Arabic in some,
+and DuckDB, dresses each document as one: HTML in some bodies, mostly Arabic in some,
 missing and empty fields, shared URLs, and publication dates in every form.
 """
 
@@ -17,7 +17,7 @@ SELECT doc_id AS pos,
       ELSE 'Author '||CAST(doc_id%5 AS VARCHAR(10)) END AS author,
  CASE doc_id%6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'world'
       WHEN 3 THEN 'business' WHEN 4 THEN 'economy' ELSE 'sport' END AS category,
- CASE WHEN doc_id%12=8 THEN repeat('السلام عليكم، الحكومة المغربية ', 4)
+ CASE WHEN doc_id%12=8 THEN repeat('السلام عليكم، الحكومة المغربية ', CAST(floor(length(text)/20) AS INT) + 4)||text
       WHEN doc_id%7=0 THEN '<p>'||text||'</p> see http://ex.com/a?b=1 <i>end</i> @ #x'
       ELSE text END AS content,
  CASE doc_id%8 WHEN 0 THEN 'Hespress' WHEN 1 THEN 'BBC News' WHEN 2 THEN 'Barlamane'

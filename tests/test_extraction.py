@@ -15,7 +15,7 @@ HESPRESS = """<html><head><script>var a = "<h1>no</h1>";</script></head><body>
 
 
 def read(html, key):
-    return extraction.read_page(html, sites.BY_KEY[key])
+    return extraction.read_page(html, sites.BY_KEY[key])[:-1]
 
 
 def test_listed_site():
@@ -166,7 +166,21 @@ def test_bronze_from_pages_and_feeds(spark):
 
 def test_content_is_cut_by_characters(spark):
     df = spark.createDataFrame([("é" * 6000,)], "c string")
-    assert df.select(extraction.cut_content(F.col("c")).alias("c")).first().c == "é" * 5000
+    assert df.select(extraction.cut_content(F.col("c"), 5000).alias("c")).first().c == "é" * 5000
+    assert df.select(extraction.cut_content(F.col("c"), None).alias("c")).first().c == "é" * 6000
+
+
+def test_odd_pages_do_not_fail_the_others(spark):
+    assert parse("<p>a<![foo bar]>b</p>").text("|") == "a|b"
+    many = "<i>" * 20_000 + "</b>" * 20_000 + "<article>x</article>"
+    assert parse(many).first("article").text() == "x"
+    rows = [(1, "https://www.reuters.com/1", "reuters", "<article><p>ok</p></article>"), (2, "https://www.reuters.com/2", "reuters", "bad")]
+    site = sites.BY_KEY["reuters"]
+    assert extraction.read_page(None, site)[:5] == (None,) * 5 and extraction.read_page(None, site)[5]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, site string, html string")
+    assert {r.page_id: r.content for r in extraction.parse_pages(df).collect()} == {1: "ok", 2: ""}
+    counts = crawl.site_outcomes(extraction.parse_pages(df)).first()
+    assert (counts.site, counts.pages, counts.failed, counts.articles) == ("reuters", 2, 0, 1)
 
 
 def test_source_counts_keep_silent_sources(spark):

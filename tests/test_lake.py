@@ -93,7 +93,48 @@ def test_bronze_keeps_history_and_replaces_repeats(spark, lake):
     lake.add_bronze(day1, "r2")
     lake.add_bronze(day1.filter("url = 'a'"), "r2")
     got = sorted((r.file_name, r.url) for r in lake.read_bronze(spark, schemas.BRONZE_ARTICLE).collect())
-    assert got == [("al_jazeera_r1", "b"), ("al_jazeera_r2", "b"), ("s_r1", "a"), ("s_r2", "a")]
+    assert got == [("al_jazeera_r1", "b"), ("s_r1", "a"), ("s_r2", "a")]
+
+
+def test_only_whole_runs_are_read(spark, lake):
+    """A run that stops before it is published, or within a table, is never current."""
+    one, two = spark.range(1).toDF("n"), spark.range(2).toDF("n")
+    files, half = lakes._file_system(spark, lake.path("gold", "run_id=9", "t", "part-0.parquet"))
+    files.create(half).close()
+    assert lake.latest_run(spark, "gold") is None
+    lake.write_run(one, "gold", "t", "1")
+    assert lake.latest_run(spark, "gold") == "1"
+    lake.publish(spark, "gold", "1")
+    lake.write_run(two, "gold", "t", "2")
+    assert lake.latest_run(spark, "gold") == "1"
+    lake.publish(spark, "gold", "2")
+    assert lake.latest_run(spark, "gold") == "2"
+    lake.publish(spark, "gold", "1")
+    assert lake.read_latest(spark, "gold", "t", "n bigint").count() == 1
+
+
+def test_streams_share_a_table(spark, tmp_path):
+    """A second query with a new checkpoint adds to the table of the first; replays replace; rows
+    without a time and rows that come late are kept."""
+    schema = schemas.BRONZE_ARTICLE + ", file_name string, pos bigint"
+    out = f"file:{tmp_path}/out"
+    seen = []
+    for n, urls in enumerate((["a", "b", "a"], ["b", "c"])):
+        rows = [{"url": u, "scraped_at": None if u == "c" else f"20{30 - n}-01-01T00:00:00"} for u in urls]
+        folder = f"file:{tmp_path}/in{n}"
+        raw(spark, rows).select([c.split()[0] for c in schema.split(", ")]).write.parquet(folder)
+        stream = publish.read_article_stream(spark, folder, schema, batch_bytes=1)
+        dedup.keep_first_ever(stream, out, f"file:{tmp_path}/state{n}").awaitTermination()
+        seen.append(sorted(r.url for r in spark.read.schema(schema).parquet(out).collect()))
+    assert seen == [["a", "b"], ["a", "b", "c"]]
+    folders = f"file:{tmp_path}/in*"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folders)
+    query = (
+        dedup.first_article_seen(stream).select("url").writeStream.format("parquet").option("path", f"file:{tmp_path}/once")
+        .option("checkpointLocation", f"file:{tmp_path}/once-state").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert sorted(r.url for r in spark.read.schema("url string").parquet(f"file:{tmp_path}/once").collect()) == ["a", "b", "c"]
 
 
 def test_work_folder_follows_the_session(spark):
@@ -121,9 +162,9 @@ def test_a_whole_run(spark, lake):
     assert warehouse.read_warehouse(spark, lake, "warehouse_summary").first().id == 1
     events = spark.read.schema(schemas.WAREHOUSE_EVENT).parquet(lake.path(warehouse.LAYER, warehouse.EVENT_TABLE))
     assert events.count() == 20
-    board = gold.dashboard(spark, lake).first()
-    assert board.summary.total_articles == 20 and len(board.articles) == 20
-    assert [r.source for r in board.by_source] == ["BBC News", "Reuters"]
+    board = gold.read_dashboard(spark, lake)
+    assert board["summary"].first().total_articles == 20 and board["articles"].count() == 20
+    assert sorted(r.source for r in board["by_source"].collect()) == ["BBC News", "Reuters"]
     report = spark.read.json(lake.path("reports", "quality")).first()
     assert (report.errors, report.warnings, report.verdict) == (0, 0, "EXCELLENT")
     steps = {r.step: r.status for r in spark.read.json(lake.path("reports", "runs")).collect()}
@@ -141,11 +182,11 @@ def test_failing_steps(spark, lake):
     assert not run.run_lake(spark, lake, now=NOW, skip=("silver",))
     steps = {r.step: r.status for r in spark.read.json(lake.path("reports", "runs")).collect()}
     assert steps == {"bronze": "skipped", "silver": "skipped", "streaming": "failed", "gold": "pending",
-                     "warehouse": "pending", "quality": "pending"}
+                     "warehouse": "pending", "quality": "pending", "dashboard": "pending"}
     forced = Lake(lake.base + "2")
     assert not run.run_lake(spark, forced, now=NOW, skip=("silver",), force=True)
     steps = {r.step: r.status for r in spark.read.json(forced.path("reports", "runs")).collect()}
-    assert steps["streaming"] == "failed" and steps["quality"] == "completed"
+    assert steps["streaming"] == "failed" and steps["quality"] == "completed" and steps["dashboard"] == "pending"
     summary = warehouse.read_warehouse(spark, forced, "warehouse_summary").first()
     assert (summary.total_articles, summary.generated_at) == (0, None)
 
@@ -204,12 +245,12 @@ def test_stream_is_the_batch_and_replays_are_idempotent(spark, tmp_path):
     rows.coalesce(1).write.parquet(f"file:{tmp_path}/in")
     stored = schemas.SILVER_ARTICLE + ", file_name string, pos bigint"
     out = f"file:{tmp_path}/out"
-    for state in ("a", "a", "b"):
+    batch = publish.stream_events(spark.read.schema(stored).parquet(f"file:{tmp_path}/in"), F.lit("now"))
+    for state, times in (("a", 1), ("a", 1), ("b", 2)):
         stream = publish.read_article_stream(spark, f"file:{tmp_path}/in", stored)
         publish.publish_stream(stream, out, f"file:{tmp_path}/{state}", F.lit("now")).awaitTermination()
-    batch = publish.batch_events(spark.read.schema(stored).parquet(f"file:{tmp_path}/in"), "0", F.lit("now"))
-    got = spark.read.schema(batch.schema).parquet(out).select(batch.columns)
-    assert sorted(got.collect()) == sorted(batch.collect())
+        got = spark.read.schema(batch.schema).parquet(out).select(batch.columns)
+        assert sorted(got.collect()) == sorted(batch.collect() * times), "a new query adds, with the same ids"
 
 
 def test_stream_dedup(spark, tmp_path):
