@@ -26,6 +26,7 @@ articles_by_source articles_by_date top_keywords summary_stats
 wh_fact_articles event_sequence event_upsert stream_publish
 page_links top_links_per_page page_body page_articles bronze_build
 rss_items dq_q3_bronze_required lake_run
+stream_dedup_exact crawl_cap sample_articles crawl_to_gold
 """.split()
 
 

@@ -40,7 +40,7 @@ def sample_files(
     """The first rows of the first few files: a bounded sample for display.
 
     The chosen file names (at most ``files`` rows) are broadcast, so only their
-    rows reach the ranking.
+    rows reach the ranking. ``df`` is read twice: stage it where it is costly to compute.
     """
     chosen = df.select(file).distinct().orderBy(file).limit(files)
     rows = df.join(F.broadcast(chosen), file, "left_semi")

@@ -273,7 +273,7 @@ def article_groups(spark, sf):
 @query
 def sample_articles(spark, sf):
     """The first articles of the first files, a file being a source here."""
-    by_file = clean(spark, sf).withColumn("file_name", lake.source_key(F.col("source")))
+    by_file = stored_clean(spark, sf).withColumn("file_name", lake.source_key(F.col("source")))
     return ranking.sample_files(by_file, "file_name", "pos").select("file_name", "pos", "url")
 
 
