@@ -8,8 +8,8 @@ most there can be if it is not there. The nearest profile wins.
 
 from __future__ import annotations
 
+import functools
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,57 +21,88 @@ from newsloom.llm.common import add_columns, texts_of
 
 RANKS = 300
 UNKNOWN = "und"
-WORD = re.compile(r"[^\W\d_]+")
-# Distinct words, and n-grams, that a task keeps in memory before it starts anew.
-WORDS, GRAMS = 200_000, 200_000
+LETTER = re.compile(r"[^\W\d_]")
+# Characters that are worked through together when n-grams are counted.
+TOGETHER = 1 << 20
 
 
-def _grams(word: str) -> list[str]:
-    padded = f" {word} "
-    return [padded[i : i + n] for n in (1, 2, 3) for i in range(len(padded) - n + 1) if padded[i : i + n] != " "]
+@functools.cache
+def _letters() -> np.ndarray:
+    """Whether a character of the basic plane belongs to a word."""
+    return np.array([LETTER.match(chr(c)) is not None for c in range(0x10000)])
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+def gram_codes(text: str) -> np.ndarray:
+    """The 1- to 3-grams of the words of a text, each word padded with a blank, as sorted numbers.
+
+    A number holds three characters of 21 bits, one up, so that numbers sort as strings do.
+    """
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = _letters()[np.minimum(points, 0xFFFF)]
+    for i in np.flatnonzero(points > 0xFFFF):
+        letter[i] = LETTER.match(chr(points[i])) is not None
+    # Words with one blank between them, and one at both ends.
+    after = np.r_[False, letter[:-1]] if len(letter) else letter
+    shown = np.where(letter, points, ord(" "))[letter | after]
+    if not len(shown):
+        return np.zeros(0, np.uint64)
+    row = np.concatenate([[ord(" ")], shown, [ord(" ")] if shown[-1] != ord(" ") else []]).astype(np.uint64) + np.uint64(1)
+    blank = row == np.uint64(ord(" ") + 1)
+    first = row << np.uint64(42)
+    two = first[:-1] | row[1:] << np.uint64(21)
+    three = two[:-1] | row[2:]
+    # A blank is no n-gram of its own, and no n-gram reaches from one word into the next.
+    return np.sort(np.concatenate([first[~blank], two, three[~blank[1:-1]]]))
+
+
+def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers of a sorted array, and how often each occurs."""
+    starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, np.int64)
+    return codes[starts], np.diff(np.r_[starts, len(codes)])
+
+
+def to_code(gram: str) -> int:
+    return sum((ord(c) + 1) << shift for c, shift in zip(gram, (42, 21, 0)))
+
+
+def to_gram(code: int) -> str:
+    parts = (code >> 42, code >> 21 & 0x1FFFFF, code & 0x1FFFFF)
+    return "".join(chr(p - 1) for p in parts if p)
 
 
 def gram_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``lang``, ``gram``, ``n`` over all texts. Words are counted first and their n-grams
-    once per distinct word; the sums of a task are what is shuffled."""
+    """``lang``, ``gram``, ``n`` over all texts. What is shuffled are the sums of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, Counter] = {}
-        grams: dict[str, Counter] = {}
-
-        def fold() -> None:
-            for name, counter in words.items():
-                into = grams.setdefault(name, Counter())
-                for word, n in counter.items():
-                    for gram in _grams(word):
-                        into[gram] += n
-            words.clear()
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            fold()
-            rows = [(name, gram, n) for name, counter in grams.items() for gram, n in counter.items()]
-            grams.clear()
-            if rows:
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
+        held: dict[str, list[str]] = {}
+        size: dict[str, int] = {}
+        sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def fold(name: str) -> None:
+            codes, n = counted(gram_codes("\n".join(held.pop(name))))
+            size[name] = 0
+            known, before = sums.get(name, (codes[:0], n[:0]))
+            both, place = np.unique(np.concatenate([known, codes]), return_inverse=True)
+            sums[name] = both, np.bincount(place, weights=np.concatenate([before, n]), minlength=len(both)).astype(np.int64)
 
         for batch in batches:
             for name, value in zip(texts_of(batch, lang), texts_of(batch, text)):
-                words.setdefault(name, Counter()).update(words_of(value))
-            if sum(map(len, words.values())) > WORDS:
-                fold()
-            if sum(map(len, grams.values())) > GRAMS:
-                yield from flush()
-        yield from flush()
-
-    counted = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(
+                if value:
+                    held.setdefault(name, []).append(value)
+                    size[name] = size.get(name, 0) + len(value)
+                    if size[name] > TOGETHER:
+                        fold(name)
+        for name in list(held):
+            fold(name)
+        for name, (codes, n) in sums.items():
+            grams = [to_gram(c) for c in codes.tolist()]
+            columns = [pa.array([name] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
+
+    found = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(
         run, "lang string, gram string, n bigint"
     )
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def learn_profiles(df: DataFrame, text: str = "text", lang: str = "lang", ranks: int = RANKS) -> dict[str, list[str]]:
@@ -88,58 +119,35 @@ def learn_profiles(df: DataFrame, text: str = "text", lang: str = "lang", ranks:
 
 
 class Judge:
-    """Compares texts with profiles; remembers the n-grams of words it has met."""
+    """Compares texts with profiles."""
 
     def __init__(self, profiles: dict[str, list[str]], ranks: int = RANKS):
         self.ranks = ranks
         self.names = sorted(profiles)
-        self.places = [{g: i for i, g in enumerate(profiles[n])} for n in self.names]
-        self._forget()
-
-    def _forget(self) -> None:
-        self.ids: dict[str, int] = {}
-        self.words: dict[str, np.ndarray] = {}
-        self.order = np.zeros(1024, "U3")
-        self.rank = np.zeros((1024, len(self.names)), np.int64)
-
-    def _id(self, gram: str) -> int:
-        found = self.ids.get(gram)
-        if found is None:
-            found = self.ids[gram] = len(self.ids)
-            if found == len(self.order):
-                self.order = np.concatenate([self.order, np.zeros_like(self.order)])
-                self.rank = np.concatenate([self.rank, np.zeros_like(self.rank)])
-            self.order[found] = gram
-            self.rank[found] = [p.get(gram, self.ranks) for p in self.places]
-        return found
-
-    def _word(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
-        if found is None:
-            found = np.array([self._id(g) for g in _grams(word)], np.int64)
-            if len(word) < 64:
-                self.words[word] = found
-        return found
+        places = [{to_code(g): i for i, g in enumerate(profiles[n])} for n in self.names]
+        self.codes = np.array(sorted({c for p in places for c in p}), np.uint64)
+        # The last row is for n-grams that are in no profile.
+        self.place = np.array(
+            [[p.get(c, ranks) for p in places] for c in self.codes.tolist()] + [[ranks] * len(places)], np.int64
+        ).reshape(len(self.codes) + 1, len(places))
 
     def judge(self, text: str | None) -> tuple[str, float]:
         """Language and score: 1 minus the distance as a part of the greatest possible one."""
-        words = Counter(words_of(text))
-        if not words or not self.names:
+        # Signs such as a superscript two are in words, but are no letters.
+        if not self.names or not text or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
-        if len(self.ids) > GRAMS or len(self.words) > WORDS:
-            self._forget()
-        parts = [self._word(w) for w in words]
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(p) for p in parts])
-        counts = np.bincount(np.concatenate(parts), weights=times)
-        used = np.flatnonzero(counts)
-        if len(used) > self.ranks:
-            least = np.partition(counts[used], len(used) - self.ranks)[len(used) - self.ranks]
-            used = used[counts[used] >= least]
-        used = used[np.lexsort((self.order[used], -counts[used]))][: self.ranks]
-        ranks = self.rank[used]
-        apart = np.where(ranks == self.ranks, self.ranks, np.abs(ranks - np.arange(len(used))[:, None])).sum(axis=0)
+        codes, n = counted(gram_codes(text))
+        if len(codes) > self.ranks:
+            least = np.partition(n, len(n) - self.ranks)[len(n) - self.ranks]
+            codes, n = codes[n >= least], n[n >= least]
+        # By count; n-grams of equal counts stay in their order.
+        own = codes[np.argsort(-n, kind="stable")][: self.ranks]
+        at = np.searchsorted(self.codes, own)
+        at[self.codes[np.minimum(at, len(self.codes) - 1)] != own] = len(self.codes)
+        place = self.place[at]
+        apart = np.where(place == self.ranks, self.ranks, np.abs(place - np.arange(len(own))[:, None])).sum(axis=0)
         nearest = int(np.argmin(apart))  # the first name among equals
-        return self.names[nearest], 1.0 - float(apart[nearest]) / (self.ranks * len(used))
+        return self.names[nearest], 1.0 - float(apart[nearest]) / (self.ranks * len(own))
 
 
 def predict_language(df: DataFrame, profiles: dict[str, list[str]], text: str = "text", ranks: int = RANKS) -> DataFrame:

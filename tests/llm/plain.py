@@ -120,7 +120,7 @@ def languages(rows, ranks=300):
     out = {}
     for d, text, _ in rows:
         own = ranked(grams(text or ""), ranks)
-        if not own or not profiles:
+        if not any(c.isalpha() for g in own for c in g) or not profiles:
             out[d] = (out_of[d], "und", 0.0)
             continue
         apart = {
