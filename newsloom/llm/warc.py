@@ -150,7 +150,8 @@ def write_archives(
     is a response and the others are revisits of it. A null html is an empty payload; a row
     without page id is kept, and is never what others refer to. Rows that repeat a page id
     count as ties: one of them is the response. Other columns are not stored. The html
-    is shuffled once; which rows repeat is found on digests alone.
+    is shuffled once; which rows repeat is found on digests alone. ``folder`` is a URI that
+    pyarrow can write to from the executors (file:, hdfs:, s3:, gs:, abfs:).
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     full = pages.select("page_id", "url", payload.alias("payload"))
@@ -185,12 +186,20 @@ def write_archives(
 READ = "file string, record_type string, page_id bigint, url string, payload_bytes bigint, payload_digest string, refers_to bigint"
 
 
-def members(data: bytes) -> Iterator[bytes]:
-    """The gzip members of a file."""
-    while data:
-        unpacker = zlib.decompressobj(31)
-        yield unpacker.decompress(data)
-        data = unpacker.unused_data
+def members(data: bytes, piece: int = 1 << 14) -> Iterator[bytes]:
+    """The gzip members of a file. It is fed in small pieces, as what is left of a piece
+    behind a member is copied."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        unpacker, parts = zlib.decompressobj(31), []
+        while not unpacker.eof:
+            if at >= len(view):
+                raise ValueError("the archive is cut off")
+            fed = view[at : at + piece]
+            parts.append(unpacker.decompress(fed))
+            at += len(fed)
+        at -= len(unpacker.unused_data)
+        yield b"".join(parts)
 
 
 def parse(record: bytes) -> tuple[dict[str, str], bytes]:
