@@ -41,8 +41,8 @@ COUNTED, LEAST_COUNT = 1 << 21, 4
 SINGLE, CLASSES, LARGE = 40, 16, 512
 # Bits of the sketch that bounds the difference of two sets from below.
 SKETCH = 256
-# Members of a group that are compared in one task at a time.
-CHUNK = 1024
+# Members of a group that are compared in one task at a time, and pairs a task holds back.
+CHUNK, PAIRS_HELD = 1024, 1 << 21
 REMEMBERED = 500_000
 BITMAP_BITS = 1 << 24
 
@@ -268,16 +268,21 @@ def _links(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataF
 
 def _group_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of a group and chunk that are in different components and can be
-    similar. ``members``: key, chunk, probe, doc, comp, n, sketch; within a chunk, probes
-    are compared with all that are not probes there."""
+    similar. ``members``: hub, chunk, key, probe, doc, comp, n, sketch; within a chunk,
+    probes are compared with all that are not probes there.
 
-    def pairs_of(rows: pa.Table) -> pa.RecordBatch:
-        key, chunk, probe, doc, comp, n = (rows.column(i).to_numpy() for i in range(6))
-        sketches = _matrix(rows.column(6))
-        start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])])
+    Groups with one hub are mostly about the same documents and meet in one task per
+    chunk, which sends a pair once however many groups it is in.
+    """
+
+    def pairs_of(rows: pa.Table) -> np.ndarray:
+        hub, chunk, key, probe, doc, comp, n = (rows.column(i).to_numpy() for i in range(7))
+        sketches = _matrix(rows.column(7))
+        fresh = (hub[1:] != hub[:-1]) | (chunk[1:] != chunk[:-1]) | (key[1:] != key[:-1])
+        start = np.flatnonzero(np.r_[True, fresh])
         size = np.diff(np.r_[start, len(key)])
         left_of = np.repeat(start + size, size)
-        found = []
+        found = [np.zeros((2, 0), np.int64)]
         for apart in range(1, int(size.max())):
             i = np.flatnonzero(np.arange(len(key)) + apart < left_of)
             j = i + apart
@@ -286,11 +291,20 @@ def _group_pairs(members: DataFrame, percent: int) -> DataFrame:
             i, j = i[ok], j[ok]
             ok = _possible(n[i], n[j], sketches[i], sketches[j], percent)
             found.append(np.stack([np.maximum(doc[i], doc[j])[ok], np.minimum(doc[i], doc[j])[ok]]))
-        both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+        return np.unique(np.concatenate(found, axis=1), axis=1)
+
+    def last_change(*columns: np.ndarray) -> int:
+        """Rows before the last value, which may go on."""
+        other = np.flatnonzero(np.any([c != c[-1] for c in columns], axis=0))
+        return int(other[-1]) + 1 if len(other) else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        pairs = np.zeros((2, 0), np.int64)
+
+        def sent() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -298,18 +312,22 @@ def _group_pairs(members: DataFrame, percent: int) -> DataFrame:
             if sum(b.num_rows for b in held) < 16 * CHUNK:
                 continue
             rows = pa.Table.from_batches(held).combine_chunks()
-            key, chunk = rows.column(0).to_numpy(), rows.column(1).to_numpy()
-            last = int(np.flatnonzero((key != key[-1]) | (chunk != chunk[-1]))[-1] + 1) if (
-                (key != key[-1]) | (chunk != chunk[-1])
-            ).any() else 0
-            if last:
-                yield pairs_of(rows.slice(0, last).combine_chunks())
-            held = rows.slice(last).to_batches()
+            hub, chunk, key = (rows.column(i).to_numpy() for i in range(3))
+            whole = last_change(hub, chunk)
+            cut = whole or last_change(key)
+            if cut:
+                pairs = np.unique(np.concatenate([pairs, pairs_of(rows.slice(0, cut).combine_chunks())], axis=1), axis=1)
+                if whole or pairs.shape[1] > PAIRS_HELD:
+                    yield sent()
+                    pairs = pairs[:, :0]
+            held = rows.slice(cut).combine_chunks().to_batches()
         if held:
-            yield pairs_of(pa.Table.from_batches(held).combine_chunks())
+            pairs = np.unique(np.concatenate([pairs, pairs_of(pa.Table.from_batches(held).combine_chunks())], axis=1), axis=1)
+        yield sent()
 
-    dealt = members.repartition("key", "chunk").sortWithinPartitions("key", "chunk")
-    return dealt.select("key", "chunk", "probe", "doc", "comp", "n", "sketch").mapInArrow(run, "a bigint, b bigint")
+    dealt = members.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "key")
+    columns = ("hub", "chunk", "key", "probe", "doc", "comp", "n", "sketch")
+    return dealt.select(*columns).mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -363,6 +381,7 @@ def near_duplicates(
         )
     )
     members = grid.select(
+        "hub",
         F.col("sig").alias("key"),
         F.shiftleft(F.col("r").cast("bigint"), 31).bitwiseOR(F.col("p").cast("bigint")).alias("chunk"),
         F.col("asks").alias("probe"), "doc", "comp", "n", "sketch",
