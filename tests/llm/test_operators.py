@@ -195,6 +195,57 @@ def test_licenses(spark):
     assert licenses.find_licenses(df.limit(0), known).count() == 0
 
 
+def test_whole_licenses(spark):
+    permission = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, {sublicense}, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+    mit = "The MIT Licence\n\nCopyright (c) 2021 A. Body\n\n" + permission.format(sublicense="sub-license")
+    header = """# Copyright 2020 A. Body
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     https://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+    part = mit[: mit.index("THE SOFTWARE IS")]
+    gnu = "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser\n" \
+        "General Public License as published by the Free Software Foundation, either\n" \
+        "version 3 of the License, or (at your option) any later version."
+    rows = [
+        (1, mit.upper().replace(",", " ,")), (2, f"a story\n\n{mit.lower()}\n\nmore"), (3, part), (4, header + "\nimport x"),
+        (5, f"/*\n * {gnu.replace(chr(10), chr(10) + ' * ')}\n */"), (6, "MIT License\n\nISC License"),
+        (7, "Released under the\nMIT License."), (8, f"{permission.format(sublicense='sublicense')}\n\nReleased under the MIT License."),
+    ] + [(100 + i, text) for i, (_, text, _) in enumerate(licenses.whole_texts())]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.license_id): (r.n_lines, r.whole) for r in licenses.find_licenses(df, licenses.known_licenses(spark)).collect()}
+    assert {k: v for k, v in got.items() if k[0] < 100} == {
+        (1, "MIT"): (15, True), (2, "MIT"): (15, False), (4, "Apache-2.0"): (9, False), (5, "LGPL-3.0"): (3, True),
+        (7, "MIT"): (2, True), (8, "MIT"): (16, False),
+    }
+    for i, (license_id, _, _) in enumerate(licenses.whole_texts()):
+        assert got[100 + i, license_id][1]
+
+
 def test_nearest_vectors(spark):
     r = random.Random(2)
     rows = [(i, [r.gauss(0, 0.2) for _ in range(8)]) for i in range(400)]
