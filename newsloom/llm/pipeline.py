@@ -18,10 +18,16 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: those without text or letters go."""
-    profiles = language.learn_profiles(docs.filter(~language.held_out()))
+    """Documents whose language can be told, by profiles of all rows with a language.
+
+    Those without text or letters go, and those of which no n-gram is in any profile (score 0).
+    Where no row has a language there are no profiles to judge by, and every document stays.
+    """
+    profiles = language.learn_profiles(docs)
+    if not profiles:
+        return docs
     judged = language.predict_language(docs, profiles)
-    return judged.filter(F.col("lang_pred") != language.UNKNOWN).select(docs.columns)
+    return judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0)).select(docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

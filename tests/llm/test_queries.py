@@ -1,8 +1,10 @@
 """Every registered corpus query on the smallest tables, and the pipeline."""
 
 import hashlib
+import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from newsloom.llm.oracles import ORACLES
@@ -112,3 +114,19 @@ def test_stages_keep_the_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF_DIR).columns == docs.columns
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_language_stage(spark):
+    from newsloom.llm.pipeline import keep_known_languages
+
+    rows = [(i, "the cat sat on the mat", "en") for i in range(10)]
+    rows += [(10, "кошка сидела", None), (11, None, "en"), (12, "12 34", None), (13, "a hat", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert {r.doc_id for r in keep_known_languages(spark, docs, "").collect()} == {*range(10), 13}
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert keep_known_languages(spark, unlabelled, "").count() == len(rows)
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 3 == 1][:1]
+    only = spark.createDataFrame([(i, "il gatto dorme", "it") for i in held], docs.schema)
+    assert keep_known_languages(spark, only, "").count() == 1
+    both = docs.filter("doc_id < 10").union(spark.createDataFrame([(held[0], "кошка сидела", "ru")], docs.schema))
+    assert keep_known_languages(spark, both, "").filter("lang = 'ru'").count() == 1
