@@ -345,8 +345,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """``doc``, ``begin``, ``end``: spans of bytes covered by strings of WIDTH bytes that
     also start earlier. Spans of a document may overlap. ``docs``: ``doc`` (bigint), ``text``."""
     anchors = staged(_anchors(docs), "anchors")
-    runs = anchors.agg(F.sum("total")).first()[0] or 0
-    least = max(OFTEN, runs // OFTEN_MOST)
+    # A row is a run; totals stand on a row per task that holds the anchor, so their sum is larger.
+    least = max(OFTEN, anchors.count() // OFTEN_MOST)
     often = {r.hash for r in anchors.filter(F.col("total") > least).select("hash").distinct().collect()}
     listed = anchors.groupBy("doc").agg(F.collect_list(F.struct("hash", "at", "count", "place")).alias("runs"))
     cut = docs.join(listed, "doc", "left").select("doc", "text", "runs").mapInArrow(

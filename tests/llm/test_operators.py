@@ -415,3 +415,18 @@ def test_crc32_is_that_of_the_text(spark):
     got = QUERIES["op10_sharding"](spark, "/root/testdata/sf0.001").limit(3).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     assert all(r.text_crc32 == zlib.crc32(texts[r.doc_id].encode()) for r in got)
+
+
+def test_often_anchors_of_many_tasks(spark, monkeypatch):
+    from newsloom.llm import substring_dedup
+
+    often, cut = [], substring_dedup._cut
+    monkeypatch.setattr(substring_dedup, "OFTEN", 1)
+    monkeypatch.setattr(substring_dedup, "OFTEN_MOST", 4)
+    monkeypatch.setattr(substring_dedup, "_cut", lambda hashes: often.append(hashes) or cut(hashes))
+    text = "".join(chr(97 + random.Random(5 + i).randrange(26)) for i in range(100))
+    docs = spark.range(0, 8, 1, 8).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    removed = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeated(docs).collect()}
+    assert removed == {0: 0, **{i: 100 for i in range(1, 8)}}
+    # Eight runs in eight tasks are eight runs, not sixty-four.
+    assert len(often) == 1 and len(often[0]) == 1
