@@ -109,10 +109,55 @@ SELECT doc_id, license_id, count(*) FILTER (WHERE NOT whole) AS n_lines, bool_or
 FROM m JOIN k USING (c) WHERE c <> '' GROUP BY doc_id, license_id
 """
 
+_LEXICAL = f"""
+WITH d AS (SELECT row_number() OVER () AS i, doc_id, {_WORDS} AS ws FROM documents),
+q AS (SELECT DISTINCT i, item_id, unnest(ws) AS t FROM (SELECT row_number() OVER () AS i, item_id, {_WORDS} AS ws FROM benchmark)),
+s AS (SELECT count(*) FILTER (len(ws) > 0) AS n_docs, sum(len(ws))::BIGINT AS terms FROM d),
+tf AS (SELECT i, t, count(*) AS tf FROM (SELECT i, unnest(ws) AS t FROM d) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, s GROUP BY t, n_docs),
+m AS (SELECT i, doc_id, 100 - 50 + ((50 * len(ws) * n_docs) // terms) AS m FROM d, s WHERE len(ws) > 0),
+x AS (
+  SELECT q.i, item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM q JOIN tf USING (t) JOIN w USING (t) JOIN m ON m.i = tf.i GROUP BY q.i, item_id, m.i, doc_id
+)
+SELECT item_id, (row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM x WHERE score > 0 QUALIFY rank <= 50
+"""
+
+_PHRASES = f"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k
+),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (
+  SELECT * FROM f WHERE k > 1 AND NOT EXISTS (
+    SELECT 1 FROM f l WHERE l.lang = f.lang AND l.k > f.k AND contains(' ' || l.phrase || ' ', ' ' || f.phrase || ' ')
+    AND 100 * l.f >= 80 * f.f)
+),
+u AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS cut, k FROM c),
+s AS (
+  SELECT u.lang, u.phrase, a, cut, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+  FROM u JOIN f x ON x.lang = u.lang AND x.phrase = array_to_string(ws[1:cut], ' ')
+  JOIN f y ON y.lang = u.lang AND y.phrase = array_to_string(ws[cut + 1:u.k], ' ')
+),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op2_jaccard": _JACCARD,
     "op3_warc": _WARC,
     "op5_licenses": _LICENSES,
     "op6_topk": _TOPK,
     "op7_decontamination": _DECONTAMINATION,
+    "op11_lexical": _LEXICAL,
+    "op13_phrases": _PHRASES,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import bpe, decontaminate, histogram_sort, jaccard, language, licenses, secrets, substring_dedup, topk, warc
+from newsloom.llm import (
+    bpe,
+    decontaminate,
+    histogram_sort,
+    jaccard,
+    language,
+    lexical,
+    licenses,
+    phrases,
+    quality,
+    secrets,
+    substring_dedup,
+    topk,
+    warc,
+)
 from newsloom.llm.common import table, text_or_empty
 from newsloom.settings import fresh_folder, staged
 
@@ -93,3 +107,22 @@ def op10_sharding(spark, sf):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op11_lexical(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, sf, "benchmark"))
+
+
+@query
+def op12_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", quality.held_out().alias("held_out"))
+    rows = staged(quality.with_statistics(docs), "statistics")
+    labels = table(spark, sf, "labels").filter(~quality.held_out())
+    return quality.predict_quality(rows, quality.learn_quality(rows, labels))
+
+
+@query
+def op13_phrases(spark, sf):
+    return phrases.mine_phrases(table(spark, sf, "documents"))
