@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import re
 from collections import Counter
+from html import unescape
 from html.parser import HTMLParser
 
 _VOID = frozenset(
@@ -103,10 +104,16 @@ class _Builder(HTMLParser):
         self.root = Element("", {})
         self.open = [self.root]
         self.counts = Counter()  # open elements by tag
-        self.run_on = False  # the last string may still grow
+        self.pieces: list[str] = []  # of a string that may still grow
+        self.unclosed: str | None = None  # input in which a comment had no end
+
+    def end_string(self):
+        if self.pieces:
+            self.open[-1].children.append("".join(self.pieces))
+            self.pieces = []
 
     def handle_starttag(self, tag, attrs):
-        self.run_on = False
+        self.end_string()
         node = Element(tag, dict(attrs))
         self.open[-1].children.append(node)
         if tag not in _VOID:
@@ -118,7 +125,7 @@ class _Builder(HTMLParser):
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        self.run_on = False
+        self.end_string()
         while self.counts[tag]:
             closed = self.open.pop().tag
             self.counts[closed] -= 1
@@ -126,34 +133,48 @@ class _Builder(HTMLParser):
                 return
 
     def handle_data(self, data):
-        siblings = self.open[-1].children
-        if self.run_on and siblings and isinstance(siblings[-1], str):
-            siblings[-1] += data
-        else:
-            siblings.append(data)
-        self.run_on = True
+        self.pieces.append(data)
 
     def handle_comment(self, data):
-        self.run_on = False
+        self.end_string()
 
     def handle_decl(self, decl):
-        self.run_on = False
+        self.end_string()
 
     def handle_pi(self, data):
-        self.run_on = False
+        self.end_string()
 
     def unknown_decl(self, data):
-        self.run_on = False
+        self.end_string()
 
     def parse_marked_section(self, i, report=1):
         """A marked section of any kind ends at the next ``>`` and is no text."""
-        self.run_on = False
+        self.end_string()
         end = self.rawdata.find(">", i)
         return end + 1 if end >= 0 else -1
 
+    def parse_comment(self, i, report=1):
+        """Where one comment has no end, no later one has: it is looked for once."""
+        if self.unclosed is self.rawdata:
+            return -1
+        end = super().parse_comment(i, report)
+        if end < 0:
+            self.unclosed = self.rawdata
+        return end
+
 
 def parse(html: str) -> Element:
+    """The tree of a page, in time that grows with its length, whatever is left open in it.
+
+    Behind the last ``>`` no tag, comment or declaration can end any more. What is there is
+    text, and the parser, which would look for an end from every ``<`` on, does not get it;
+    in a script that is left open it is dropped with the rest of the script.
+    """
+    end = html.rfind(">") + 1
     builder = _Builder()
-    builder.feed(html)
+    builder.feed(html[:end])
     builder.close()
+    if builder.cdata_elem is None and end < len(html):
+        builder.handle_data(unescape(html[end:]))
+    builder.end_string()
     return builder.root

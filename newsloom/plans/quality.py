@@ -62,9 +62,21 @@ def file_issues(spark: SparkSession, folder: str, layer: str, pattern: str = "*.
     return ops.count_violations(audit, checks)
 
 
-def table_file_issues(spark: SparkSession, folder: str, layer: str) -> DataFrame:
-    """Parquet files of a layer that cannot be read."""
-    audit = lakes.audit_table_files(spark, folder)
+def stored_tables(lake: Lake, layer: str) -> dict[str, str]:
+    """Where the files of a layer's tables are, with their schemas."""
+    if layer == "bronze":
+        return {lake.path("bronze", "articles"): schemas.BRONZE_ARTICLE + ", pos bigint"}
+    tables = {
+        silver.LAYER: {silver.TABLE: schemas.SILVER_ARTICLE + ", file_name string, pos bigint, reason string"},
+        EVENT_LAYER: {EVENTS: STORED_EVENT},
+        gold.LAYER: {**schemas.GOLD_TABLES, gold.ARTICLES: schemas.SILVER_ARTICLE + ", file_name string, pos bigint"},
+    }
+    return {lake.run_path(layer, name, "*"): schema for name, schema in tables[layer].items()}
+
+
+def table_file_issues(spark: SparkSession, lake: Lake, layer: str) -> DataFrame:
+    """Parquet files of a layer that cannot be read to their end."""
+    audit = lakes.audit_table_files(spark, lake.path(layer), stored_tables(lake, layer))
     check = ops.Check(layer, "file_error", ERROR, "Unreadable file", F.col("status") == "file_error")
     return ops.count_violations(audit, [check])
 
@@ -162,7 +174,7 @@ def all_issues(spark: SparkSession, lake: Lake, now: Column) -> DataFrame:
     )
     for layer in LAYERS:
         if lakes.exists(spark, lake.path(layer)):
-            issues = issues.unionByName(table_file_issues(spark, lake.path(layer), layer))
+            issues = issues.unionByName(table_file_issues(spark, lake, layer))
     return issues
 
 
@@ -214,7 +226,8 @@ def check_lake(
 ) -> DataFrame:
     """Check the lake, append the report, return its row.
 
-    Files that cannot be read count as issues and do not end the check.
+    Files that cannot be read count as issues and do not end the check. Their sound rows take part in
+    the other checks; the audit, which reads every file to its end, tells that some are missing.
     """
     name = "spark.sql.files.ignoreCorruptFiles"
     before = spark.conf.get(name)

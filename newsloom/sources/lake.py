@@ -13,11 +13,14 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.settings import staged
+
 PUBLISHED = "_published"
 
 
@@ -26,7 +29,7 @@ def _file_system(spark: SparkSession, path: str):
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; no job is started."""
     files, location = _file_system(spark, path)
     return [s.getPath().getName() for s in files.listStatus(location)] if files.exists(location) else []
@@ -38,6 +41,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or a folder with all that is in it."""
+    files, location = _file_system(spark, path)
+    files.delete(location, True)
+
+
 def _is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
@@ -123,30 +132,86 @@ def audit_article_files(spark: SparkSession, folder: str, pattern: str = "*.json
     return files.select("file_name", status.alias("status"))
 
 
-def audit_table_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Per Parquet file at any depth: ``ok`` or ``file_error``.
+# Files whose ends are looked at together.
+SILENT_FILES = 1000
+
 
-    Files that give rows are sound. Of the others, which are few, the two marks that begin
-    and end a Parquet file are looked for.
+def _empty_or_broken(spark: SparkSession, silent: DataFrame) -> DataFrame:
+    """``file_name`` of those files that cannot be read or lack the marks which begin and end a Parquet file.
+    Names come to the driver a block at a time."""
+    broken, block = [], []
+
+    def look() -> None:
+        content = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).load(block)
+        marked = F.col("content").startswith(F.lit(b"PAR1")) & F.col("content").endswith(F.lit(b"PAR1"))
+        sound = content.filter(marked).select(F.col("path").alias("file_name"))
+        names = spark.createDataFrame([(name,) for name in block], "file_name string")
+        broken.append(staged(names.join(sound, "file_name", "left_anti"), "broken-files"))
+
+    for row in silent.toLocalIterator():
+        block.append(row.file_name)
+        if len(block) == SILENT_FILES:
+            look()
+            block = []
+    if block:
+        look()
+    return reduce(DataFrame.unionByName, broken) if broken else spark.createDataFrame([], "file_name string")
+
+
+def decoded_rows(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
+    """``file_name``, ``readable``: rows that come out of each Parquet file when every column of
+    ``schema`` is decoded and page checksums are compared. Reading a file stops at its first damage."""
+    rows = (
+        spark.read.schema(schema)
+        .option("ignoreCorruptFiles", True)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .option("parquet.page.verify-checksum.enabled", True)
+        .parquet(pattern)
+    )
+    # The sum over all columns keeps them all in the scan.
+    content = F.bit_xor(F.xxhash64(*rows.columns))
+    counted = rows.groupBy(F.col("_metadata.file_path").alias("file_name")).agg(
+        F.count(F.lit(1)).alias("readable"), content.alias("content")
+    )
+    return counted.filter(F.col("content").isNotNull()).drop("content")
+
+
+def audit_table_files(spark: SparkSession, folder: str, tables: dict[str, str] | None = None) -> DataFrame:
+    """Per Parquet file at any depth: ``rows`` by its footer, ``readable`` rows, and ``ok`` or ``file_error``.
+
+    ``tables``: path patterns under the folder with their schemas. Their files are read whole, and one
+    that gives fewer rows than its footer promises is an error, wherever the damage is. Of files
+    outside the patterns the footers are read. Files that promise no rows are few; they are
+    sound if they begin and end as a Parquet file does.
     """
     files = list_files(spark, folder, "*.parquet").select(F.col("path").alias("file_name"))
-    read = (
+    promised = (
         spark.read.option("ignoreCorruptFiles", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .schema("_none string")
         .parquet(folder)
-        .select(F.col("_metadata.file_path").alias("file_name"))
-        .distinct()
+        .groupBy(F.col("_metadata.file_path").alias("file_name"))
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
-    silent = [r.file_name for r in files.join(read, "file_name", "left_anti").collect()]
-    broken = spark.createDataFrame([], "file_name string")
-    if silent:
-        content = spark.read.format("binaryFile").load(silent)
-        sound = F.col("content").startswith(F.lit(b"PAR1")) & F.col("content").endswith(F.lit(b"PAR1"))
-        broken = content.filter(~sound).select(F.col("path").alias("file_name"))
-    marked = files.join(broken.withColumn("status", F.lit("file_error")), "file_name", "left")
-    return marked.withColumn("status", F.coalesce("status", F.lit("ok")))
+    listed = staged(files.join(promised, "file_name", "left"), "listed-files")
+    broken = _empty_or_broken(spark, listed.filter(F.col("rows").isNull()).select("file_name"))
+    audit = listed.join(broken.withColumn("broken", F.lit(True)), "file_name", "left")
+    read = spark.createDataFrame([], "file_name string, readable bigint, whole boolean")
+    for pattern, schema in (tables or {}).items():
+        try:
+            found = decoded_rows(spark, pattern, schema)
+            names = list_files(spark, pattern, "*.parquet").select(F.col("path").alias("file_name"))
+        except AnalysisException as error:
+            if _is_missing(error):
+                continue
+            raise
+        one = names.join(found, "file_name", "left").withColumn("whole", F.lit(True))
+        read = read.unionByName(one.withColumn("readable", F.coalesce("readable", F.lit(0))))
+    audit = audit.join(read, "file_name", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    bad = F.coalesce("broken", F.lit(False)) | (F.coalesce("whole", F.lit(False)) & (F.col("readable") < F.col("rows")))
+    return audit.select("file_name", "rows", "readable", F.when(bad, "file_error").otherwise("ok").alias("status"))
 
 
 @dataclass(frozen=True)
@@ -212,7 +277,7 @@ class Lake:
         files.create(marker, False).close()
 
     def _markers(self, spark: SparkSession, layer: str) -> list[tuple[int, str]]:
-        names = [n for n in _names(spark, self.path(layer, PUBLISHED)) if n[:12].isdigit()]
+        names = [n for n in names_in(spark, self.path(layer, PUBLISHED)) if n[:12].isdigit()]
         return sorted((int(n[:12]), n[13:]) for n in names)
 
     def published(self, spark: SparkSession, layer: str) -> bool:
@@ -226,10 +291,10 @@ class Lake:
             return markers[-1][1]
         newest = None
         files, _ = _file_system(spark, self.base)
-        for name in _names(spark, self.path(layer)):
+        for name in names_in(spark, self.path(layer)):
             if not name.startswith("run_id="):
                 continue
-            tables = _names(spark, self.path(layer, name))
+            tables = names_in(spark, self.path(layer, name))
             done = [self.path(layer, name, t, "_SUCCESS") for t in tables]
             if not done or not all(exists(spark, d) for d in done):
                 continue

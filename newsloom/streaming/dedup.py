@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsloom.operators.ranking import keep_first_by_url
-from newsloom.sources.lake import read_or_empty
-from newsloom.streaming.epochs import query_id, write_epoch
+from newsloom.settings import release, staged
+from newsloom.sources.lake import exists, names_in, read_or_empty, remove
+from newsloom.streaming.epochs import epoch_path, query_id, write_epoch
 
-BUCKETS = 256
+# Runs of equal length that are made one; files an epoch adds to the keys at most.
+FAN, KEY_FILES = 8, 8
 
 
 def first_seen(rows: DataFrame, key: str, delay: str = "7 days") -> DataFrame:
@@ -36,24 +38,24 @@ def keep_first_ever(
 ) -> StreamingQuery:
     """The exact form: write the articles whose URL is new, a folder per query and epoch.
 
-    What was seen is the table itself, not state in memory; it may have been written by
-    several queries. Each micro-batch is first cut to one row per URL, before its shuffle, so
-    the join with the known URLs has each URL once on both sides. The table is kept by
-    hash of the URL, and only folders that the micro-batch touches are read. A replayed
-    epoch replaces its rows.
+    What was seen is kept beside the table, not in memory, as digests of URLs (see ``SeenKeys``),
+    so articles written earlier are not read again; several queries may write to one table, one at a time. Each
+    micro-batch is first cut to one row per URL, before its shuffle, and those rows
+    look for themselves among the keys, so that Spark can send the smaller side to the larger. A
+    replayed epoch replaces its rows and its keys.
     """
-    url = F.coalesce("url", F.lit(""))
+    key = F.unhex(F.sha2(F.coalesce("url", F.lit("")), 256))
 
     def write(rows: DataFrame, epoch: int) -> None:
         spark = rows.sparkSession
-        own = query_id(spark, checkpoint)
-        fresh = keep_first_by_url(rows, list(order)).withColumn("_url", url)
-        fresh = fresh.withColumn("bucket", F.pmod(F.xxhash64("_url"), F.lit(BUCKETS)).cast("int"))
-        touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
-        table = read_or_empty(spark, out, "url string, bucket int, query string, epoch string")
-        earlier = table.filter(F.col("bucket").isin(touched) & ~((F.col("query") == own) & (F.col("epoch") == str(epoch))))
-        new = fresh.join(earlier.select(url.alias("_url")), "_url", "left_anti").drop("_url")
-        write_epoch(new, out, own, epoch, "bucket")
+        seen = SeenKeys(spark, out, query_id(spark, checkpoint))
+        fresh = staged(keep_first_by_url(rows, list(order)).withColumn("_key", key), "fresh")
+        known = seen.before(epoch).join(fresh.select("_key"), "_key", "left_semi")
+        new = fresh.join(known, "_key", "left_anti")
+        write_epoch(new.drop("_key").hint("rebalance"), out, seen.query, epoch)
+        written = read_or_empty(spark, epoch_path(out, seen.query, epoch), "url string")
+        seen.add(written.select(key.alias("_key")), epoch)
+        release(fresh)
 
     return (
         articles.writeStream.foreachBatch(write)
@@ -61,3 +63,79 @@ def keep_first_ever(
         .trigger(availableNow=True)
         .start()
     )
+
+
+class SeenKeys:
+    """Digests of the URLs in a table, in runs of epochs.
+
+    An epoch adds a run of its own. As soon as a query has ``FAN`` runs of equally many epochs
+    behind each other, not counting its newest epoch, which may be replayed, they are written as one
+    run. So n epochs leave at most about FAN * log(n) runs, and a key is written again
+    log(n) times at most. A run counts from the moment it is whole; runs that lie within
+    a larger one are removed an epoch later, when nothing reads them any more.
+    """
+
+    SCHEMA = "_key binary"
+
+    def __init__(self, spark: SparkSession, out: str, query: str):
+        self.spark, self.query = spark, query
+        self.table, self.base = out.rstrip("/"), f"{out.rstrip('/')}/_keys"
+
+    def path(self, query: str, first: int, last: int) -> str:
+        return f"{self.base}/{query}/{first:012d}-{last:012d}"
+
+    def runs(self, query: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+        """Whole runs of a query that lie in no other, in order, and those that do."""
+        found = []
+        for name in names_in(self.spark, f"{self.base}/{query}"):
+            first, _, last = name.partition("-")
+            if exists(self.spark, f"{self.base}/{query}/{name}/_SUCCESS"):
+                found.append((int(first), int(last)))
+        found.sort(key=lambda r: (r[0], -r[1]))
+        outer, inner, end = [], [], -1
+        for first, last in found:
+            (inner if last <= end else outer).append((first, last))
+            end = max(end, last)
+        return outer, inner
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).parquet(*paths)
+
+    def before(self, epoch: int) -> DataFrame:
+        """Keys of all rows that an epoch may not repeat."""
+        queries = names_in(self.spark, self.base)
+        if not queries:
+            self._adopt()
+            queries = names_in(self.spark, self.base)
+        paths = [
+            self.path(query, first, last)
+            for query in queries
+            for first, last in self.runs(query)[0]
+            if query != self.query or last < epoch
+        ]
+        return self._read(paths)
+
+    def _adopt(self) -> None:
+        """Keys of rows that were written without any."""
+        rows = read_or_empty(self.spark, self.table, "url string, query string")
+        keys = rows.filter(~F.col("query").eqNullSafe(self.query)).select(F.unhex(F.sha2(F.coalesce("url", F.lit("")), 256)).alias("_key"))
+        if not keys.isEmpty():
+            keys.hint("rebalance").write.mode("overwrite").parquet(self.path("earlier", 0, 0))
+
+    def add(self, keys: DataFrame, epoch: int) -> None:
+        """The keys of an epoch; then what has become many runs is made one."""
+        keys.coalesce(KEY_FILES).write.mode("overwrite").parquet(self.path(self.query, epoch, epoch))
+        outer, inner = self.runs(self.query)
+        for first, last in inner:
+            if last < epoch - 1:
+                remove(self.spark, self.path(self.query, first, last))
+        done = [r for r in outer if r[1] < epoch]
+        while len(done) >= FAN and len({last - first for first, last in done[-FAN:]}) == 1:
+            merged = done[-FAN:]
+            target = merged[0][0], merged[-1][1]
+            self._read([self.path(self.query, *r) for r in merged]).hint("rebalance").write.mode("overwrite").parquet(
+                self.path(self.query, *target)
+            )
+            done = [*done[:-FAN], target]

@@ -17,9 +17,13 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
 
 
+def epoch_path(out: str, query: str, epoch: int) -> str:
+    return f"{out}/query={query}/epoch={epoch}"
+
+
 def write_epoch(rows: DataFrame, out: str, query: str, epoch: int, *partitions: str) -> None:
     """Replace the rows of a micro-batch, also those that an earlier attempt made and this one does not."""
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partitions:
         writer = writer.partitionBy(*partitions)
-    writer.parquet(f"{out}/query={query}/epoch={epoch}")
+    writer.parquet(epoch_path(out, query, epoch))

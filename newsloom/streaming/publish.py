@@ -61,13 +61,16 @@ def publish_batch(spark: SparkSession, lake: Lake, batch_id: str, now: Column) -
 
 
 def read_article_stream(
-    spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet", batch_bytes: int | None = None
+    spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet",
+    batch_bytes: int | None = None, batch_files: int | None = None,
 ) -> DataFrame:
-    """Stream of the files of a folder; with ``batch_bytes`` at most so many per micro-batch
-    (but one file at least). Results do not depend on it."""
+    """Stream of the files of a folder; with ``batch_bytes`` or ``batch_files`` at most so many per
+    micro-batch (but one file at least). Results do not depend on it."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if batch_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", str(batch_bytes))
+    elif batch_files is not None:
+        reader = reader.option("maxFilesPerTrigger", str(batch_files))
     return reader.parquet(folder)
 
 

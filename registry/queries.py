@@ -534,12 +534,18 @@ def _article_stream(spark, sf):
 
 
 def _streamed(spark, rows, schema):
+    """A file stream over rows that come in three parts, one after the other, each in as many files as
+    there were tasks; a part is a micro-batch."""
     folder = fresh_folder(spark, "articles")
+    rows = staged(rows, "stream-rows")
     end = rows.agg(F.max("pos")).first()[0]
-    third = F.expr(f"pos * 3 div {(end or 0) + 1}")
+    # Rows without a place come first.
+    third = F.coalesce(F.expr(f"pos * 3 div {(end or 0) + 1}"), F.lit(0))
+    most = 1
     for part in range(3):
-        rows.filter(third == part).coalesce(1).write.mode("append").parquet(folder)
-    return publish.read_article_stream(spark, folder, schema + ", file_name string, pos bigint", batch_bytes=1)
+        rows.filter(third == part).write.mode("append").parquet(folder)
+        most = max(most, len([n for n in lake.names_in(spark, folder) if n.endswith(".parquet")]))
+    return publish.read_article_stream(spark, folder, schema + ", file_name string, pos bigint", batch_files=max(1, -(-most // 3)))
 
 
 @query
@@ -920,7 +926,7 @@ def dq_report_stats(spark, sf):
     table(spark, sf, "documents").limit(1).select(F.lit("no table").alias("value")).coalesce(1).write.option(
         "compression", "none"
     ).text(damaged + "-text")
-    for name in lake._names(spark, damaged + "-text"):
+    for name in lake.names_in(spark, damaged + "-text"):
         if name.startswith("part-"):
             files, source = lake._file_system(spark, f"{damaged}-text/{name}")
             files.rename(source, spark._jvm.org.apache.hadoop.fs.Path(f"{damaged}-text/x.parquet"))
@@ -932,6 +938,32 @@ def dq_report_stats(spark, sf):
     )
 
 
+@query
+def dq_damaged_pages(spark, sf):
+    """An audit of articles in 64 parts, of which one has its data overwritten while its footers stay whole."""
+    folder = fresh_folder(spark, "damaged")
+    schema = "pos bigint, title string, url string, content string"
+    part = F.coalesce(F.pmod("pos", F.lit(64)), F.lit(0)).alias("part")
+    raw(spark, sf).select("pos", "title", "url", "content", part).repartition("part").write.partitionBy("part").parquet(folder)
+    for name in lake.names_in(spark, f"{folder}/part=1"):
+        if name.endswith(".parquet"):
+            _overwrite_data(spark, f"{folder}/part=1/{name}")
+    audit = lake.audit_table_files(spark, folder, {folder: schema})
+    part = F.regexp_extract("file_name", "/part=([0-9]+)/", 1).cast("bigint").alias("part")
+    return audit.groupBy(part).agg(F.sum("rows").alias("n_rows"), F.sum("readable").alias("n_readable"), F.max("status").alias("status"))
+
+
+def _overwrite_data(spark, path):
+    """Zeros in place of all data of a Parquet file; its footer, which gives its own length, stays."""
+    data = bytearray(spark.read.format("binaryFile").load(path).first().content)
+    footer = 8 + int.from_bytes(data[-8:-4], "little")
+    data[4 : len(data) - footer] = bytes(len(data) - footer - 4)
+    files, location = lake._file_system(spark, path)
+    out = files.create(location, True)
+    out.write(data)
+    out.close()
+
+
 @query
 def articles_per_language_and_source(spark, sf):
     rows = raw(spark, sf)
