@@ -1,7 +1,7 @@
 """Text cleaning, language detection and tokenising as native Spark expressions.
 
-Every function takes and returns a Column and mentions its input once, so a
-long chain stays one expression tree that is evaluated once per row.  Java's
+Every function takes and returns a Column and mentions its input once (or binds it, see
+``bound``), so a long chain stays one expression tree that is evaluated once per row.  Java's
 ``\\w``, ``\\s`` and ``\\b`` are ASCII-only; the classes below spell out the
 Unicode sets instead.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html.entities
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -64,6 +65,11 @@ _C1_CHARS = "".join(
 )
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _code_point_char(n: Column) -> Column:
     """One character from its code point, under HTML's rules for bad ones."""
     utf32 = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
@@ -142,11 +148,16 @@ def strip_html(c: Column) -> Column:
     page extraction drops those blocks beforehand.  An unfinished reference or
     tag at the end is kept as text.
     """
-    text = F.coalesce(c, F.lit(""))
-    pieces = F.filter(F.split(text, TAG), lambda x: x != "")
+
+    def without_tags(text: Column) -> Column:
+        pieces = F.filter(F.split(text, TAG), lambda x: x != "")
+        return F.when(text.contains("<"), F.array_join(pieces, " ")).otherwise(text)
+
+    def unescaped(text: Column) -> Column:
+        return F.when(text.contains("&"), unescape_html(text)).otherwise(text)
+
     # Most texts have no markup, and splitting them would cost more than looking for it.
-    plain = F.when(text.contains("<"), F.array_join(pieces, " ")).otherwise(text)
-    return F.when(plain.contains("&"), unescape_html(plain)).otherwise(plain)
+    return bound(bound(F.coalesce(c, F.lit("")), without_tags), unescaped)
 
 
 def remove_urls(c: Column) -> Column:
@@ -164,7 +175,7 @@ def collapse_whitespace(c: Column) -> Column:
 
 def filter_characters(c: Column) -> Column:
     """Replace each character outside the allow-list by a space."""
-    return F.when(c.rlike(DISALLOWED_CHARS), F.regexp_replace(c, DISALLOWED_CHARS, " ")).otherwise(c)
+    return F.regexp_replace(c, DISALLOWED_CHARS, " ")
 
 
 def normalize_text(c: Column) -> Column:

@@ -236,17 +236,40 @@ class Lake:
             .parquet(self.path("bronze", "articles", f"run_id={run_id}"))
         )
 
-    def read_bronze(self, spark: SparkSession, schema: str, run_id: str | None = None) -> DataFrame:
-        """Bronze rows of all runs or of one; ``file_name`` orders runs as file names would."""
+    def read_bronze(self, spark: SparkSession, schema: str, run_id: str | list[str] | None = None) -> DataFrame:
+        """Bronze rows of all runs, of one or of some; ``file_name`` orders runs as file names would."""
         rows = read_or_empty(
             spark, self.path("bronze", "articles"), schema + ", pos bigint, source_key string, run_id string"
         )
         if run_id is not None:
-            rows = rows.filter(F.col("run_id") == run_id)
+            rows = rows.filter(F.col("run_id").isin([run_id] if isinstance(run_id, str) else run_id))
         return rows.withColumn(
             "file_name", F.concat("source_key", F.lit("_"), F.col("run_id").cast("string"))
         ).drop("source_key", "run_id")
 
+    def bronze_runs(self, spark: SparkSession) -> dict[str, str]:
+        """The whole runs of Bronze, and when each was written; a repeated run has a new time."""
+        base = self.path("bronze", "articles")
+        found = {}
+        for name in names_in(spark, base):
+            files, done = _file_system(spark, f"{base}/{name}/_SUCCESS")
+            if name.startswith("run_id=") and files.exists(done):
+                found[name.removeprefix("run_id=")] = str(files.getFileStatus(done).getModificationTime())
+        return found
+
+    # Lists of a run: empty files whose names are the entries, so that reading them starts no job.
+
+    def write_list(self, spark: SparkSession, layer: str, run_id: str, name: str, entries: list[str]) -> None:
+        folder = self.run_path(layer, "_" + name, run_id)
+        remove(spark, folder)
+        for number, entry in enumerate(entries):
+            files, place = _file_system(spark, f"{folder}/{number:06d}-{entry}")
+            files.mkdirs(place.getParent())
+            files.create(place, True).close()
+
+    def read_list(self, spark: SparkSession, layer: str, run_id: str, name: str) -> list[str]:
+        return [n.partition("-")[2] for n in sorted(names_in(spark, self.run_path(layer, "_" + name, run_id)))]
+
     # Snapshots: a folder per run of a layer, and a pointer to the latest run.
 
     def run_path(self, layer: str, table: str, run_id: str) -> str:
@@ -294,7 +317,7 @@ class Lake:
         for name in names_in(spark, self.path(layer)):
             if not name.startswith("run_id="):
                 continue
-            tables = names_in(spark, self.path(layer, name))
+            tables = [t for t in names_in(spark, self.path(layer, name)) if not t.startswith("_")]
             done = [self.path(layer, name, t, "_SUCCESS") for t in tables]
             if not done or not all(exists(spark, d) for d in done):
                 continue

@@ -473,6 +473,8 @@ ORACLES: dict[str, str] = {
         'Latest snapshot is empty' AS message, CAST(count(*) > 0 AS BIGINT) AS violations FROM documents""",
     "dq_report_stats": f"""{checked_sql(SOURCE_KEY + ", pos")} SELECT count(*) AS total_articles, true AS has_bronze, CAST(0 AS BIGINT) AS gold_files,
         CAST(1 AS BIGINT) AS damaged_layers FROM silver""",
+    "silver_incremental": f"""{checked_sql(SOURCE_KEY + ", CASE WHEN pos % 3 = 0 THEN 1 ELSE 0 END, pos")}
+        SELECT pos, url, title, content_length, language, reason FROM checked""",
     "dq_damaged_pages": f"""{A} SELECT coalesce(pos % 64, 0) AS part, count(*) AS n_rows,
         CASE WHEN coalesce(pos % 64, 0) = 1 THEN CAST(0 AS BIGINT) ELSE count(*) END AS n_readable,
         CASE WHEN coalesce(pos % 64, 0) = 1 THEN 'file_error' ELSE 'ok' END AS status FROM a GROUP BY coalesce(pos % 64, 0)""",

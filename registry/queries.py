@@ -938,6 +938,19 @@ def dq_report_stats(spark, sf):
     )
 
 
+@query
+def silver_incremental(spark, sf):
+    """Silver built from one Bronze run, and then from a second one that only the new rows are cleaned of."""
+    made = new_lake(spark, "lake")
+    later = F.coalesce(F.col("pos") % 3 == 0, F.lit(False))
+    rows = articles(spark, sf)
+    made.add_bronze(rows.filter(~later), BATCH)
+    silver.build_silver(spark, made, BATCH, F.lit(STAMP))
+    made.add_bronze(rows.filter(later), NEXT_BATCH)
+    silver.build_silver(spark, made, NEXT_BATCH, F.lit(STAMP))
+    return silver.read_checked(spark, made).select("pos", "url", "title", "content_length", "language", "reason")
+
+
 @query
 def dq_damaged_pages(spark, sf):
     """An audit of articles in 64 parts, of which one has its data overwritten while its footers stay whole."""
