@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.operators import sites
@@ -36,6 +36,25 @@ def site_outcomes(parsed: DataFrame) -> DataFrame:
     )
 
 
+def observed_outcomes(read: DataFrame, seen: Observation) -> DataFrame:
+    """``read`` as it is; when it is written, ``seen`` gets the same figures for each site."""
+    figures = []
+    for site in sites.SITES:
+        own = F.col("site") == site.key
+        figures += [
+            F.count_if(own).alias(f"{site.key}.pages"),
+            F.count_if(own & F.col("error").isNotNull()).alias(f"{site.key}.failed"),
+            F.count_if(own & succeeded()).alias(f"{site.key}.articles"),
+        ]
+    return read.observe(seen, *figures)
+
+
+def outcome_rows(spark: SparkSession, seen: dict[str, int]) -> DataFrame:
+    """``site``, ``pages``, ``failed``, ``articles``: a row for every site, those without pages too."""
+    rows = [(s.key, *(int(seen.get(f"{s.key}.{x}") or 0) for x in ("pages", "failed", "articles"))) for s in sites.SITES]
+    return spark.createDataFrame(rows, "site string, pages bigint, failed bigint, articles bigint")
+
+
 def source_counts(articles: DataFrame) -> DataFrame:
     """Articles per site; a site without any counts 0. Other sources are left out."""
     spark = articles.sparkSession

@@ -63,7 +63,7 @@ def _missing(df: DataFrame, field: str) -> Column:
 
 def _required(df: DataFrame, layer: str, fields: tuple[str, ...], what: str) -> list[Check]:
     return [
-        Check(layer, "missing_field", WARNING, f"Missing {f} in {what}", _missing(df, f)) for f in fields
+        Check(layer, "missing_field", WARNING, f"{what.capitalize()} has no {f}", _missing(df, f)) for f in fields
     ]
 
 
@@ -71,7 +71,7 @@ def bronze_checks(df: DataFrame) -> list[Check]:
     length = F.length(F.coalesce("content", F.lit("")))
     short = (length > 0) & (length < SHORT_CONTENT)
     return _required(df, "bronze", BRONZE_REQUIRED, "article") + [
-        Check("bronze", "content_quality", WARNING, "Very short content", short)
+        Check("bronze", "content_quality", WARNING, "Content is below the usual length", short)
     ]
 
 
@@ -81,9 +81,9 @@ def silver_checks(df: DataFrame) -> list[Check]:
     date = F.col("publication_date")
     return _required(df, "silver", SILVER_REQUIRED, "processed article") + [
         Check("silver", "normalization_error", WARNING, "Markup left in the text", content.rlike("[<>]")),
-        Check("silver", "language_detection", WARNING, "Unknown language code", ~language.isin(*LANGUAGES)),
+        Check("silver", "language_detection", WARNING, "Language is none of the known codes", ~language.isin(*LANGUAGES)),
         Check(
-            "silver", "date_format", WARNING, "Invalid date format",
+            "silver", "date_format", WARNING, "Date is no time stamp",
             ~is_blank(date) & parse_datetime(date).isNull(),
         ),
     ]
@@ -92,7 +92,7 @@ def silver_checks(df: DataFrame) -> list[Check]:
 def event_checks(df: DataFrame) -> list[Check]:
     wrong_type = F.coalesce("event_type", F.lit("")) != "article_published"
     return _required(df, "streaming", EVENT_REQUIRED, "streaming event") + [
-        Check("streaming", "invalid_event_type", WARNING, "Invalid event type", wrong_type)
+        Check("streaming", "invalid_event_type", WARNING, "Event is of another type", wrong_type)
     ]
 
 
@@ -102,12 +102,12 @@ def gold_checks(df: DataFrame, table: str) -> list[Check]:
     broken = F.lit(False)
     for field in fields:
         broken = broken | F.col(field).isNull()
-    return [Check("gold", "structure_error", WARNING, f"Invalid structure in {table}", broken)] if fields else []
+    return [Check("gold", "structure_error", WARNING, f"Rows of {table} lack a value", broken)] if fields else []
 
 
 def summary_checks(df: DataFrame) -> list[Check]:
     missing = [
-        Check("gold", "missing_key", WARNING, f"Missing {f} in summary_stats", F.col(f).isNull())
+        Check("gold", "missing_key", WARNING, f"Summary has no {f}", F.col(f).isNull())
         for f in SUMMARY_REQUIRED
     ]
     total = F.coalesce("total_articles", F.lit(0))

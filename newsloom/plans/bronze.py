@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from newsloom.operators import extraction, links, sites
+from newsloom.operators import crawl, extraction, links, sites
 from newsloom.operators.ranking import first_n_salted, keep_first
 from newsloom.operators.sequence import number_rows
 
@@ -69,6 +69,7 @@ def bronze_articles(
     per_source: int | None = None,
     links_per_listing: int | None = None,
     max_content: int | None = None,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Articles of all six sites, each URL once, numbered by ``pos`` in the order of the
     crawl. ``listings``: site, category_rank, html; ``items``: as from ``read_feeds``;
@@ -76,10 +77,13 @@ def bronze_articles(
 
     Everything is kept unless bounds are given: the first ``per_source`` successful
     articles of a source, ``links_per_listing`` links of a page, ``max_content`` characters.
-    A URL that failed is not taken up again from a later listing.
+    A URL that failed is not taken up again from a later listing. ``seen`` gets what became of the
+    pages of each site (see ``crawl.observed_outcomes``); a site whose pages fail takes nothing from the others.
     """
     located = pages.withColumn("site", extraction.site_of(F.col("url")))
     read = read_wanted(wanted_articles(listings, items, links_per_listing), located)
+    if seen is not None:
+        read = crawl.observed_outcomes(read, seen)
     kept = read.filter(extraction.succeeded())
     if per_source is not None:
         # Chosen on narrow rows; their texts are joined again afterwards.

@@ -14,6 +14,7 @@ from newsloom.settings import staged
 from newsloom.sources import lake as lakes
 from newsloom.sources.lake import Lake
 
+FACTS = "lake_facts"
 EVENT_LAYER, EVENTS = "streaming", "article_events"
 LAYERS = ("bronze", "silver", EVENT_LAYER, "gold")
 STORED_EVENT = schemas.EVENT + ", sequence bigint"
@@ -38,13 +39,13 @@ def bronze_issues(spark: SparkSession, lake: Lake, now: Column) -> DataFrame:
     # A folder without data files is as good as none.
     present = newest is not None and newest.first().path is not None
     missing = _layer_issues(
-        spark, ops.layer_issue(_flag(not present), "bronze", "missing_data", ERROR, "No files found")
+        spark, ops.layer_issue(_flag(not present), "bronze", "missing_data", ERROR, "Layer holds no data files")
     )
     if not present:
         return missing
     rows = lake.read_bronze(spark, schemas.BRONZE_ARTICLE)
     late = ops.layer_issue(
-        ops.stale(F.col("modified_at"), now), "bronze", "data_freshness", WARNING, "Latest data is old"
+        ops.stale(F.col("modified_at"), now), "bronze", "data_freshness", WARNING, "No new file for a day"
     )
     return (
         missing.unionByName(ops.count_violations(rows, ops.bronze_checks(rows)))
@@ -84,7 +85,7 @@ def table_file_issues(spark: SparkSession, lake: Lake, layer: str) -> DataFrame:
 def silver_issues(spark: SparkSession, lake: Lake) -> DataFrame:
     present = lake.latest_path(spark, silver.LAYER, silver.TABLE) is not None
     missing = _layer_issues(
-        spark, ops.layer_issue(_flag(not present), "silver", "missing_data", ERROR, "No files found")
+        spark, ops.layer_issue(_flag(not present), "silver", "missing_data", ERROR, "Layer holds no data files")
     )
     if not present:
         return missing
@@ -96,16 +97,16 @@ def event_issues(spark: SparkSession, lake: Lake, checked_events: int | None = N
     """Checks of the latest events: all of them, or with ``checked_events`` the first so many."""
     if not lakes.exists(spark, lake.path(EVENT_LAYER)):
         return _layer_issues(
-            spark, ops.layer_issue(_flag(True), "streaming", "missing_data", WARNING, "No event files found")
+            spark, ops.layer_issue(_flag(True), "streaming", "missing_data", WARNING, "Events were never written")
         )
     if not lake.published(spark, EVENT_LAYER):
         return _layer_issues(
-            spark, ops.layer_issue(_flag(True), "streaming", "missing_latest", WARNING, "No latest snapshot")
+            spark, ops.layer_issue(_flag(True), "streaming", "missing_latest", WARNING, "No event run is published")
         )
     events = lake.read_latest(spark, EVENT_LAYER, EVENTS, STORED_EVENT)
     if checked_events is not None:
         events = ops.first_events(events, checked_events)
-    empty = _if_empty(events, "streaming", "Latest snapshot is empty")
+    empty = _if_empty(events, "streaming", "Published event run has no rows")
     return empty.unionByName(ops.count_violations(events, ops.event_checks(events)))
 
 
@@ -117,14 +118,14 @@ def gold_issues(spark: SparkSession, lake: Lake) -> DataFrame:
     for name, rows in tables.items():
         present = run_id is not None and lakes.exists(spark, lake.run_path(gold.LAYER, name, run_id))
         flags.append(
-            ops.layer_issue(_flag(not present), "gold", "missing_file", ERROR, f"Missing table {name}")
+            ops.layer_issue(_flag(not present), "gold", "missing_file", ERROR, f"Table {name} was not written")
         )
         if not present:
             continue
         if name == "summary_stats":
             counted.append(ops.count_violations(rows, ops.summary_checks(rows)))
             continue
-        counted.append(_if_empty(rows, "gold", f"No data in {name}"))
+        counted.append(_if_empty(rows, "gold", f"Table {name} has no rows"))
         checks = ops.gold_checks(rows, name)
         if checks:
             counted.append(ops.count_violations(rows, checks))
@@ -139,14 +140,14 @@ def consistency_issues(bronze: int, silver_rows: int, gold_total: int | None, sp
     issues = [
         ops.layer_issue(
             ops.too_few_silver(F.lit(silver_rows), F.lit(bronze)),
-            "consistency", "article_count_mismatch", WARNING, "Silver much less than Bronze",
+            "consistency", "article_count_mismatch", WARNING, "Few Bronze rows reach Silver",
         )
     ]
     if gold_total is not None:
         issues.append(
             ops.layer_issue(
                 ops.summary_differs(F.lit(gold_total), F.lit(silver_rows)),
-                "consistency", "summary_mismatch", WARNING, "Gold summary does not match Silver",
+                "consistency", "summary_mismatch", WARNING, "Summary counts other rows than Silver has",
             )
         )
     return _layer_issues(spark, *issues)
@@ -178,9 +179,22 @@ def all_issues(spark: SparkSession, lake: Lake, now: Column) -> DataFrame:
     return issues
 
 
-def lake_stats(spark: SparkSession, lake: Lake) -> DataFrame:
-    """One row: data files per layer, articles in Silver, and articles by language and by
-    source as the library's own tables give them in full."""
+def lake_facts(spark: SparkSession, lake: Lake) -> DataFrame:
+    """``layer``, ``kind`` (``total``, ``language`` or ``source``), ``name``, ``articles``: the articles of Bronze
+    and Silver in all, by language and by source, as rows of one pass. A missing value is null."""
+    layers = {"bronze": lake.read_bronze(spark, schemas.BRONZE_ARTICLE), "silver": silver.read_silver(spark, lake)}
+    parts = [rows.select(F.lit(layer).alias("layer"), "language", "source") for layer, rows in layers.items()]
+    sets = [[F.col("layer")], [F.col("layer"), F.col("language")], [F.col("layer"), F.col("source")]]
+    counted = parts[0].unionByName(parts[1]).groupingSets(sets, "layer", "language", "source").agg(
+        F.grouping("language").alias("all_languages"), F.grouping("source").alias("all_sources"), F.count(F.lit(1)).alias("articles")
+    )
+    kind = F.when(F.col("all_languages") == 0, "language").when(F.col("all_sources") == 0, "source").otherwise("total")
+    return counted.select("layer", kind.alias("kind"), F.coalesce("language", "source").alias("name"), "articles")
+
+
+def lake_stats(spark: SparkSession, lake: Lake, facts: DataFrame) -> DataFrame:
+    """One row: data files per layer, articles in Silver, and sources in Bronze. The counts by
+    language and source are rows of a report of their own, ``FACTS``."""
     files = None
     for layer in LAYERS:
         path = lake.path(layer)
@@ -188,7 +202,10 @@ def lake_stats(spark: SparkSession, lake: Lake) -> DataFrame:
         one = listed.agg(F.count(F.lit(1)).alias("n")).select(F.lit(layer).alias("layer"), "n")
         files = one if files is None else files.unionByName(one)
     counted = files.agg(*[F.max(F.when(F.col("layer") == x, F.col("n"))).alias(f"{x}_files") for x in LAYERS])
-    total = silver.read_silver(spark, lake).agg(F.count(F.lit(1)).alias("total_articles"))
+    total = facts.agg(
+        F.coalesce(F.sum(F.when(F.expr("layer = 'silver' AND kind = 'total'"), F.col("articles"))), F.lit(0)).alias("total_articles"),
+        F.count_if(F.expr("layer = 'bronze' AND kind = 'source'")).alias("bronze_sources"),
+    )
     return one_row(counted, total)
 
 
@@ -234,11 +251,13 @@ def check_lake(
     spark.conf.set(name, "true")
     try:
         issues = staged(all_issues(spark, lake, now), "quality-issues")
-        report = quality_report(issues, sample_issues(spark, lake), now, lake_stats(spark, lake))
+        facts = staged(lake_facts(spark, lake), "lake-facts")
+        report = quality_report(issues, sample_issues(spark, lake), now, lake_stats(spark, lake, facts))
         report = staged(report, "quality-report")
     finally:
         spark.conf.set(name, before)
     lake.append_report(report, "quality")
+    lake.append_report(facts.select(now.cast("string").alias("generated_at"), "*").coalesce(1), FACTS)
     if fail_on_poor and not report.first().acceptable:
         raise RuntimeError("data quality is poor")
     return report

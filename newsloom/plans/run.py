@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom import schemas
@@ -17,6 +17,7 @@ from newsloom.sources.lake import Lake
 from newsloom.streaming import publish
 
 STEPS = ("bronze", "silver", "streaming", "gold", "warehouse", "quality", "dashboard")
+CRAWLS = "crawls"
 REPORT = "step string, status string, seconds double, counters map<string,double>, error string"
 
 
@@ -31,9 +32,9 @@ class Crawl:
     links_per_listing: int | None = None
     max_content: int | None = None
 
-    def articles(self, scraped_at: Column) -> DataFrame:
+    def articles(self, scraped_at: Column, seen: Observation | None = None) -> DataFrame:
         return bronze.bronze_articles(
-            self.listings, self.items, self.pages, scraped_at,
+            self.listings, self.items, self.pages, scraped_at, seen=seen,
             per_source=self.per_source, links_per_listing=self.links_per_listing, max_content=self.max_content,
         )
 
@@ -50,7 +51,8 @@ def run_lake(
     """Bronze, silver, streaming, gold, warehouse, quality, dashboard, in this order.
 
     ``articles`` are new raw articles with ``pos``, or a crawl to make them from; without
-    them Bronze is left as it is. A failing step ends the run unless ``force`` is set; the
+    them Bronze is left as it is. What became of the pages of each site of a crawl is in the step's
+    counters and in a report of its own. A failing step ends the run unless ``force`` is set; the
     dashboard is only made when all went well. Every step leaves a row in the run report.
     Returns whether all steps went well.
     """
@@ -59,11 +61,17 @@ def run_lake(
     stamp = F.lit(now.strftime("%Y-%m-%dT%H:%M:%S"))
 
     def add_bronze() -> dict:
-        rows = articles.articles(stamp) if isinstance(articles, Crawl) else articles
-        lake.add_bronze(rows, run_id)
+        outcomes = {}
+        if isinstance(articles, Crawl):
+            seen = Observation("pages of a crawl")
+            lake.add_bronze(articles.articles(stamp, seen), run_id)
+            outcomes = seen.get
+            lake.append_report(crawl.outcome_rows(spark, outcomes).withColumn("execution_time", stamp).coalesce(1), CRAWLS)
+        else:
+            lake.add_bronze(articles, run_id)
         added = lake.read_bronze(spark, schemas.BRONZE_ARTICLE, run_id)
         counts = {r.source: r.article_count for r in crawl.source_counts(added).collect()}
-        return {"articles": added.count(), **counts}
+        return {"articles": added.count(), **counts, **outcomes}
 
     def check() -> dict:
         report = quality.check_lake(spark, lake, stamp.cast("timestamp")).first()

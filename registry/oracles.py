@@ -185,16 +185,16 @@ def violations(rows: str, layer: str, checks: list[tuple[str, str, str]], severi
 
 
 def required(fields: list[str], what: str) -> list[tuple[str, str, str]]:
-    return [("missing_field", f"Missing {f} in {what}", f"coalesce(CAST({f} AS VARCHAR), '') = ''") for f in fields]
+    return [("missing_field", f"{what.capitalize()} has no {f}", f"coalesce(CAST({f} AS VARCHAR), '') = ''") for f in fields]
 
 
 FOREIGN = A + f", f AS (SELECT *, CASE WHEN pos % 9 = 0 THEN '' ELSE '{STAMP}' END AS processed_at FROM a)"
 SILVER_FIELDS = ["title", "content", "url", "source", "language", "processed_at"]
 SILVER_REQUIRED = required(SILVER_FIELDS, "processed article")
 MARKUP = ("normalization_error", "Markup left in the text", "regexp_matches(coalesce(content, ''), '[<>]')")
-LANGUAGE = ("language_detection", "Unknown language code", "coalesce(language, '') NOT IN ('en', 'ar', 'fr')")
+LANGUAGE = ("language_detection", "Language is none of the known codes", "coalesce(language, '') NOT IN ('en', 'ar', 'fr')")
 DATES = (
-    "date_format", "Invalid date format",
+    "date_format", "Date is no time stamp",
     f"coalesce(publication_date, '') <> '' AND ({iso_time('publication_date')}) IS NULL",
 )
 SILVER_CHECKS = [*SILVER_REQUIRED, MARKUP, LANGUAGE, DATES]
@@ -445,7 +445,7 @@ ORACLES: dict[str, str] = {
     # Data quality
     "dq_q3_bronze_required": f"{A} " + violations("a", "bronze", required(["title", "content", "url", "source"], "article")),
     "dq_q4_bronze_short_content": f"{A} " + violations(
-        "a", "bronze", [("content_quality", "Very short content", "length(content) BETWEEN 1 AND 99")]
+        "a", "bronze", [("content_quality", "Content is below the usual length", "length(content) BETWEEN 1 AND 99")]
     ),
     "dq_q7_silver_required": f"{FOREIGN} " + violations("f", "silver", SILVER_REQUIRED),
     "dq_q8_silver_markup": f"{FOREIGN} " + violations("f", "silver", [MARKUP]),
@@ -454,27 +454,37 @@ ORACLES: dict[str, str] = {
     "dq_silver_clean": f"{C}, f AS (SELECT *, 'x' AS processed_at FROM silver) " + violations("f", "silver", SILVER_CHECKS),
     "dq_q13_event_required": f"{BROKEN_EVENTS} " + violations("e", "streaming", required(EVENT_FIELDS, "streaming event")),
     "dq_q14_event_type": f"{BROKEN_EVENTS} " + violations(
-        "e", "streaming", [("invalid_event_type", "Invalid event type", "event_type <> 'article_published'")]
+        "e", "streaming", [("invalid_event_type", "Event is of another type", "event_type <> 'article_published'")]
     ),
     "dq_q2_q6_files": "WITH b AS (SELECT DISTINCT doc_id // 50 AS block FROM documents) " + violations(
         "b", "bronze",
         [("format_error", "No JSON array", "block % 3 = 1"), ("file_error", "Unreadable file", "block % 3 = 2")], "ERROR",
     ),
     "dq_q1_q5_bronze_layer": f"""{A} SELECT 'bronze' AS layer, 'missing_data' AS type, 'ERROR' AS severity,
-        'No files found' AS message, CAST(0 AS BIGINT) AS violations
-        UNION ALL SELECT 'bronze', 'data_freshness', 'WARNING', 'Latest data is old', 1 UNION ALL """ + violations(
+        'Layer holds no data files' AS message, CAST(0 AS BIGINT) AS violations
+        UNION ALL SELECT 'bronze', 'data_freshness', 'WARNING', 'No new file for a day', 1 UNION ALL """ + violations(
         "a", "bronze",
         [*required(["title", "content", "url", "source"], "article"),
-         ("content_quality", "Very short content", "length(content) BETWEEN 1 AND 99")],
+         ("content_quality", "Content is below the usual length", "length(content) BETWEEN 1 AND 99")],
     ),
-    "dq_q1_no_bronze": """SELECT 'bronze' AS layer, 'missing_data' AS type, 'ERROR' AS severity, 'No files found' AS message,
+    "dq_q1_no_bronze": """SELECT 'bronze' AS layer, 'missing_data' AS type, 'ERROR' AS severity, 'Layer holds no data files' AS message,
         CAST(count(*) > 0 AS BIGINT) AS violations FROM documents""",
     "dq_q12_empty_events": """SELECT 'streaming' AS layer, 'empty_data' AS type, 'WARNING' AS severity,
-        'Latest snapshot is empty' AS message, CAST(count(*) > 0 AS BIGINT) AS violations FROM documents""",
+        'Published event run has no rows' AS message, CAST(count(*) > 0 AS BIGINT) AS violations FROM documents""",
     "dq_report_stats": f"""{checked_sql(SOURCE_KEY + ", pos")} SELECT count(*) AS total_articles, true AS has_bronze, CAST(0 AS BIGINT) AS gold_files,
         CAST(1 AS BIGINT) AS damaged_layers FROM silver""",
     "silver_incremental": f"""{checked_sql(SOURCE_KEY + ", CASE WHEN pos % 3 = 0 THEN 1 ELSE 0 END, pos")}
         SELECT pos, url, title, content_length, language, reason FROM checked""",
+    "lake_facts": f"""{checked_sql(SOURCE_KEY + ", pos")}, r AS (
+          SELECT 'bronze' AS layer, language, source FROM a UNION ALL SELECT 'silver', language, source FROM silver)
+        SELECT layer, 'total' AS kind, CAST(NULL AS VARCHAR) AS name, count(*) AS articles FROM r GROUP BY layer
+        UNION ALL SELECT layer, 'language', language, count(*) FROM r GROUP BY layer, language
+        UNION ALL SELECT layer, 'source', source, count(*) FROM r GROUP BY layer, source""",
+    "crawl_outcomes": f"""{CRAWL} SELECT ['hespress', 'bbc_news', 'barlamane', 'akhbarona', 'al_jazeera', 'reuters'][k + 1] AS site,
+        CASE WHEN k = 5 THEN 0 ELSE count(*) END AS pages, CAST(0 AS BIGINT) AS failed,
+        CASE WHEN k IN (0, 5) THEN 0 ELSE count(*) FILTER (WHERE content <> '' AND title <> '') END AS articles FROM c GROUP BY k""",
+    "feed_outcomes": f"""WITH {FEED} SELECT site, category, CASE WHEN site = 'reuters' THEN 0 ELSE count(*) END AS items,
+        site = 'reuters' AS unreadable FROM feed GROUP BY site, category""",
     "dq_damaged_pages": f"""{A} SELECT coalesce(pos % 64, 0) AS part, count(*) AS n_rows,
         CASE WHEN coalesce(pos % 64, 0) = 1 THEN CAST(0 AS BIGINT) ELSE count(*) END AS n_readable,
         CASE WHEN coalesce(pos % 64, 0) = 1 THEN 'file_error' ELSE 'ok' END AS status FROM a GROUP BY coalesce(pos % 64, 0)""",
@@ -487,23 +497,23 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'bronze', 'completed', true, count(*) FROM a
         UNION ALL SELECT unnest(['streaming', 'warehouse']), 'completed', true, count(*) FROM silver""",
     "dq_q11_q12_event_layer": """SELECT 'streaming' AS layer, 'missing_latest' AS type, 'WARNING' AS severity,
-        'No latest snapshot' AS message, CAST(count(*) > 0 AS BIGINT) AS violations FROM documents""",
+        'No event run is published' AS message, CAST(count(*) > 0 AS BIGINT) AS violations FROM documents""",
     "dq_q15_q19_gold_layer": f"""{C}, bad AS (SELECT count(*) AS n FROM ({BY_SOURCE}) WHERE starts_with(source, 'src'))
         SELECT 'gold' AS layer, type, severity, message, CAST(n AS BIGINT) AS violations FROM (
-        SELECT 'missing_file' AS type, 'ERROR' AS severity, 'Missing table ' || t AS message, CAST(t = 'articles_by_date' AS INT) AS n
+        SELECT 'missing_file' AS type, 'ERROR' AS severity, 'Table ' || t || ' was not written' AS message, CAST(t = 'articles_by_date' AS INT) AS n
           FROM (SELECT unnest(['articles_by_source', 'articles_by_category', 'articles_by_language', 'articles_by_date', 'top_keywords', 'summary_stats']) AS t)
-        UNION ALL SELECT 'empty_data', 'WARNING', 'No data in ' || t, CAST(t = 'articles_by_category' AS INT)
+        UNION ALL SELECT 'empty_data', 'WARNING', 'Table ' || t || ' has no rows', CAST(t = 'articles_by_category' AS INT)
           FROM (SELECT unnest(['articles_by_source', 'articles_by_category', 'articles_by_language', 'top_keywords']) AS t)
-        UNION ALL SELECT 'structure_error', 'WARNING', 'Invalid structure in articles_by_source', n FROM bad
-        UNION ALL SELECT 'structure_error', 'WARNING', 'Invalid structure in ' || t, 0
+        UNION ALL SELECT 'structure_error', 'WARNING', 'Rows of articles_by_source lack a value', n FROM bad
+        UNION ALL SELECT 'structure_error', 'WARNING', 'Rows of ' || t || ' lack a value', 0
           FROM (SELECT unnest(['articles_by_language', 'top_keywords']) AS t)
-        UNION ALL SELECT 'missing_key', 'WARNING', 'Missing ' || t || ' in summary_stats', 0
+        UNION ALL SELECT 'missing_key', 'WARNING', 'Summary has no ' || t, 0
           FROM (SELECT unnest(['total_articles', 'total_sources', 'generated_at']) AS t)
         UNION ALL SELECT 'invalid_stats', 'WARNING', 'No article counted', 0)""",
     "dq_q16_q17_summary": f"""{C}, s AS (SELECT CAST(0 AS BIGINT) AS total_articles, CAST(0 AS BIGINT) AS total_sources, NULL AS generated_at
         UNION ALL SELECT count(*), count(DISTINCT source), '{STAMP}' FROM silver) """ + violations(
         "s", "gold",
-        [("missing_key", f"Missing {f} in summary_stats", f"{f} IS NULL") for f in ("total_articles", "total_sources", "generated_at")]
+        [("missing_key", f"Summary has no {f}", f"{f} IS NULL") for f in ("total_articles", "total_sources", "generated_at")]
         + [("invalid_stats", "No article counted", "coalesce(total_articles, 0) <= 0")],
     ),
     "dq_q20_q21_consistency": f"""{C}, n AS (SELECT (SELECT 2 * count(*) FROM a) AS bronze,

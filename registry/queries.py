@@ -760,6 +760,19 @@ def crawl_to_gold(spark, sf):
     )
 
 
+@query
+def crawl_outcomes(spark, sf):
+    """What a run reports of the pages of each site, when the feed of one site and all pages of another are empty."""
+    made = new_lake(spark, "lake")
+    whole = _crawl(spark, sf)
+    blank = F.when(extraction.site_of(F.col("url")) == "hespress", "").otherwise(F.col("html"))
+    items = whole.items.filter(F.col("site") != "reuters")
+    steps = tuple(s for s in run.STEPS if s != "bronze")
+    run.run_lake(spark, made, run.Crawl(whole.listings, items, whole.pages.withColumn("html", blank)), skip=steps)
+    schema = "site string, pages bigint, failed bigint, articles bigint"
+    return spark.read.schema(schema).json(made.path("reports", run.CRAWLS))
+
+
 @query
 def body_fallback(spark, sf):
     """Guarded pages and pages without a body fall back to the description."""
@@ -805,6 +818,23 @@ def rss_items(spark, sf):
     return feeds.read_feeds(spark, folder, {"bbc_news": ("world", "business"), "reuters": ("business",)}).drop("pos")
 
 
+@query
+def feed_outcomes(spark, sf):
+    """Feeds of which the files of one site are no XML: they are counted, and the others give all their items."""
+    folder = fresh_folder(spark, "feeds")
+    rows = _feed_rows(spark, sf)
+    rows.repartition("site", "category").write.format("xml").option("rootTag", "channel").option("rowTag", "item").partitionBy(
+        "site", "category"
+    ).save(folder)
+    for category in lake.names_in(spark, f"{folder}/site=reuters"):
+        for name in lake.names_in(spark, f"{folder}/site=reuters/{category}"):
+            files, location = lake._file_system(spark, f"{folder}/site=reuters/{category}/{name}")
+            out = files.create(location, True)
+            out.write(bytearray(b"\x00\x01 no feed"))
+            out.close()
+    return feeds.feed_outcomes(spark, folder).select("site", "category", "items", (F.col("unreadable") > 0).alias("unreadable"))
+
+
 @query
 def rss_join_pages(spark, sf):
     """Items of fetched and unfetched pages joined to the pages."""
@@ -951,6 +981,14 @@ def silver_incremental(spark, sf):
     return silver.read_checked(spark, made).select("pos", "url", "title", "content_length", "language", "reason")
 
 
+@query
+def lake_facts(spark, sf):
+    """Articles of both layers in all, by language and by source."""
+    made = bronze_lake(spark, sf)
+    silver.build_silver(spark, made, BATCH, F.lit(STAMP))
+    return quality_plan.lake_facts(spark, made)
+
+
 @query
 def dq_damaged_pages(spark, sf):
     """An audit of articles in 64 parts, of which one has its data overwritten while its footers stay whole."""
