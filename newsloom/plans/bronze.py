@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from newsloom.operators import crawl, extraction, links, sites
+from newsloom.operators.keyfilter import maybe_in
 from newsloom.operators.ranking import first_n_salted, keep_first
 from newsloom.operators.sequence import number_rows
+from newsloom.settings import staged
 
 
 KEY = ["site", "url"]
@@ -32,10 +34,13 @@ def read_wanted(wanted: DataFrame, located: DataFrame) -> DataFrame:
     """Articles of the wanted URLs whose page was fetched, with the ``error`` of pages
     that cannot be read. ``located``: pages with their ``site``.
 
-    Pages are parsed once, before the join, so their raw HTML is never shuffled; of a URL
-    that was fetched several times the first page counts, so the join is one to one.
+    Pages are parsed once, before the join, so their raw HTML is never shuffled; pages that
+    nothing asks for are left out before that. Of a URL that was fetched several times the
+    first page counts, so the join is one to one.
     """
-    parsed = extraction.parse_pages(located.withColumn("guarded", guarded()), keep=("guarded",))
+    wanted = staged(wanted, "wanted-articles")
+    asked = maybe_in(located, wanted, KEY)
+    parsed = extraction.parse_pages(asked.withColumn("guarded", guarded()), keep=("guarded",))
     page = keep_first(parsed, KEY, ["page_id"])
     both = wanted.join(page.withColumnsRenamed({"content": "body", "title": "page_title", "category": "page_category",
                                                 "publication_date": "page_date"}), KEY)

@@ -84,3 +84,50 @@ def test_numbering_with_nulls(spark):
     got = [tuple(r) for r in number_rows(rows, "f", "p").orderBy("sequence").collect()]
     assert got == [(None, 1, 1), (None, 2, 2), ("a", None, 3), ("a", 0, 4), ("x", 1, 5)]
     assert number_rows(rows.filter("false"), "f", "p").collect() == []
+
+
+@pytest.mark.parametrize("most", [1 << 27, 1 << 15])
+def test_keys_in_a_table_pass_the_filter(spark, monkeypatch, most):
+    """Every key of the table passes, and few others."""
+    from newsloom.operators import keyfilter
+
+    monkeypatch.setattr(keyfilter, "MOST", most)
+    table = spark.range(0, 40_000, 2).select(F.col("id").alias("a"), F.concat(F.lit("u"), "id").alias("b"))
+    table = table.unionByName(spark.createDataFrame([(None, "x"), (1, None)], "a bigint, b string"))
+    rows = spark.range(40_000).select(F.lit("wide").alias("html"), F.col("id").alias("a"), F.concat(F.lit("u"), "id").alias("b"))
+    rows = rows.unionByName(spark.createDataFrame([("n", None, "x"), ("n", 1, None)], "html string, a bigint, b string"))
+    passed = keyfilter.maybe_in(rows, table, ["a", "b"])
+    assert passed.columns == rows.columns
+    got = passed.collect()
+    assert sum(r.html == "wide" and r.a % 2 == 0 for r in got) == 20_000 and sum(r.html == "n" for r in got) == 2
+    assert most < 1 << 20 or sum(r.html == "wide" and r.a % 2 == 1 for r in got) < 2500
+    plan = passed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert keyfilter.maybe_in(rows, table.filter("false"), ["a", "b"]).collect() == []
+
+
+def test_only_wanted_pages_are_parsed(spark, monkeypatch):
+    """Pages that no listing links to are not read."""
+    from newsloom.operators import extraction
+    from newsloom.plans import bronze
+
+    seen = spark.sparkContext.accumulator(0)
+    parse = extraction.parse_pages
+
+    def counted(pages, keep=()):
+        def touch(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return parse(pages.mapInArrow(touch, pages.schema), keep)
+
+    monkeypatch.setattr(extraction, "parse_pages", counted)
+    base = "https://www.hespress.com"
+    pages = spark.createDataFrame([(i, f"{base}/{i}.html", "<h1>x</h1>") for i in range(3000)], "page_id bigint, url string, html string")
+    listing = spark.createDataFrame([("hespress", 0, " ".join(f'<a href="/{i}.html">x</a>' for i in range(40)))], "site string, category_rank int, html string")
+    items = spark.createDataFrame([], "site string, category_rank int, pos bigint, title string, url string, publication_date string, description string, category string")
+    located = pages.withColumn("site", extraction.site_of(F.col("url")))
+    read = bronze.read_wanted(bronze.wanted_articles(listing, items), located)
+    assert read.count() == 40
+    assert 40 <= seen.value < 400
