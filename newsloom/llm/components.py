@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.settings import staged
+from newsloom.settings import release, staged
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -45,7 +45,8 @@ def connected(edges: DataFrame) -> DataFrame:
     )
     mark = _mark(now)
     while True:
-        now = staged(_star(_star(now, True), False), "edges")
+        last, now = now, staged(_star(_star(now, True), False), "edges")
+        release(last)
         before, mark = mark, _mark(now)
         if mark == before:
             break

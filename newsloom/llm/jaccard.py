@@ -8,10 +8,11 @@ made longer by the one shingle per class that a pair cannot promise. Unrelated d
 that share a frequent shingle seldom share two of one class. Very large sets
 index pairs only, as they share some rare shingle with any other large set.
 
-Documents that share an index entry are candidates. They are not compared all with all:
-first each with the smallest document it may be similar to; those links give components; and
-only candidates still in different components are compared with each other. Every link
-left out lies within a component, so components are exact.
+Documents with one set are one class from the start, known by a hash of the set; only classes
+are indexed and compared. Classes that share an index entry are candidates. They are not
+compared all with all: first each with the smallest class it may be similar to; those links
+give components; and only candidates still in different components are compared with each
+other. Every link left out lies within a component, so components are exact.
 """
 
 from __future__ import annotations
@@ -22,11 +23,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.llm.common import slices, tidy
 from newsloom.llm.components import connected
-from newsloom.settings import staged
+from newsloom.settings import release, staged
 
 WORDS = 4
 PERCENT = 85
@@ -43,7 +45,7 @@ SINGLE, CLASSES, LARGE = 40, 16, 512
 SKETCH = 256
 # Members of a group that are compared in one task at a time, and pairs a task holds back.
 CHUNK, PAIRS_HELD = 1024, 1 << 21
-REMEMBERED = 500_000
+REMEMBERED = 1 << 17
 BITMAP_BITS = 1 << 24
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
@@ -76,6 +78,11 @@ def shingles(text: str | None, words: int, hashes: dict) -> np.ndarray:
     return np.unique(combined)
 
 
+def class_of(tokens: np.ndarray) -> int:
+    """The number of a set's class."""
+    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def _needed(n: int, percent: int) -> int:
     """Length of a prefix that a similar set cannot lack altogether."""
     return n - -(-n * percent // 100) + 1
@@ -162,8 +169,8 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
                 names=["token", "n", "sum"],
             )
 
-        for batch in batches:
-            for text in batch.column(1).to_pylist():
+        for part in (p for batch in batches for p in slices(batch)):
+            for text in part.column(1).to_pylist():
                 tokens = shingles(text, words, hashes)
                 held.append(tokens)
                 size += len(tokens)
@@ -174,40 +181,41 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
         if size:
             yield count()
 
-    counted = docs.mapInArrow(run, "token bigint, n bigint, sum boolean").groupBy("sum", "token").agg(
+    counted = docs.mapInArrow(tidy(run), "token bigint, n bigint, sum boolean").groupBy("sum", "token").agg(
         F.sum("n").alias("n")
     )
     counted = staged(counted, "shingle-counts")
     total = counted.filter("sum").agg(F.sum("n")).first()[0] or 0
     least = max(FREQUENT, total // FREQUENT_MOST)
     found = counted.filter(~F.col("sum") & (F.col("n") > least)).select("token").toPandas()["token"]
+    release(counted)
     return np.sort(found.to_numpy(np.int64).view(np.uint64))
 
 
 def _index(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
-    """Per document: ``n``, ``same`` (an earlier document of the task with the same set, else null), and
-    for documents without such ``sketch`` and ``sigs``."""
+    """Per document: ``mark``, ``n`` and ``cls`` (its set's hash; null without shingles), and for the first document of
+    a class in a task ``sketch`` and ``sigs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, first = _WordHashes(), {}
-        for batch in batches:
-            n, same, sketches, sigs = [], [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        hashes, known = _WordHashes(), set()
+        for part in (p for batch in batches for p in slices(batch)):
+            n, classes, sketches, sigs = [], [], [], []
+            for text in part.column(1).to_pylist():
                 tokens = shingles(text, words, hashes)
-                known = first.setdefault(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), doc)
+                cls = class_of(tokens) if len(tokens) else None
+                keep = cls is not None and cls not in known
+                known.add(cls)
                 n.append(len(tokens))
-                again = len(tokens) > 0 and known != doc
-                same.append(known if again else None)
-                keep = len(tokens) > 0 and not again
+                classes.append(cls)
                 sketches.append(sketch(tokens) if keep else None)
                 sigs.append(signatures(tokens, frequent, percent).view(np.int64) if keep else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(same, pa.int64()), pa.array(sketches, pa.binary()),
+                [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary()),
                  pa.array(sigs, pa.list_(pa.int64()))],
-                names=["doc", "n", "same", "sketch", "sigs"],
+                names=["doc", "mark", "n", "cls", "sketch", "sigs"],
             )
 
-    return docs.mapInArrow(run, "doc bigint, n bigint, same bigint, sketch binary, sigs array<bigint>")
+    return docs.mapInArrow(tidy(run), "doc bigint, mark bigint, n bigint, cls bigint, sketch binary, sigs array<bigint>")
 
 
 def _filter_pairs(pairs: DataFrame, percent: int) -> DataFrame:
@@ -223,14 +231,15 @@ def _filter_pairs(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
-def _links(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose sets are similar: every pair is verified on whole sets.
+def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs of classes whose sets are similar: every pair is verified on whole sets.
 
-    Only sets of documents that occur in a pair are made and shuffled. Which these are is
-    told to the tasks by a bitmap of fixed size; at more documents than it can tell apart it
-    lets others pass, and the join leaves them out.
+    Only sets of classes that occur in a pair are made and shuffled, from one document (``rep``) of
+    each. Which these are is told to the tasks by a bitmap of fixed size; at more documents than
+    it can tell apart it lets others pass, and the join leaves them out.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    met = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    ids = classes.select("cls", F.col("rep").alias("doc")).join(met, "cls").select("doc").distinct()
     slot = F.pmod(F.xxhash64("doc"), F.lit(BITMAP_BITS)).cast("bigint")
     # Both buckets of 2**15 bits and the places that go into them are counted from 1.
     marked = ids.groupBy(F.bitmap_bucket_number(slot + 1).alias("bucket")).agg(
@@ -241,29 +250,36 @@ def _links(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataF
         bits[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(bytes(row.bits), np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
-        for batch in batches:
-            places = batch.column(2).to_numpy()
+        hashes, known = _WordHashes(), set()
+        for part in (p for batch in batches for p in slices(batch)):
+            places = part.column(1).to_numpy()
             hit = bits[places >> 3] >> (places & 7).astype(np.uint8) & 1
-            some = batch.filter(pa.array(hit.astype(bool)))
-            sets = [shingles(t, words, hashes).tobytes() for t in some.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())], names=["doc", "set"])
-
-    sets = docs.select("doc", "text", slot.alias("slot")).mapInArrow(run, "doc bigint, set binary")
+            some = part.column(0).filter(pa.array(hit.astype(bool)))
+            found = {}
+            for text in some.to_pylist():
+                tokens = shingles(text, words, hashes)
+                cls = class_of(tokens)
+                if len(tokens) and cls not in known:
+                    known.add(cls)
+                    found[cls] = tokens.tobytes()
+            columns = [pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["cls", "set"])
+
+    sets = docs.select("text", slot.alias("slot")).mapInArrow(tidy(run), "cls bigint, set binary")
     # Not renamed, so that both joins share one exchange of the sets.
-    left = pairs.join(sets.alias("x"), F.col("a") == F.col("x.doc")).select("a", "b", F.col("x.set").alias("set_a"))
-    both = left.join(sets.alias("y"), F.col("b") == F.col("y.doc")).select("a", "b", "set_a", F.col("y.set").alias("set_b"))
+    left = pairs.join(sets.alias("x"), F.col("a") == F.col("x.cls")).select("a", "b", F.col("x.set").alias("set_a"))
+    both = left.join(sets.alias("y"), F.col("b") == F.col("y.cls")).select("a", "b", "set_a", F.col("y.set").alias("set_b"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (p for batch in batches for p in slices(batch)):
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(verify, "a bigint, b bigint")
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(tidy(verify), "a bigint, b bigint").distinct()
 
 
 def _group_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -327,52 +343,57 @@ def _group_pairs(members: DataFrame, percent: int) -> DataFrame:
 
     dealt = members.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "key")
     columns = ("hub", "chunk", "key", "probe", "doc", "comp", "n", "sketch")
-    return dealt.select(*columns).mapInArrow(run, "a bigint, b bigint")
+    return dealt.select(*columns).mapInArrow(tidy(run), "a bigint, b bigint")
 
 
-def near_duplicates(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
-) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``: the smallest id reachable by links.
-
-    Two documents link when 100 * |intersection| >= ``percent`` * |union| of their shingle
-    sets. Null or empty texts have no shingles and no links. Rows with a null id are left
-    out. Ids should be unique: rows that repeat one come back once each, share a component,
-    and only the largest of their sets is sure to find its links. Shingles are told apart
-    by 64-bit hashes.
-    """
-    docs = df.filter(F.col(doc_id).isNotNull()).select(
-        F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text")
-    )
+def _grouped(df: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
+    """A row per row: ``doc``, ``mark`` (of its text), ``n``, ``cls`` and ``best``, the document of its component that
+    has the smallest id (``best.doc``), or if ids are equal or null, mark; null without shingles."""
+    docs = df.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
     frequent = _frequent(docs, words)
     base = staged(_index(docs, frequent, words, percent), "jaccard-index")
-    entries = base.select("doc", F.explode("sigs").alias("sig"))
-    hubs = entries.groupBy("sig").agg(F.min("doc").alias("hub"), F.max("doc").alias("_last")).filter("hub < _last")
-    groups = staged(entries.join(hubs.drop("_last"), "sig"), "jaccard-groups")
-    facts = base.filter("sigs is not null").groupBy("doc").agg(F.max("n").alias("n"), F.max_by("sketch", "n").alias("sketch"))
-
-    def side(name: str) -> DataFrame:
-        return facts.select(F.col("doc").alias(name), F.col("n").alias(f"n{name}"), F.col("sketch").alias(f"s{name}"))
-
-    stars = groups.filter("doc <> hub").select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct()
-    likely = _filter_pairs(stars.join(side("a"), "a").join(side("b"), "b"), percent)
-    one_each = staged(likely.groupBy("a").agg(F.min("b").alias("b")), "jaccard-stars")
-    same = base.filter("same is not null").select(F.col("doc").alias("a"), F.col("same").alias("b"))
-    first = staged(same.unionByName(_links(docs, one_each, words, percent)), "jaccard-links")
+    classes = base.filter("sigs is not null").groupBy("cls").agg(
+        F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("sigs").alias("sigs")
+    )
+    classes = staged(classes, "jaccard-classes")
+    # The hub of a group is its smallest id: copies mostly come after what they were made from, and
+    # are nearer to it than to each other.
+    entries = classes.select("cls", "rep", F.explode("sigs").alias("sig"))
+    hubs = entries.groupBy("sig").agg(F.min("rep").alias("hub"), F.min("cls").alias("_a"), F.max("cls").alias("_b"))
+    hubs = hubs.filter("_a < _b").drop("_a", "_b")
+    other = (~F.col("rep").eqNullSafe(F.col("hub"))).alias("other")
+    groups = staged(entries.join(hubs, "sig").select("sig", "cls", "hub", other), "jaccard-groups")
+    facts = classes.select("cls", "n", "sketch")
+
+    def side(key: str, name: str) -> DataFrame:
+        return classes.select(F.col(key).alias(name), F.col("n").alias(f"n{name}"), F.col("sketch").alias(f"s{name}"))
+
+    stars = groups.filter("other").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
+    likely = _filter_pairs(stars.join(side("cls", "a"), "a").join(side("rep", "b"), "b"), percent)
+    nearest = likely.groupBy("a").agg(F.min("b").alias("rep"))
+    one_each = nearest.join(classes.select("rep", F.col("cls").alias("b")), "rep").select("a", "b").filter("a <> b")
+    one_each = staged(one_each, "jaccard-stars")
+    first = staged(_links(docs, classes, one_each, words, percent), "jaccard-links")
     parts = staged(connected(first), "jaccard-parts")
+    release(one_each)
 
     def part(rows: DataFrame, node: str, out: str) -> DataFrame:
         named = parts.select(F.col("node").alias(node), F.col("component").alias(out))
         return rows.join(named, node, "left").withColumn(out, F.coalesce(out, node))
 
-    located = part(part(groups, "doc", "comp"), "hub", "hub_comp").withColumn("probe", F.col("comp") != F.col("hub_comp"))
+    # Any component would do as that of the hub: of two members in different ones, one is a probe.
+    hub_parts = part(classes.select(F.col("rep").alias("hub"), "cls"), "cls", "hub_comp")
+    hub_parts = hub_parts.groupBy("hub").agg(F.min("hub_comp").alias("hub_comp"))
+    located = part(groups.drop("other"), "cls", "comp").join(hub_parts, "hub", "left")
+    located = located.withColumn("probe", ~F.col("comp").eqNullSafe(F.col("hub_comp")))
     located = staged(located, "jaccard-located")
+    release(groups)
     mixed = located.groupBy("sig").agg(F.count(F.lit(1)).alias("rows"), F.count_if("probe").alias("probes")).filter("probes > 0")
-    open_rows = located.join(mixed, "sig").join(facts, "doc")
+    open_rows = located.join(mixed, "sig").join(facts, "cls")
     # Probes of a group meet its members in a grid of chunks, so no task gets a whole large group.
     rows, probes = (F.ceil(F.col(c) / CHUNK).cast("int") for c in ("rows", "probes"))
     every = lambda n: F.sequence(F.lit(0), n - 1)
-    one = lambda n: F.array(F.pmod(F.xxhash64("doc"), n).cast("int"))
+    one = lambda n: F.array(F.pmod(F.xxhash64("cls"), n).cast("int"))
     grid = open_rows.select("*", F.explode(one(rows)).alias("r"), F.lit(False).alias("asks")).select(
         "*", F.explode(every(probes)).alias("p")
     ).unionByName(
@@ -384,12 +405,65 @@ def near_duplicates(
         "hub",
         F.col("sig").alias("key"),
         F.shiftleft(F.col("r").cast("bigint"), 31).bitwiseOR(F.col("p").cast("bigint")).alias("chunk"),
-        F.col("asks").alias("probe"), "doc", "comp", "n", "sketch",
+        F.col("asks").alias("probe"), F.col("cls").alias("doc"), "comp", "n", "sketch",
     )
     rest = staged(_group_pairs(members, percent).distinct(), "jaccard-rest")
-    links = first.unionByName(_links(docs, rest, words, percent))
+    release(located)
+    links = staged(first.unionByName(_links(docs, classes, rest, words, percent)), "jaccard-all-links")
+    release(rest, first, parts, classes)
     whole = connected(links)
-    return (
-        base.join(whole, base.doc == whole.node, "left")
-        .select(F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
+    release(links)
+    # Classes without links are components of their own.
+    own = F.struct(F.col("doc").isNull().alias("none"), "doc", "mark")
+    least = base.filter("cls is not null").groupBy("cls").agg(F.min(own).alias("least"))
+    placed = least.join(whole, least.cls == whole.node, "left").select("cls", "least", F.coalesce("component", "cls").alias("root"))
+    named = placed.groupBy("root").agg(F.min("least").alias("best"))
+    placed = staged(placed.join(named, "root").select(F.col("cls").alias("at"), "best"), "jaccard-components")
+    # Rows without shingles are dealt out evenly; they find no class.
+    at = F.coalesce("cls", F.xxhash64("mark", "doc"))
+    joined = base.select("doc", "mark", "n", "cls", at.alias("at")).join(placed, "at", "left")
+    return joined.select("doc", "mark", "n", "cls", F.when(F.col("cls").isNotNull(), F.col("best")).alias("best"))
+
+
+def near_duplicates(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``: the smallest id reachable by links; a row per row.
+
+    Two documents link when 100 * |intersection| >= ``percent`` * |union| of their shingle
+    sets. Null or empty texts have no shingles and no links. Rows that repeat an id are
+    documents of their own, each with the links of its text, and so are rows with a null id; a group
+    in which no row has an id has a null ``component_id``. Other columns take no part. Shingles, and sets
+    of them, are told apart by 64-bit hashes.
+    """
+    return _grouped(df, doc_id, text, words, percent).select(
+        F.col("doc").alias(doc_id),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("cls").isNull(), F.col("doc")).otherwise(F.col("best.doc")).alias("component_id"),
     )
+
+
+def one_of_each(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of ``df`` without near duplicates: of each group of linked rows one stays, that of the
+    smallest id. Rows with a null id stay only where no row of their group has one; of rows
+    with equal or null ids the one with the least hash of its text stays, and of rows that repeat
+    both id and text, one. Rows without shingles all stay."""
+    grouped = staged(_grouped(df, doc_id, text, words, percent).filter("cls is not null"), "jaccard-grouped")
+    stays = F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("mark") == F.col("best.mark"))
+    leaving = grouped.filter(~stays).select("doc", "mark").distinct()
+    again = staged(grouped.filter(stays).groupBy("doc", "mark").count().filter("count > 1").drop("count"), "jaccard-again")
+    row = df.select(F.struct("*").alias("row"), F.col(doc_id).cast("bigint").alias("doc"), F.xxhash64(text).alias("mark"))
+
+    def among(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        keys = keys.toDF("_doc", "_mark")
+        return rows.join(keys, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark")), how)
+
+    kept = among(leaving, "left_anti", row)
+    if not again.isEmpty():
+        # Only rows that occur again are numbered.
+        place = F.row_number().over(Window.partitionBy("doc", "mark").orderBy(F.xxhash64(*[f"row.`{c}`" for c in df.columns])))
+        first = among(again, "left_semi", kept).withColumn("place", place).filter("place = 1").drop("place")
+        kept = among(again, "left_anti", kept).unionByName(first)
+    return kept.select("row.*")
