@@ -12,6 +12,7 @@ them into ``16 ** NEXT``, as at most ``PARTS`` cells can hold a ``PARTS``-th of
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,10 +52,10 @@ def _wide(cells: dict[str, tuple], shards: int, tolerance: float) -> dict[str, i
         own, rows, lo, hi = cells[prefix]
         # Distance from the nearest edge of the cell to each boundary within it.
         first = before * shards // size + 1 if size else shards
+        end = ((before + own) * shards - 1) // size + 1 if size else shards
         astray = any(
             min(t * size / shards - before, before + own - t * size / shards) > allowed
-            for t in range(first, shards)
-            if t * size < (before + own) * shards
+            for t in range(first, min(end, shards))
         )
         if lo != hi and (astray or rows * PARTS > n + PARTS):
             found[prefix] = _common(lo, hi) + NEXT
@@ -71,7 +72,7 @@ def cut(sizes: list[int], shards: int) -> list[int]:
         while at < len(ends) and abs(edges[at + 1] - goal) <= abs(edges[at] - goal):
             at += 1
         out.append(at)
-    return [sum(c <= i for c in out) for i in range(len(sizes))]
+    return [bisect_right(out, i) for i in range(len(sizes))]
 
 
 class Histogram:

@@ -4,12 +4,13 @@ import random
 import zlib
 
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from newsloom.llm import bpe, components, decontaminate, histogram_sort, jaccard, language, licenses, secrets
-from newsloom.llm import substring_dedup, topk, warc
+from newsloom.llm import pipeline, substring_dedup, topk, warc
 from newsloom.llm.queries import QUERIES, tokenizer
 from newsloom.settings import fresh_folder
 from tests.llm import plain
@@ -93,6 +94,31 @@ def test_near_duplicates(docs, words_percent, frequent, monkeypatch):
     assert got == plain.near_duplicates(documents(), *words_percent)
 
 
+def test_near_duplicates_without_ids(spark):
+    """Null and repeated ids take part as documents of their own."""
+    a, b, c = words(11, 60), words(12, 60), words(13, 60)
+    rows = [(5, a), (2, a), (5, b), (None, b), (7, c), (7, c), (None, a), (None, "x y z"), (None, "x y z"), (None, None), (9, ""), (7, c + " end")]
+    frame = spark.createDataFrame([(i, t, "m", 1, 2) for i, t in rows], "doc_id bigint, text string, mark string, cls int, doc int").repartition(3)
+    got = sorted(((r.doc_id, r.component_id) for r in jaccard.near_duplicates(frame).collect()), key=str)
+    assert got == sorted([(5, 2), (2, 2), (5, 5), (None, 5), (7, 7), (7, 7), (None, 2), (None, None), (None, None), (None, None), (9, 9), (7, 7)], key=str)
+    kept = jaccard.one_of_each(frame)
+    assert kept.columns == frame.columns
+    left = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    # Of the three rows of id 7 one stays: that of the least hash, and of its copies one.
+    assert [x for x in left if x[0] != 7] == sorted([(2, a), (5, b), (None, "x y z"), (None, None), (9, "")], key=str)
+    assert len([x for x in left if x[0] == 7]) == 1
+    assert jaccard.one_of_each(frame.filter("false")).collect() == []
+
+
+def test_language_stage_keeps_columns(spark):
+    """Columns that are named as the stage's own stay as they were."""
+    rows = [(1, "the cat and the dog", "en", "a", "b"), (2, "123", "en", "c", "d"), (3, "the end of the day", None, "e", "f")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, score string, lang_pred string")
+    kept = pipeline.keep_known_languages(spark, frame, "")
+    assert kept.columns == frame.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
+
+
 @pytest.mark.parametrize("seed", range(80))
 def test_similar_sets_share_an_entry(seed):
     """The promise of the index, for sets of all sizes and any set of frequent shingles."""
@@ -397,6 +423,48 @@ def test_sharding(spark, docs):
     assert "Python" not in placed._jdf.queryExecution().executedPlan().toString()
 
 
+def spark_hash(value):
+    """The engine's 64-bit hash of a text or a long, which is the public XXH64 with seed 42; of a null, the seed."""
+    if value is None:
+        return 42
+    data = value.encode() if isinstance(value, str) else value.to_bytes(8, "little", signed=True)
+    return xxhash.xxh64_intdigest(data, 42)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_sharding_against_sorting(spark, sf):
+    """The registered query against a plain sort of all keys: contents, order, and boundaries within 0.1 % of a shard."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: r for r in QUERIES["op10_sharding"](spark, f"/root/testdata/{sf}").collect()}
+    assert len(got) == len(docs)
+    ordered = sorted(docs, key=lambda r: (spark_hash(r.text), spark_hash(r.doc_id)))
+    sizes = [len((r.text or "").encode()) + 1 for r in ordered]
+    part, before, filled = sum(sizes) / 8, 0, [0] * 8
+    edges = {0: 0}
+    for r, size in zip(ordered, sizes):
+        row = got[r.doc_id]
+        assert (row.size, row.text_crc32, row.law) == (size, zlib.crc32((r.text or "").encode()), "bytes")
+        assert row.shard >= max(edges) and row.slot == filled[row.shard]
+        filled[row.shard] += 1
+        edges.setdefault(row.shard, before)
+        before += size
+    assert sorted(edges) == list(range(8))
+    assert all(abs(edge - shard * part) <= max(0.001 * part, max(sizes)) for shard, edge in edges.items())
+
+
+def test_driver_work_is_linear():
+    """Forty thousand cells and a thousand shards are no work."""
+    import time
+
+    r = random.Random(1)
+    cells = {f"{i:05x}": (r.randrange(1, 9), 1, "0" * 32, "f" * 32) for i in range(40_000)}
+    started = time.process_time()
+    shards = histogram_sort.cut([c[0] for c in cells.values()], 1000)
+    wide = histogram_sort._wide(cells, 1000, 0.001)
+    assert time.process_time() - started < 0.5
+    assert shards == sorted(shards) and shards[-1] == 999 and len(wide) <= 1000
+
+
 def test_cut_goes_to_the_nearest_edge():
     assert histogram_sort.cut([5, 5, 5, 5], 2) == [0, 0, 1, 1]
     assert histogram_sort.cut([1, 1, 10, 1, 1], 2) in ([0, 0, 1, 1, 1], [0, 0, 0, 1, 1])
@@ -406,7 +474,8 @@ def test_cut_goes_to_the_nearest_edge():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, name, tmp_path):
     for t, schema in (("documents", DOCS), ("pages", "page_id bigint, url string, html string"),
-                      ("embeddings", "vec_id bigint, embedding array<float>, label int"), ("benchmark", "item_id bigint, text string")):
+                      ("embeddings", "vec_id bigint, embedding array<float>, label int"), ("benchmark", "item_id bigint, text string"),
+                      ("labels", "doc_id bigint, quality int, toxic int")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{t}.parquet")
     assert QUERIES[name](spark, str(tmp_path)).collect() == []
 
@@ -430,3 +499,37 @@ def test_often_anchors_of_many_tasks(spark, monkeypatch):
     assert removed == {0: 0, **{i: 100 for i in range(1, 8)}}
     # Eight runs in eight tasks are eight runs, not sixty-four.
     assert len(often) == 1 and len(often[0]) == 1
+
+
+def test_encoding_and_decoding_in_pieces(spark, docs, monkeypatch):
+    """Pieces change neither ids nor text, and the digest is that of what the ids decode to."""
+    import hashlib
+
+    odd = ["a\u0301 b <|endoftext|> C", "x" * 9000 + " y", " \n ", "\u00c9\u0301 \u0301e", "1 2\n3  4"]
+    texts = [t for _, t in documents()] + odd
+    own = bpe.load(tokenizer())
+    whole = [own.encode(t or "") for t in texts]
+    monkeypatch.setattr(bpe, "PIECE", 5)
+    assert [own.encode(t or "") for t in texts] == whole
+    frame = spark.createDataFrame([(i, t, "mine") for i, t in enumerate(texts)], "doc_id bigint, text string, ids string")
+    for r in bpe.encode_and_decode(frame, tokenizer()).collect():
+        text = "".join(own.decode(whole[r.doc_id]))
+        assert list(r.ids) == whole[r.doc_id] and r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_memory_does_not_grow_with_the_text():
+    """Encoding and decoding of a text as a stream hold a piece of it at a time."""
+    import tracemalloc
+
+    own = bpe.load(tokenizer())
+    peaks = []
+    for n in (20_000, 200_000):
+        text = " ".join(f"w{i % 977} the" for i in range(n))
+        own.forget()
+        tracemalloc.start()
+        count = sum(len(p) for p in own.decode(i for part in own.stream_text(text) for i in part))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert count > 5 * n
+    # What grows is one more copy of the text at most, made when marks are looked for.
+    assert peaks[1] < peaks[0] + 5_000_000
