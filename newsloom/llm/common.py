@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 Maker = Callable[[], Callable[[pa.RecordBatch], dict[str, list]]]
+Batches = Iterator[pa.RecordBatch]
+
+# Bytes of a batch that are worked through at a time.
+SLICE = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +28,47 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def slices(batch: pa.RecordBatch, size: int = SLICE) -> Batches:
+    """A batch in parts of about ``size`` bytes, so that memory follows neither the rows of a
+    batch nor their length, but the longest row."""
+    rows = max(1, batch.num_rows * size // max(batch.nbytes, 1))
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
+@contextmanager
+def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that are run within hand at most so many rows at a time to Python: rows may be large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def give_back() -> None:
+    """Return freed memory to the system. Workers are used again for other tasks and would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        return  # another C library
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` as a task that gives its memory back at its end."""
+
+    def task(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def add_columns(df: DataFrame, fields: str, maker: Maker) -> DataFrame:
     """``df`` with columns computed per Arrow batch, without a shuffle.
 
@@ -36,14 +83,13 @@ def add_columns(df: DataFrame, fields: str, maker: Maker) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = maker()
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            made = compute(batch)
-            columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            columns += [pa.array(made[f.name], type=f.type) for f in arrow]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, *new.names])
-
-    return df.mapInArrow(run, T.StructType([*kept, *new.fields]))
+            for part in slices(batch):
+                made = compute(part)
+                columns = [part.column(part.schema.get_field_index(n)) for n in names]
+                columns += [pa.array(made[f.name], type=f.type) for f in arrow]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, *new.names])
+
+    return df.mapInArrow(tidy(run), T.StructType([*kept, *new.fields]))
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list:

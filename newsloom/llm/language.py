@@ -17,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import add_columns, texts_of
+from newsloom.llm.common import add_columns, slices, texts_of, tidy
 
 RANKS = 300
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 # Characters that are worked through together when n-grams are counted.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 
 
 @functools.cache
@@ -85,8 +85,8 @@ def gram_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
             both, place = np.unique(np.concatenate([known, codes]), return_inverse=True)
             sums[name] = both, np.bincount(place, weights=np.concatenate([before, n]), minlength=len(both)).astype(np.int64)
 
-        for batch in batches:
-            for name, value in zip(texts_of(batch, lang), texts_of(batch, text)):
+        for part in (p for batch in batches for p in slices(batch)):
+            for name, value in zip(texts_of(part, "lang"), texts_of(part, "text")):
                 if value:
                     held.setdefault(name, []).append(value)
                     size[name] = size.get(name, 0) + len(value)
@@ -100,7 +100,7 @@ def gram_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
 
     found = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(
-        run, "lang string, gram string, n bigint"
+        tidy(run), "lang string, gram string, n bigint"
     )
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 

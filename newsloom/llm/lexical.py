@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from newsloom.llm.common import tidy
 from newsloom.settings import staged
 
 K = 50
@@ -104,7 +105,7 @@ def count_postings(df: DataFrame, terms: dict[bytes, int], doc_id: str = "doc_id
             columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(sizes, pa.int64()), *lists]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], names=arrow.names)
 
-    return df.select(F.col(doc_id), F.col(text).cast("binary")).mapInArrow(run, schema)
+    return df.select(F.col(doc_id), F.col(text).cast("binary")).mapInArrow(tidy(run), schema)
 
 
 class Block:
@@ -238,7 +239,7 @@ def search_postings(postings: DataFrame, items: list[list[int]], weights: np.nda
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)], names=arrow.names)
 
     # Documents without a term of any item cannot be found, so they are left behind here.
-    return postings.filter(F.size("terms") > 0).mapInArrow(run, schema)
+    return postings.filter(F.size("terms") > 0).mapInArrow(tidy(run), schema)
 
 
 def _best_rows(df: DataFrame, key: list[str], k: int) -> DataFrame:
