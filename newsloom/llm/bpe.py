@@ -16,19 +16,23 @@ from __future__ import annotations
 
 import codecs
 import functools
+import hashlib
 import heapq
 import json
 import re
 import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 from pyspark.sql import DataFrame
 
 from newsloom.llm.common import Maker, add_columns, sha256, texts_of
 
-# Words whose tokens a worker remembers, twice: the newest, and those before them.
-REMEMBERED = 200_000
+# Words whose tokens a task remembers, twice: the newest, and those before them.
+REMEMBERED = 1 << 16
+# Characters of a text that are cut into words at a time.
+PIECE = 1 << 16
 NEVER = 1 << 60
 # Runs of more symbols are merged with a heap; a window takes in so many beyond the lookahead.
 SHORT = 48
@@ -152,9 +156,14 @@ class WordBpe:
         self.astral = re.compile("[\U00010000-\U0010ffff]")
         self.capitals = [chr(c) for c in SMALL if c <= 0xFFFF]
         self.marks = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
+        self.spelled: dict[int, tuple[bytes | None, str]] = {}
         self.new: dict[str, Iterable[int]] = {}
         self.old: dict[str, Iterable[int]] = {}
 
+    def forget(self) -> None:
+        """Drop the remembered words."""
+        self.new, self.old = {}, {}
+
     def _symbols(self, token: str) -> tuple[str, ...]:
         if token.endswith(self.suffix) and len(token) > len(self.suffix):
             stem = token[: -len(self.suffix)]
@@ -236,7 +245,20 @@ class WordBpe:
                 text = text.translate(SMALL)
         return text.lower()
 
-    def _plain(self, text: str, out: list[int]) -> None:
+    def _plain(self, text: str) -> Iterator[list[int]]:
+        """Ids of a text without marks, a piece at a time. Pieces end at blanks, which no word crosses
+        and nothing is composed with."""
+        start = 0
+        while start < len(text):
+            end = len(text)
+            if end - start > PIECE:
+                places = [p for p in (text.find(c, start + PIECE) for c in " \n") if p >= 0]
+                end = min(places, default=end)
+            yield self._piece(text[start:end])
+            start = end
+
+    def _piece(self, text: str) -> list[int]:
+        out: list[int] = []
         text = self.normalize(text)
         plane = 0 if text.isascii() else 2 if self.astral.search(text) else 1
         for word in self.words[plane].findall(text):
@@ -250,17 +272,20 @@ class WordBpe:
                         self.old, self.new = self.new, {}
                     self.new[word] = ids
             out += ids
+        return out
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole text."""
-        out: list[int] = []
+    def stream_text(self, text: str) -> Iterator[list[int]]:
+        """Ids of a text, a piece at a time; nothing but the text itself grows with its length."""
         at = 0
         for mark in self.marks.finditer(text):
-            self._plain(text[at : mark.start()], out)
-            out.append(self.special[mark.group()])
+            yield from self._plain(text[at : mark.start()])
+            yield [self.special[mark.group()]]
             at = mark.end()
-        self._plain(text[at:] if at else text, out)
-        return out
+        yield from self._plain(text[at:] if at else text)
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a whole text."""
+        return list(chain.from_iterable(self.stream_text(text)))
 
     def decode_tokens(self, ids: Iterable[int]) -> str:
         """Tokens as they are spelled, blank between them: what a file without a decoder gives."""
@@ -274,26 +299,37 @@ class WordBpe:
         malformed bytes give U+FFFD. A word end gives a blank.
         """
         machine = codecs.getincrementaldecoder("utf-8")("replace")
+        spelled = self.spelled
         for i in ids:
-            token = self.tokens[i]
-            if i in self.special.values():
-                yield machine.decode(b"", True) + token
+            if i not in spelled:
+                spelled[i] = self._spelling(i)
+            stem, behind = spelled[i]
+            if stem is None:
+                yield machine.decode(b"", True) + behind
                 machine.reset()
-                continue
-            ended = token.endswith(self.suffix)
-            stem = token[: -len(self.suffix)] if ended else token
-            yield machine.decode(bytes(self.bytes[c] for c in stem)) + (" " if ended else "")
+            else:
+                yield machine.decode(stem) + behind
         yield machine.decode(b"", True)
 
+    def _spelling(self, i: int) -> tuple[bytes | None, str]:
+        """The bytes of a token and what follows them; of a special token no bytes, and its text."""
+        token = self.tokens[i]
+        if i in self.special.values():
+            return None, token
+        ended = token.endswith(self.suffix)
+        stem = token[: -len(self.suffix)] if ended else token
+        return bytes(self.bytes[c] for c in stem), " " if ended else ""
+
 
 _LOADED: dict[str, WordBpe] = {}
 
 
 def load(path: str) -> WordBpe:
-    """The tokenizer of a file, once per process."""
+    """The tokenizer of a file, once per process, without words remembered by earlier tasks."""
     if path not in _LOADED:
         with open(path, encoding="utf-8") as file:
             _LOADED[path] = WordBpe(json.load(file))
+    _LOADED[path].forget()
     return _LOADED[path]
 
 
@@ -309,6 +345,37 @@ def encode_texts(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     return add_columns(df, "ids array<int>", maker)
 
 
+def encode_and_decode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``df`` with ``ids`` of each whole text and ``decoded_sha256``, the digest of the readable text that
+    the decoder makes of them again, in UTF-8. Null counts as empty. Columns of these names are replaced."""
+
+    def maker():
+        import numpy as np
+
+        bpe = load(path)
+
+        def compute(batch):
+            made, digests = [], []
+            for t in texts_of(batch, text):
+                ids, digest = [], hashlib.sha256()
+
+                def taken(t=t, ids=ids):
+                    for part in bpe.stream_text(t or ""):
+                        ids.append(np.array(part, np.int32))
+                        yield from part
+
+                pieces = bpe.decode(taken())
+                while some := list(islice(pieces, 4096)):
+                    digest.update("".join(some).encode("utf-8"))
+                made.append(np.concatenate(ids) if ids else np.zeros(0, np.int32))
+                digests.append(digest.hexdigest())
+            return {"ids": made, "decoded_sha256": digests}
+
+        return compute
+
+    return add_columns(df, "ids array<int>, decoded_sha256 string", maker)
+
+
 def decode_ids(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``df`` with ``decoded``: readable text of token ids; null ids give an empty text."""
 

@@ -26,14 +26,14 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     profiles = language.learn_profiles(docs)
     if not profiles:
         return docs
-    judged = language.predict_language(docs, profiles)
-    return judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0)).select(docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    judged = language.predict_language(rows, profiles)
+    return judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0)).select("row.*")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked as near duplicates, the one with the smallest id."""
-    groups = jaccard.near_duplicates(docs, words=5, percent=80)
-    return docs.join(groups.filter("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    """Of documents linked as near duplicates, the one with the smallest id; see ``jaccard.one_of_each``."""
+    return jaccard.one_of_each(docs, words=5, percent=80)
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,6 +48,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with its id, language and source."""
-    encoded = bpe.encode_texts(docs, tokenizer())
-    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+    """Token ids of each document, with its id, language and source, and the digest of the text that they decode to."""
+    encoded = bpe.encode_and_decode(docs, tokenizer())
+    size = F.size("ids").cast("bigint").alias("n_tokens")
+    return encoded.select("doc_id", "lang", "source", size, "ids", "decoded_sha256")
