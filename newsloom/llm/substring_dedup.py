@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import add_columns, sha256
+from newsloom.llm.common import add_columns, sha256, slices, tidy
 from newsloom.settings import staged
 
 WIDTH, GRAM = 100, 32
@@ -36,8 +36,10 @@ PIECE = 1 << 18
 # An anchor is dealt out window by window above so many runs, or above the part of all
 # runs that leaves at most OFTEN_MOST such anchors.
 OFTEN, OFTEN_MOST = 4096, 1 << 20
-# Contents a task remembers for combining; rows that are sorted together.
-REMEMBERED, TOGETHER = 200_000, 1 << 15
+# Contents a task remembers for combining; rows that are sorted together, and that are sent together.
+REMEMBERED, TOGETHER, SENT = 1 << 17, 1 << 14, 1 << 13
+# Runs that are gathered before they are sent to be counted; rows that are counted together.
+GATHERED, COUNTED = 1 << 19, 1 << 17
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -216,54 +218,83 @@ def repeated_windows(
     return low, high
 
 
+def _whole_keys(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    """Rows sorted by ``key``, at least ``least`` at a time, all rows of a key together."""
+    held: list[pa.RecordBatch] = []
+    many = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        many += batch.num_rows
+        if many < least:
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks()
+        key = rows.column("key").to_numpy()
+        whole = int(np.searchsorted(key, key[-1]))  # rows before the last key, which may go on
+        if whole:
+            yield rows.slice(0, whole).combine_chunks()
+            held = rows.slice(whole).combine_chunks().to_batches()
+            many -= whole
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def _anchors(docs: DataFrame) -> DataFrame:
     """Runs whose anchor may occur again: ``doc``, ``hash``, ``at``, ``count``, ``place``, ``total``.
 
-    A task sends each anchor once, with the number of its runs; only for anchors that
-    the task has seen once does the answer decide. ``total`` is the number of runs
-    of an anchor, on one of its rows at least, and 0 on others.
+    Runs are gathered by GATHERED. Of each anchor, one row carries how many runs there are among
+    these; only where that is one does the answer decide. ``total`` is the number of all runs
+    of an anchor, on the rows that carry a number, and 0 on others. Rows come to the answer
+    sorted, so that it holds few at a time.
     """
     schema = "key bigint, hash bigint, doc bigint, at bigint, count int, place int, n bigint"
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple] = []
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        gathered = 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            h, doc, first, count, place = (np.concatenate(p) for p in zip(*parts))
+            _, sender, times = np.unique(h, return_index=True, return_counts=True)
+            n = np.zeros(len(h), np.int64)
+            n[sender] = times
+            # Rows that need no answer are dealt out evenly.
+            key = np.where(n > 0, h, (doc * 1_000_003 + first) * 7_919)
+            whole = pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (key, h, doc, first, count.astype(np.int32), place.astype(np.int32), n)],
+                names=["key", "hash", "doc", "at", "count", "place", "n"],
+            )
+            for at in range(0, whole.num_rows, 1 << 16):
+                yield whole.slice(at, 1 << 16)
+
+        for part in (p for batch in batches for p in slices(batch)):
+            for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 if text is not None and len(text) * 4 >= WIDTH:
                     h, first, count, place = _runs_of(text.encode("utf-8"))
                     parts.append((h, np.full(len(h), doc), first, count.astype(np.int16), place.astype(np.int8)))
-        if not parts:
-            return
-        h, doc, first, count, place = (np.concatenate(p) for p in zip(*parts))
-        _, sender, times = np.unique(h, return_index=True, return_counts=True)
-        n = np.zeros(len(h), np.int64)
-        n[sender] = times
-        # Rows that need no answer are dealt out evenly.
-        key = np.where(n > 0, h, (doc * 1_000_003 + first) * 7_919)
-        whole = pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (key, h, doc, first, count.astype(np.int32), place.astype(np.int32), n)],
-            names=["key", "hash", "doc", "at", "count", "place", "n"],
-        )
-        for at in range(0, whole.num_rows, 1 << 16):
-            yield whole.slice(at, 1 << 16)
+                    gathered += len(h)
+                    if gathered >= GATHERED:
+                        yield from sent()
+                        parts, gathered = [], 0
+        if parts:
+            yield from sent()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        rows = pa.Table.from_batches(held).combine_chunks()
-        h, n = rows.column("hash").to_numpy(), rows.column("n").to_numpy()
-        asks = n > 0
-        _, inverse = np.unique(h[asks], return_inverse=True)
-        total = np.zeros(len(h), np.int64)
-        total[asks] = np.bincount(inverse, weights=n[asks]).astype(np.int64)[inverse]
-        found = rows.select(["doc", "hash", "at", "count", "place"]).append_column("total", pa.array(total))
-        yield from found.filter(pa.array(total != 1)).to_batches(max_chunksize=1 << 16)
+        for rows in _whole_keys(batches, COUNTED):
+            h, n = rows.column("hash").to_numpy(), rows.column("n").to_numpy()
+            asks = n > 0
+            _, inverse = np.unique(h[asks], return_inverse=True)
+            total = np.zeros(len(h), np.int64)
+            total[asks] = np.bincount(inverse, weights=n[asks]).astype(np.int64)[inverse]
+            found = rows.select(["doc", "hash", "at", "count", "place"]).append_column("total", pa.array(total))
+            yield from found.filter(pa.array(total != 1)).to_batches(max_chunksize=1 << 16)
 
     return (
-        docs.mapInArrow(collect, schema)
+        docs.mapInArrow(tidy(collect), schema)
         .repartition("key")
-        .mapInArrow(answer, "doc bigint, hash bigint, at bigint, count int, place int, total bigint")
+        .sortWithinPartitions("key")
+        .mapInArrow(tidy(answer), "doc bigint, hash bigint, at bigint, count int, place int, total bigint")
     )
 
 
@@ -272,39 +303,46 @@ def _cut(often: set[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         earliest: dict[tuple, tuple[int, int]] = {}
-        for batch in batches:
-            out: list[tuple] = []
-
-            def put(key: int, doc: int, at: int, place: int, text: bytes) -> None:
-                """Send a run on, unless the task has had an equal one that is earlier."""
-                known = earliest.get((text, place))
-                if known is not None and known < (doc, at):
-                    out.append((xxhash.xxh64_intdigest(f"{doc},{at}") >> 1, doc, at, at + len(text), None))
-                    return
-                if len(earliest) >= REMEMBERED:
-                    earliest.clear()
-                earliest[text, place] = (doc, at)
-                out.append((key, doc, at, place, text))
-
-            for doc, text, runs in zip(*(c.to_pylist() for c in batch.columns)):
-                if runs is None or text is None:
+        out: list[tuple] = []
+
+        def sent() -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            made = pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["key", "doc", "at", "place", "text"]
+            )
+            out.clear()
+            return made
+
+        def put(key: int, doc: int, at: int, place: int, text: bytes) -> None:
+            """Send a run on, unless the task has had an equal one that is earlier."""
+            known = earliest.get((text, place))
+            if known is not None and known < (doc, at):
+                out.append((xxhash.xxh64_intdigest(f"{doc},{at}") >> 1, doc, at, at + len(text), None))
+                return
+            if len(earliest) >= REMEMBERED:
+                earliest.clear()
+            earliest[text, place] = (doc, at)
+            out.append((key, doc, at, place, text))
+
+        for part in (p for batch in batches for p in slices(batch, 1 << 19)):
+            for doc, text, listed in zip(part.column(0).to_pylist(), part.column(1), part.column(2)):
+                if not listed.is_valid or not text.is_valid:
                     continue
-                data = text.encode("utf-8")
-                for r in sorted(runs, key=lambda r: r["at"]):
+                data = text.as_py().encode("utf-8")
+                for r in sorted(listed.as_py(), key=lambda r: r["at"]):
                     at, count = r["at"], r["count"]
+                    if len(out) >= SENT:
+                        yield sent()
                     if r["hash"] not in often:
                         put(r["hash"], doc, at, r["place"], data[at : at + count - 1 + WIDTH])
                         continue
                     for w in range(at, at + count):
                         window = data[w : w + WIDTH]
                         put(xxhash.xxh64_intdigest(window) >> 1, doc, w, 0, window)
-            if out:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["key", "doc", "at", "place", "text"]
-                )
+        if out:
+            yield sent()
 
-    return run
+    return tidy(run)
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,21 +362,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc", "begin", "end"],
         )
 
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        if sum(b.num_rows for b in held) < TOGETHER:
-            continue
-        rows = pa.Table.from_batches(held).combine_chunks()
-        key = rows.column("key").to_numpy()
-        whole = int(np.searchsorted(key, key[-1]))  # rows before the last key, which may go on
-        if whole:
-            yield from spans(rows.slice(0, whole).combine_chunks())
-            held = rows.slice(whole).combine_chunks().to_batches()
-    if held:
-        yield from spans(pa.Table.from_batches(held).combine_chunks())
+    for rows in _whole_keys(batches, TOGETHER):
+        yield from spans(rows)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -352,7 +377,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     cut = docs.join(listed, "doc", "left").select("doc", "text", "runs").mapInArrow(
         _cut(often), "key bigint, doc bigint, at bigint, place bigint, text binary"
     )
-    return cut.repartition("key").sortWithinPartitions("key").mapInArrow(_compare, "doc bigint, begin bigint, end bigint")
+    return cut.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_compare), "doc bigint, begin bigint, end bigint")
 
 
 def _kept(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
