@@ -119,6 +119,8 @@ class SeenKeys:
 
     def _adopt(self) -> None:
         """Keys of rows that were written without any."""
+        if not exists(self.spark, self.table):
+            return
         rows = read_or_empty(self.spark, self.table, "url string, query string")
         keys = rows.filter(~F.col("query").eqNullSafe(self.query)).select(F.unhex(F.sha2(F.coalesce("url", F.lit("")), 256)).alias("_key"))
         if not keys.isEmpty():
