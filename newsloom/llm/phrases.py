@@ -7,8 +7,8 @@ by one word at once: to the left by the words that stand before the suffixes of
 the right in the reversed index; either step moves the other interval along. Phrases
 that are reached by both steps have a frequent start and a frequent end. Counts are
 interval sizes, summed across shards; a phrase can be frequent only if its parts are, which
-cuts what shards send: first hashes of words, then hashes of word pairs, then the phrases
-themselves with exact counts.
+cuts what shards send: first hashes of words, then of pairs, and so on, one length after the
+other, and at last the phrases themselves with exact counts, of which hardly any is not frequent.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.settings import fresh_folder
+from newsloom.llm.common import rows_per_batch, tidy
+from newsloom.settings import release, staged
 
 DEPTH, LEAST = 4, 30
 KEPT_PERCENT = 80
@@ -31,9 +32,11 @@ TOP = 2000
 SCORE_UNIT = 2_000_000
 UNKNOWN = "und"
 # Words of a shard; one shard is at least one document.
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 19
 # Rows of a written index are at most so large together before they go to disk.
 GROUP_BYTES = 32 << 20
+TEXTS_AT_A_TIME = 1000
+TOGETHER = 1 << 20
 # The filter of frequent hashes has 2**FEWEST_BITS to 2**MOST_BITS bits, about 32 for each hash. Beyond
 # the most it lets more phrases through, which costs shuffle, not results.
 FEWEST_BITS, MOST_BITS = 16, 28
@@ -77,9 +80,10 @@ class Side:
         """All extensions of intervals by one word: parent, word, new start here, new start in the other
         index, size."""
         first = np.cumsum(size) - size
-        parent = np.repeat(np.arange(len(size)), size)
-        place = np.arange(len(parent)) - np.repeat(first - start, size)
-        key = parent * (int(self.before.max(initial=0)) + 1) + self.before[place]
+        parent = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        place = np.arange(len(parent), dtype=np.int32) - np.repeat((first - start).astype(np.int32), size)
+        key = parent.astype(np.int64) * (int(self.before.max(initial=0)) + 1)
+        key += self.before[place]
         order = np.argsort(key, kind="stable")
         key = key[order]
         heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
@@ -181,7 +185,7 @@ def build_indexes(docs: DataFrame, text: str = "text", lang: str = "lang", shard
             yield close(name)
 
     rows = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "lang string, n bigint, words binary, before binary, after binary")
+    return rows.mapInArrow(tidy(run), "lang string, n bigint, words binary, before binary, after binary")
 
 
 def _each_index(batches: Iterator[pa.RecordBatch]) -> Iterator[Index]:
@@ -208,37 +212,55 @@ class Filter:
 
 
 def _hash_counts(indexes: DataFrame, filters: list[Filter]) -> DataFrame:
-    """``h``, ``n``: hashes of phrases of the next length after those that have filters, with counts."""
+    """``h``, ``n``: hashes of phrases of the next length after those that have filters, with counts.
+    Shards of a task are added up ``TOGETHER`` hashes at a time, which spares a map side sum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        many = 0
+
+        def sums() -> Iterator[pa.RecordBatch]:
+            hashes, sizes = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(hashes)
+            hashes = hashes[order]
+            heads = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else order
+            sizes = np.add.reduceat(sizes[order], heads) if len(heads) else sizes
+            for i in range(0, len(heads), 1 << 16):
+                part = slice(i, i + (1 << 16))
+                columns = [pa.array(hashes[heads[part]].view(np.int64)), pa.array(sizes[part], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "n"])
+
         for index in _each_index(batches):
             phrases = index.single()
             for known in filters:
                 phrases = index.longer(phrases.only(known.has(phrases.hashes(index.word_hashes))))
-            hashes = phrases.hashes(index.word_hashes).view(np.int64)
-            for i in range(0, len(hashes), 1 << 18):
-                part = slice(i, i + (1 << 18))
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[part]), pa.array(phrases.size[part], pa.int64())], names=["h", "n"])
+            held.append((phrases.hashes(index.word_hashes), phrases.size))
+            many += len(phrases.size)
+            if many >= TOGETHER:
+                yield from sums()
+                held, many = [], 0
+        if held:
+            yield from sums()
+
+    return indexes.mapInArrow(tidy(run), "h bigint, n bigint")
+
 
-    return indexes.mapInArrow(run, "h bigint, n bigint")
+def _frequent(counts: DataFrame, least: int) -> DataFrame:
+    """The hashes that reach ``least`` over all shards."""
+    summed = counts.repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
+    return staged(summed.filter(F.col("n") >= least).select("h"), "frequent-hashes")
 
 
-def _frequent(counts: DataFrame, least: int) -> Filter:
-    """Which hashes reach ``least`` over all shards. The driver gets set bits only, 2**MOST_BITS at most."""
-    found = counts.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("h")
-    places = found.select(F.shiftrightunsigned("h", 64 - MOST_BITS).alias("p"))
-    # 64 bits at a time come to the driver, as numbers; bits that stand alone are a row each.
-    grouped = places.groupBy(F.shiftright("p", 6).alias("w")).agg(
+def _filter(found: DataFrame) -> Filter:
+    """A filter of hashes. What the driver gets are its bits, 64 in a row, of which there are bounded many."""
+    bits = min(max(FEWEST_BITS, int(found.count()).bit_length() + 5), MOST_BITS)
+    place = F.shiftrightunsigned("h", 64 - bits).alias("p")
+    grouped = found.select(place).groupBy(F.shiftright("p", 6).alias("w")).agg(
         F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("v")
     )
     table = grouped.toArrow()
-    at, value = table.column("w").to_numpy(), table.column("v").to_numpy().view(np.uint64)
-    set_ = np.flatnonzero(np.unpackbits(value.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
-    places = (at[set_ >> 6].astype(np.uint64) << np.uint64(6)) | (set_ & 63).astype(np.uint64)
-    bits = min(max(FEWEST_BITS, int(len(places)).bit_length() + 5), MOST_BITS)
     words = np.zeros(1 << (bits - 6), np.uint64)
-    places >>= np.uint64(MOST_BITS - bits)
-    np.bitwise_or.at(words, places >> np.uint64(6), np.uint64(1) << (places & np.uint64(63)))
+    words[table.column("w").to_numpy()] = table.column("v").to_numpy().view(np.uint64)
     return Filter(bits, words)
 
 
@@ -263,7 +285,7 @@ def _phrase_counts(indexes: DataFrame, filters: list[Filter], depth: int) -> Dat
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names=["lang", "words", "phrase", "n"])
 
-    return indexes.mapInArrow(run, "lang string, words int, phrase string, n bigint")
+    return indexes.mapInArrow(tidy(run), "lang string, words int, phrase string, n bigint")
 
 
 def _part(start: int, length: Column) -> Column:
@@ -321,14 +343,18 @@ def mine_phrases(
     if not 2 <= depth <= DEPTH:
         raise ValueError(f"phrases have 2 to {DEPTH} words")
     spark = docs.sparkSession
-    path = fresh_folder(spark, "phrase-index")
-    build_indexes(docs, text, lang, shard_words).write.option("parquet.block.size", GROUP_BYTES).parquet(path)
-    indexes = spark.read.parquet(path)
+    with rows_per_batch(spark, TEXTS_AT_A_TIME):
+        indexes = build_indexes(docs, text, lang, shard_words)
+        indexes = staged(indexes, "phrase-index", **{"parquet.block.size": GROUP_BYTES})
     filters: list[Filter] = []
-    for _ in range(2):
-        filters.append(_frequent(_hash_counts(indexes, filters), least))
-    path = fresh_folder(spark, "phrase-counts")
-    counts = _phrase_counts(indexes, filters, depth).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
-    counts.filter(F.col("f") >= least).write.parquet(path)
-    totals = indexes.groupBy("lang").agg(F.sum("n").alias("n"))
-    return score_phrases(spark.read.parquet(path), totals, percent, top)
+    for _ in range(depth):
+        with rows_per_batch(spark, 1):
+            found = _frequent(_hash_counts(indexes, filters), least)
+        filters.append(_filter(found))
+        release(found)
+    with rows_per_batch(spark, 1):
+        counts = _phrase_counts(indexes, filters, depth).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
+        counts = staged(counts.filter(F.col("f") >= least), "phrase-counts")
+    totals = staged(indexes.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
+    release(indexes)
+    return score_phrases(counts, totals, percent, top)

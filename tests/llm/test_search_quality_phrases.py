@@ -263,7 +263,7 @@ def test_filter_of_frequent_hashes(spark, monkeypatch, bits):
     total = Counter()
     for h, n in rows:
         total[h] += n
-    made = phrases._frequent(spark.createDataFrame(rows, "h bigint, n bigint"), 3)
+    made = phrases._filter(phrases._frequent(spark.createDataFrame(rows, "h bigint, n bigint"), 3))
     frequent = np.array([h for h, n in total.items() if n >= 3], np.int64).view(np.uint64)
     assert made.has(frequent).all()
 
