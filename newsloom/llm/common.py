@@ -92,6 +92,14 @@ def add_columns(df: DataFrame, fields: str, maker: Maker) -> DataFrame:
     return df.mapInArrow(tidy(run), T.StructType([*kept, *new.fields]))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores behind it, so that no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

@@ -9,17 +9,20 @@ the window's words are hit.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from itertools import repeat
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from newsloom.llm.common import add_columns, sha256, texts_of
+from newsloom.llm.common import add_columns, texts_of, unused
+from newsloom.settings import release, staged
 
 WINDOW = 10
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-# The automaton travels to every task; a larger benchmark is worked through in parts.
-PART_BYTES = 32 << 20
+# Text of the items of one automaton, which takes some hundred times as much memory in a task.
+PART_BYTES = 1 << 20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -133,22 +136,33 @@ class Automaton:
         return runs, items
 
 
-def load_items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> list[list[tuple[str, str]]]:
-    """The benchmark in parts of at most ``PART_BYTES`` of text (or one item each).
+class Items:
+    """A benchmark in a written table, dealt into parts of about ``part_bytes`` of text.
 
-    A benchmark is a test set, not a corpus: it comes to the driver whole. Null ids become ``None``'s text.
+    The driver reads one part at a time, and tasks hold the automaton of one part at a time.
+    Items of equal id and text meet in one part; a null text has no words and is left out, a null id is ``None``.
     """
-    parts: list[list[tuple[str, str]]] = [[]]
-    size = 0
-    for row in benchmark.select(item_id, text).toLocalIterator():
-        if row[1] is None:
-            continue
-        size += len(row[1].encode("utf-8"))
-        if size > PART_BYTES and parts[-1]:
-            parts.append([])
-            size = len(row[1].encode("utf-8"))
-        parts[-1].append((str(row[0]), row[1]))
-    return parts
+
+    def __init__(self, benchmark: DataFrame, item_id: str, text: str, part_bytes: int):
+        rows = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text"))
+        rows = staged(rows.filter(F.col("text").isNotNull()).withColumn("hash", F.xxhash64("item", "text")), "items")
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.rows, self.parts = rows, max(1, -(-size // part_bytes))
+
+    def __len__(self) -> int:
+        return self.parts
+
+    def __iter__(self) -> Iterator[list[tuple[str, str]]]:
+        for part in range(self.parts):
+            own = self.rows.filter(F.pmod("hash", F.lit(self.parts)) == part).orderBy("hash", "item", "text")
+            yield [(str(row.item), row.text) for row in own.collect()]
+
+
+def load_items(
+    benchmark: DataFrame, item_id: str = "item_id", text: str = "text", part_bytes: int = PART_BYTES
+) -> Items:
+    """The benchmark as parts to look for one after the other; see ``Items``."""
+    return Items(benchmark, item_id, text, part_bytes)
 
 
 def _join(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -161,40 +175,75 @@ def _join(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def find_contamination(
-    df: DataFrame, items: list[list[tuple[str, str]]], text: str = "text", window: int = WINDOW
+# What is known of a text: its words, the runs hit so far, the items found so far.
+Known = tuple[list[bytes], list[tuple[int, int]], set[str]]
+
+
+def _scanned(
+    df: DataFrame, items: Items | list, text: str, window: int, fields: str, finish: Callable[[str | None, Known], tuple]
 ) -> DataFrame:
+    """``df`` with ``fields``, which ``finish`` makes from each text and what was found in it.
+
+    The whole table is passed once per part of the items, without a shuffle; between passes rows are
+    written with what was found so far, and superseded tables are removed.
+    """
+    runs_so_far, items_so_far = unused(df, "runs_so_far"), unused(df, "items_so_far")
+    progress = f"{runs_so_far} array<struct<first: int, end: int>>, {items_so_far} array<string>"
+    many = max(len(items), 1)
+
+    def maker(part: list, later: bool, last: bool):
+        names = T.StructType.fromDDL(fields if last else progress).names
+
+        def start():
+            automaton = Automaton(part, window)
+
+            def compute(batch):
+                texts = texts_of(batch, text)
+                before = zip(texts_of(batch, runs_so_far), texts_of(batch, items_so_far)) if later else repeat(((), ()))
+                made = []
+                for t, (hit, found) in zip(texts, before):
+                    words = words_of(t)
+                    runs, ids = automaton.scan(words)
+                    runs = _join([*runs, *((r["first"], r["end"]) for r in hit)])
+                    ids.update(found)
+                    made.append(finish(t, (words, runs, ids)) if last else (_as_rows(runs), sorted(ids)))
+                return dict(zip(names, map(list, zip(*made)))) if made else {n: [] for n in names}
+
+            return compute
+
+        return start
+
+    rows, written = df, None
+    for i, part in enumerate(items if len(items) else [[]]):
+        last = i == many - 1
+        rows = add_columns(rows, fields if last else progress, maker(part, i > 0, last))
+        if not last:
+            rows = staged(rows, "benchmark-part")
+            if written is not None:
+                release(written)
+            written = rows
+    return rows.drop(runs_so_far, items_so_far) if many > 1 else rows
+
+
+def _as_rows(runs: list[tuple[int, int]]) -> list[dict[str, int]]:
+    return [{"first": first, "end": end} for first, end in runs]
+
+
+def find_contamination(df: DataFrame, items: Items | list, text: str = "text", window: int = WINDOW) -> DataFrame:
     """``df`` with what each whole text shares with benchmark items; no shuffle.
 
     ``n_words``, ``n_hit``, ``hit_runs`` (runs of hit words, end exclusive), ``items`` (ids of the
     items with occurring windows, sorted as text). A window is ``window`` consecutive words
     of an item, or a shorter item whole. Null texts have no words. Columns of these names are replaced.
+    ``items``: as from ``load_items``, or lists of (id, text).
     """
 
-    def maker():
-        automata = [Automaton(part, window) for part in items]
-
-        def compute(batch):
-            out: dict[str, list] = {k: [] for k in ("n_words", "n_hit", "hit_runs", "items")}
-            for t in texts_of(batch, text):
-                words = words_of(t)
-                runs, found = [], set()
-                for automaton in automata:
-                    some, ids = automaton.scan(words)
-                    runs += some
-                    found |= ids
-                runs = _join(runs)
-                out["n_words"].append(len(words))
-                out["n_hit"].append(sum(end - first for first, end in runs))
-                out["hit_runs"].append([{"first": first, "end": end} for first, end in runs])
-                out["items"].append(sorted(found))
-            return out
-
-        return compute
-
-    return add_columns(
-        df, "n_words bigint, n_hit bigint, hit_runs array<struct<first: int, end: int>>, items array<string>", maker
-    )
+    def finish(t: str | None, known: Known) -> tuple:
+        words, runs, ids = known
+        return len(words), sum(end - first for first, end in runs), _as_rows(runs), sorted(ids)
+
+    fields = "n_words bigint, n_hit bigint, hit_runs array<struct<first: int, end: int>>, items array<string>"
+    return _scanned(df, items, text, window, fields, finish)
 
 
 def with_digest(found: DataFrame) -> DataFrame:
@@ -209,39 +258,25 @@ def with_digest(found: DataFrame) -> DataFrame:
 
 
 def remove_contamination(
-    df: DataFrame,
-    items: list[list[tuple[str, str]]],
-    text: str = "text",
-    window: int = WINDOW,
-    most: float = 0.5,
+    df: DataFrame, items: Items | list, text: str = "text", window: int = WINDOW, most: float = 0.5
 ) -> DataFrame:
     """``df`` without benchmark passages: a hit run goes with all between its words; a text
     of which more than the part ``most`` is hit goes whole. Other rows are unchanged."""
 
-    def maker():
-        automata = [Automaton(part, window) for part in items]
-
-        def clean(t: str | None) -> str | None:
-            words = words_of(t)
-            runs = _join([run for a in automata for run in a.scan(words)[0]])
-            if not runs:
-                return t
-            if sum(end - first for first, end in runs) > most * len(words):
-                return None
-            data = t.encode("utf-8")
-            places = [m.span() for m in WORD.finditer(data.lower())]
-            parts, at = [], 0
-            for first, end in runs:
-                parts.append(data[at : places[first][0]])
-                at = places[end - 1][1]
-            return b"".join([*parts, data[at:]]).decode("utf-8")
-
-        def compute(batch):
-            texts = texts_of(batch, text)
-            made = [clean(t) for t in texts]
-            return {"_clean": made, "_keep": [t is None or m is not None for t, m in zip(texts, made)]}
-
-        return compute
-
-    made = add_columns(df, "_clean string, _keep boolean", maker).filter("_keep")
-    return made.withColumn(text, F.col("_clean")).select(df.columns)
+    def finish(t: str | None, known: Known) -> tuple:
+        words, runs, _ = known
+        if not runs:
+            return t, True
+        if sum(end - first for first, end in runs) > most * len(words):
+            return None, False
+        data = t.encode("utf-8")
+        places = [m.span() for m in WORD.finditer(data.lower())]
+        parts, at = [], 0
+        for first, end in runs:
+            parts.append(data[at : places[first][0]])
+            at = places[end - 1][1]
+        return b"".join([*parts, data[at:]]).decode("utf-8"), True
+
+    clean, keep = unused(df, "clean"), unused(df, "keep")
+    made = _scanned(df, items, text, window, f"{clean} string, {keep} boolean", finish).filter(F.col(keep))
+    return made.withColumn(text, F.col(clean)).select(df.columns)

@@ -125,9 +125,12 @@ def histogram_shards(df: DataFrame, key: Column, size: Column, shards: int = 8,
     equal keys are ties: they stay together and their slots are in no particular order.
     Rows of one group stay together unless the group straddles a boundary by more
     than the tolerance. An empty table gives no rows. Columns of ``df`` named
-    ``shard`` or ``slot`` are replaced. ``df`` is read once per round of probes
+    ``shard`` or ``slot`` are replaced, all others kept. ``df`` is read once per round of probes
     (two or three), so stage it where it is costly to compute.
     """
-    placed = Histogram(df, key, size, shards, tolerance).place(df.drop("slot"), key)
+    # Rows travel as one struct, so that no column of theirs meets a name used here.
+    rows = df.select(F.struct("*").alias("row"), key.alias("key"))
+    placed = Histogram(df, key, size, shards, tolerance).place(rows, F.col("key"))
     within = F.row_number().over(Window.partitionBy("_cell").orderBy("_key"))
-    return placed.withColumn("slot", F.col("_before") + within - 1).drop("_cell", "_key", "_before")
+    own = [F.col("row").getField(c).alias(c) for c in df.columns if c.lower() not in ("shard", "slot")]
+    return placed.select(*own, "shard", (F.col("_before") + within - 1).alias("slot"))

@@ -16,7 +16,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import add_columns, sha256, texts_of
+from newsloom.llm.common import add_columns, sha256, texts_of, unused
 
 KINDS = ("assign", "access", "hex", "checked")
 # The published forms of secrets and the least length of each.
@@ -140,7 +140,8 @@ def redact(df: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFra
                 at = max(at, end)
             return "".join([*parts, t[at:]]) if parts else t
 
-        return lambda batch: {"_clean": [clean(t) for t in texts_of(batch, text)]}
+        return lambda batch: {made: [clean(t) for t in texts_of(batch, text)]}
 
-    return add_columns(df, "_clean string", maker).withColumn(text, F.col("_clean")).select(df.columns)
+    made = unused(df, "clean")
+    return add_columns(df, f"{made} string", maker).withColumn(text, F.col(made)).select(df.columns)
 

@@ -329,6 +329,39 @@ def test_decontamination(spark, docs):
     assert decontaminate.find_contamination(docs, []).filter("n_hit > 0").count() == 0
 
 
+def test_decontamination_by_parts(spark, docs):
+    texts = dict(documents())
+    words = texts[14].split()
+    bench = spark.createDataFrame(
+        [(f"i{i}", " ".join(words[i : i + 12])) for i in range(0, 40, 4)] + [(None, "one two"), ("n", None)],
+        "item_id string, text string",
+    )
+    whole = decontaminate.load_items(bench)
+    parts = decontaminate.load_items(bench, part_bytes=200)
+    assert len(whole) == 1 and len(parts) > 2
+    assert sorted(x for part in parts for x in part) == sorted(next(iter(whole)))
+    columns = ["doc_id", "n_words", "n_hit", "items", "hit_runs"]
+    one, many = (by_id(decontaminate.find_contamination(docs, x), *columns) for x in (whole, parts))
+    assert one == many
+    one, many = (by_id(decontaminate.remove_contamination(docs, x), "doc_id", "text") for x in (whole, parts))
+    assert one == many
+
+
+def test_columns_with_names_that_operators_use(spark):
+    rows = spark.createDataFrame(
+        [(1, "token = abcdef12 and more", "a", "b", "c", "d", 5, 6), (2, None, None, None, None, None, None, None)],
+        "doc_id bigint, text string, clean string, keep string, runs_so_far string, _cell string, _key int, key int",
+    )
+    for made in (
+        secrets.redact(rows),
+        decontaminate.remove_contamination(rows, [[("x", "and more")]], most=1.0),
+        decontaminate.remove_contamination(rows, [[("x", "and more")], [("y", "other words")]], most=1.0),
+        histogram_sort.histogram_shards(rows, F.sha2(F.col("doc_id").cast("string"), 256), F.lit(1), 2).drop("shard", "slot"),
+    ):
+        assert made.columns == rows.columns
+        assert sorted(map(tuple, made.drop("text").collect())) == sorted(map(tuple, rows.drop("text").collect()))
+
+
 @settings(max_examples=150, deadline=None)
 @given(
     st.lists(st.text(alphabet="ab c", max_size=14), max_size=4), st.text(alphabet="abd ", max_size=40), st.integers(1, 4)
