@@ -34,12 +34,15 @@ UNKNOWN = "und"
 # Words of a shard; one shard is at least one document.
 SHARD_WORDS = 1 << 19
 # Rows of a written index are at most so large together before they go to disk.
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 16 << 20
 TEXTS_AT_A_TIME = 1000
 TOGETHER = 1 << 20
 # The filter of frequent hashes has 2**FEWEST_BITS to 2**MOST_BITS bits, about 32 for each hash. Beyond
 # the most it lets more phrases through, which costs shuffle, not results.
 FEWEST_BITS, MOST_BITS = 16, 28
+# The bits of a hash that are sent to be added up: the first 40, some thousand times as fine as the largest filter.
+# Phrases that share them are taken for one, which may let a rare one through, and never stops a frequent one.
+SENT = np.uint64(0xFFFFFFFFFF000000)
 # Parts of a language whose best phrases are found first.
 PARTS = 64
 
@@ -211,9 +214,10 @@ class Filter:
         return (self.words[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _hash_counts(indexes: DataFrame, filters: list[Filter]) -> DataFrame:
-    """``h``, ``n``: hashes of phrases of the next length after those that have filters, with counts.
-    Shards of a task are added up ``TOGETHER`` hashes at a time, which spares a map side sum."""
+def _hash_counts(indexes: DataFrame, filters: list[Filter], least: int) -> DataFrame:
+    """``h``, ``n``: the sent bits of hashes of phrases of the next length after those that have filters, with
+    counts, in order of the hash; ``least`` stands for larger counts too. Shards of a task are added up
+    ``TOGETHER`` hashes at a time, which spares a map side sum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -221,10 +225,11 @@ def _hash_counts(indexes: DataFrame, filters: list[Filter]) -> DataFrame:
 
         def sums() -> Iterator[pa.RecordBatch]:
             hashes, sizes = (np.concatenate(x) for x in zip(*held))
+            hashes &= SENT
             order = np.argsort(hashes)
             hashes = hashes[order]
             heads = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else order
-            sizes = np.add.reduceat(sizes[order], heads) if len(heads) else sizes
+            sizes = np.minimum(np.add.reduceat(sizes[order], heads), least) if len(heads) else sizes
             for i in range(0, len(heads), 1 << 16):
                 part = slice(i, i + (1 << 16))
                 columns = [pa.array(hashes[heads[part]].view(np.int64)), pa.array(sizes[part], pa.int64())]
@@ -345,11 +350,11 @@ def mine_phrases(
     spark = docs.sparkSession
     with rows_per_batch(spark, TEXTS_AT_A_TIME):
         indexes = build_indexes(docs, text, lang, shard_words)
-        indexes = staged(indexes, "phrase-index", **{"parquet.block.size": GROUP_BYTES})
+        indexes = staged(indexes, "phrase-index", **{"parquet.block.size": GROUP_BYTES, "compression": "zstd"})
     filters: list[Filter] = []
     for _ in range(depth):
         with rows_per_batch(spark, 1):
-            found = _frequent(_hash_counts(indexes, filters), least)
+            found = _frequent(_hash_counts(indexes, filters, least), least)
         filters.append(_filter(found))
         release(found)
     with rows_per_batch(spark, 1):
