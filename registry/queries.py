@@ -837,13 +837,9 @@ def feed_outcomes(spark, sf):
 
 @query
 def rss_join_pages(spark, sf):
-    """Items of fetched and unfetched pages joined to the pages."""
-    fetched = pages(spark, sf).select(F.col("page_id").alias("doc_id"), "url")
-    items = table(spark, sf, "documents").join(fetched, "doc_id", "left").select(
-        "doc_id", F.coalesce("url", F.concat(F.lit("https://unfetched.example/"), "doc_id")).alias("url")
-    )
-    bodies = pages(spark, sf).select("url", markup.page_body(F.col("html")).alias("body"))
-    return items.join(bodies, "url")
+    """Items joined to their own pages, one to one; unfetched ones drop out. A URL may be that of several pages."""
+    fetched = pages(spark, sf).select(F.col("page_id").alias("doc_id"), "url", markup.page_body(F.col("html")).alias("body"))
+    return table(spark, sf, "documents").select("doc_id").join(fetched, "doc_id")
 
 
 # Data quality
