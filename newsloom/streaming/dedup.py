@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from newsloom.operators.ranking import keep_first_by_url
+from newsloom.operators.ranking import keep_first
 from newsloom.settings import release, staged
 from newsloom.sources.lake import exists, names_in, read_or_empty, remove
 from newsloom.streaming.epochs import epoch_path, query_id, write_epoch
@@ -40,19 +40,21 @@ def keep_first_ever(
 
     What was seen is kept beside the table, not in memory, as digests of URLs (see ``SeenKeys``),
     so articles written earlier are not read again; several queries may write to one table, one at a time. Each
-    micro-batch is first cut to one row per URL, before its shuffle, and those rows
-    look for themselves among the keys, so that Spark can send the smaller side to the larger. A
-    replayed epoch replaces its rows and its keys.
+    micro-batch is first cut to one row per URL, before its shuffle by digests, in which the rows stay until they
+    are written. Known digests are looked up by those of the micro-batch, so that Spark can send the smaller
+    side to the larger. A replayed epoch replaces its rows and its keys. A micro-batch is read twice, the
+    first time for its URLs alone.
     """
     key = F.unhex(F.sha2(F.coalesce("url", F.lit("")), 256))
 
     def write(rows: DataFrame, epoch: int) -> None:
         spark = rows.sparkSession
         seen = SeenKeys(spark, out, query_id(spark, checkpoint))
-        fresh = staged(keep_first_by_url(rows, list(order)).withColumn("_key", key), "fresh")
-        known = seen.before(epoch).join(fresh.select("_key"), "_key", "left_semi")
-        new = fresh.join(known, "_key", "left_anti")
-        write_epoch(new.drop("_key").hint("rebalance"), out, seen.query, epoch)
+        keyed = rows.withColumn("_key", key)
+        fresh = staged(keyed.select("_key").distinct(), "fresh-keys")
+        known = seen.before(epoch).join(fresh, "_key", "left_semi")
+        new = keep_first(keyed, ["_key"], list(order)).join(known, "_key", "left_anti")
+        write_epoch(new.drop("_key"), out, seen.query, epoch)
         written = read_or_empty(spark, epoch_path(out, seen.query, epoch), "url string")
         seen.add(written.select(key.alias("_key")), epoch)
         release(fresh)

@@ -18,7 +18,7 @@ from newsloom.operators import articles as article_ops
 from newsloom.operators.rows import one_row
 from newsloom.plans import bronze, gold, run, silver, warehouse
 from newsloom.plans import quality as quality_plan
-from newsloom.settings import fresh_folder, staged
+from newsloom.settings import fresh_folder, release, staged
 from newsloom.sources import feeds, lake
 from newsloom.streaming import dedup, publish
 from registry.derived import articles, table
@@ -546,6 +546,7 @@ def _streamed(spark, rows, schema):
         rows.filter(third == part).write.mode("append").parquet(folder)
         most = max(most, len([n for n in lake.names_in(spark, folder) if n.endswith(".parquet")]))
     return publish.read_article_stream(spark, folder, schema + ", file_name string, pos bigint", batch_files=max(1, -(-most // 3)))
+    release(rows)
 
 
 @query
@@ -587,7 +588,7 @@ def stream_dedup_exact(spark, sf):
     """Two queries with checkpoints of their own into one table, the second over the same rows again."""
     out = fresh_folder(spark, "dedup-exact")
     for _ in range(2):
-        stream = _streamed(spark, raw(spark, sf), schemas.BRONZE_ARTICLE)
+    stream = _streamed(spark, raw(spark, sf), schemas.BRONZE_ARTICLE)
         dedup.keep_first_ever(stream, out, fresh_folder(spark, "dedup-exact-state")).awaitTermination()
     schema = schemas.BRONZE_ARTICLE + ", file_name string, pos bigint"
     return spark.read.schema(schema).parquet(out).select("pos", "url")

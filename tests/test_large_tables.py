@@ -1,8 +1,16 @@
 """What shows only on larger tables, made small."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from newsloom.functions import text
+from newsloom.operators import extraction, sequence
+from newsloom.plans import gold, silver
+from newsloom.settings import fresh_folder, staged
+from newsloom.sources.lake import names_in
+from newsloom.streaming import dedup
+from registry import queries as registered
 from registry.oracles import ORACLES
 from registry.queries import QUERIES
 from tests import compare
@@ -17,7 +25,7 @@ def copy_of(spark, tmp_path):
     def make(**changed):
         for name in compare.TABLES:
             rows = spark.read.parquet(f"{SF_DIR}/{name}.parquet")
-            changed.get(name, lambda x: x)(rows).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+            changed.get(name, lambda x: x.coalesce(1))(rows).write.parquet(f"{tmp_path}/{name}.parquet")
         return str(tmp_path)
 
     return make
@@ -34,3 +42,12 @@ def test_items_meet_their_own_page_where_pages_share_a_url(spark, copy_of):
     shared = F.when(F.col("page_id") % 3 == 0, "https://a.example/same").when(F.col("page_id") % 3 == 1, F.col("url"))
     folder = copy_of(pages=lambda rows: rows.withColumn("url", shared))
     assert differs(spark, "rss_join_pages", folder) == ""
+
+
+@pytest.fixture
+def test_exact_stream_deduplication_stages_digests_only(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(dedup, "staged", lambda rows, name: kept.append(rows.columns) or staged(rows, name))
+    query, sql = QUERIES["stream_dedup_exact"], ORACLES["stream_dedup_exact"]
+    assert compare.difference(spark, compare.connect(SF_DIR), query, sql, SF_DIR) == ""
+    assert kept == [["_key"]] * len(kept) and len(kept) >= 6
