@@ -824,7 +824,8 @@ def feed_outcomes(spark, sf):
     """Feeds of which the files of one site are no XML: they are counted, and the others give all their items."""
     folder = fresh_folder(spark, "feeds")
     rows = _feed_rows(spark, sf)
-    rows.repartition("site", "category").write.format("xml").option("rootTag", "channel").option("rowTag", "item").partitionBy(
+    # A feed too large for one task is written in several files.
+    rows.hint("rebalance", "site", "category").write.format("xml").option("rootTag", "channel").option("rowTag", "item").partitionBy(
         "site", "category"
     ).save(folder)
     for category in lake.names_in(spark, f"{folder}/site=reuters"):

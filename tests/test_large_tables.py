@@ -45,6 +45,22 @@ def test_items_meet_their_own_page_where_pages_share_a_url(spark, copy_of):
 
 
 @pytest.fixture
+def small_parts(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "16k")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_a_large_feed_is_written_by_several_tasks(spark, small_parts, copy_of, monkeypatch):
+    folders = []
+    monkeypatch.setattr(registered, "fresh_folder", lambda *x: folders.append(fresh_folder(*x)) or folders[-1])
+    assert differs(spark, "feed_outcomes", copy_of(documents=lambda rows: rows.repartition(8))) == ""
+    place = f"{folders[0]}/site=bbc_news/category=world"
+    assert len([n for n in names_in(spark, place) if n.endswith(".xml")]) > 1
+
+
 def test_exact_stream_deduplication_stages_digests_only(spark, monkeypatch):
     kept = []
     monkeypatch.setattr(dedup, "staged", lambda rows, name: kept.append(rows.columns) or staged(rows, name))
