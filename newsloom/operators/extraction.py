@@ -9,7 +9,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ for _module in (page_tree, sites, sys.modules[__name__]):
     cloudpickle.register_pickle_by_value(_module)
 
 PARSED = "title string, author string, publication_date string, category string, content string, error string"
-# Whole pages travel to the parser; it takes a batch in parts of so many.
+# Whole pages travel to the parser; only so many of a batch become Python strings at a time.
 PAGES_AT_A_TIME = 64
 
 
@@ -89,27 +89,35 @@ def _body(found: dict, site: Site) -> str:
     return node.text(" ") if site.whole else ""
 
 
+class PythonParser:
+    """Carried columns and fields of pages that come in Arrow batches."""
+
+    def __init__(self, carried: list[str]):
+        self.carried, self.sites = carried, dict(sites.BY_KEY)
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [*self.carried, *(f.split()[0] for f in PARSED.split(", "))]
+        for whole in batches:
+            for at in range(0, whole.num_rows, PAGES_AT_A_TIME):
+                batch = whole.slice(at, PAGES_AT_A_TIME)
+                pages = zip(batch.column("html").to_pylist(), batch.column("site").to_pylist())
+                parsed = zip(*[read_page(html, self.sites[site]) for html, site in pages])
+                columns = [batch.column(c) for c in self.carried] + [pa.array(c, pa.string()) for c in parsed]
+                yield pa.RecordBatch.from_arrays(columns, names)
+        # Workers are used again for other tasks and would keep it.
+        pa.default_memory_pool().release_unused()
+
+
 def parse_pages(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse pages that carry a ``site`` key; others are left out.
 
     Keeps page_id, url, site and the columns named in ``keep``.
     """
-    by_key = dict(sites.BY_KEY)
     carried = ["page_id", "url", "site", *keep]
-    fields = [f.split()[0] for f in PARSED.split(", ")]
-
-    def parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for whole in batches:
-            for at in range(0, len(whole), PAGES_AT_A_TIME):
-                batch = whole.iloc[at : at + PAGES_AT_A_TIME]
-                rows = [read_page(h, by_key[s]) for h, s in zip(batch["html"], batch["site"])]
-                parsed = pd.DataFrame(rows, columns=fields, index=batch.index)
-                yield pd.concat([batch[carried], parsed], axis=1)
-
-    source = pages.filter(F.col("site").isin(list(by_key)) & F.col("html").isNotNull())
+    source = pages.filter(F.col("site").isin(list(sites.BY_KEY)) & F.col("html").isNotNull())
     types = dict(source.dtypes)
     schema = ", ".join(f"`{c}` {types[c]}" for c in carried) + ", " + PARSED
-    return source.select(*carried, "html").mapInPandas(parse_batches, schema)
+    return source.select(*carried, "html").mapInArrow(PythonParser(carried), schema)
 
 
 def is_guarded(html: Column, guards: tuple[str, ...]) -> Column:

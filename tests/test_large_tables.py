@@ -67,3 +67,14 @@ def test_exact_stream_deduplication_stages_digests_only(spark, monkeypatch):
     query, sql = QUERIES["stream_dedup_exact"], ORACLES["stream_dedup_exact"]
     assert compare.difference(spark, compare.connect(SF_DIR), query, sql, SF_DIR) == ""
     assert kept == [["_key"]] * len(kept) and len(kept) >= 6
+
+
+def test_few_pages_at_a_time_become_strings():
+    n = 1000
+    pages = pa.RecordBatch.from_pydict(
+        {"page_id": list(range(n)), "site": ["hespress"] * n, "html": [f"<h1>T{i}</h1>" for i in range(n)]}
+    )
+    parts = list(extraction.PythonParser(["page_id", "site"])(iter([pages])))
+    assert max(p.num_rows for p in parts) == extraction.PAGES_AT_A_TIME
+    rows = [r for p in parts for r in p.to_pylist()]
+    assert [(r["page_id"], r["title"], r["error"]) for r in rows] == [(i, f"T{i}", None) for i in range(n)]
