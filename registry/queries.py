@@ -414,7 +414,8 @@ def latest_snapshot(spark, sf):
     made = new_lake(spark, "lake")
     silver.write_checked(made, checked(spark, sf), BATCH)
     made.publish(spark, silver.LAYER, BATCH)
-    silver.write_checked(made, clean(spark, sf).withColumn("reason", F.lit("ok")), NEXT_BATCH)
+    valid = silver.read_checked(spark, made).filter("accepted").drop("accepted")
+    silver.write_checked(made, valid, NEXT_BATCH)
     made.publish(spark, silver.LAYER, NEXT_BATCH)
     return silver.read_checked(spark, made).select("pos", "url", "reason")
 

@@ -78,3 +78,12 @@ def test_few_pages_at_a_time_become_strings():
     assert max(p.num_rows for p in parts) == extraction.PAGES_AT_A_TIME
     rows = [r for p in parts for r in p.to_pylist()]
     assert [(r["page_id"], r["title"], r["error"]) for r in rows] == [(i, f"T{i}", None) for i in range(n)]
+
+
+def test_a_second_snapshot_does_not_clean_again(spark, monkeypatch):
+    runs = []
+    check = silver.check_articles
+    monkeypatch.setattr(silver, "check_articles", lambda *x: runs.append(1) or check(*x))
+    query, sql = QUERIES["latest_snapshot"], ORACLES["latest_snapshot"]
+    assert compare.difference(spark, compare.connect(SF_DIR), query, sql, SF_DIR) == ""
+    assert len(runs) == 1
