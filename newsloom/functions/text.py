@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import html.entities
 import json
-from collections.abc import Callable
+import unicodedata
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +23,14 @@ SPACE = r"\p{IsWhite_Space}\x1c-\x1f"
 # Patterns that decide what the cleaned text looks like.
 URL_PATTERN = rf"http[^{SPACE}]+|www[^{SPACE}]+"
 DISALLOWED_CHARS = rf"[^{WORD}{SPACE}\x{{600}}-\x{{6ff}}\x{{c0}}-\x{{24f}}.,!?;:'\x22-]"
+ODD_SPACE = f"[{SPACE}&&[^ ]]"
+# Those of them below 256, one by one, as Java looks up single ones in a table; and all characters above.
+_LOW_SPACE = (9, 10, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0)
+_LOW_DISALLOWED = [
+    n for n in range(0xC0)
+    if unicodedata.category(chr(n))[0] not in "LN" and chr(n) not in " _.,!?;:'\"-" and n not in _LOW_SPACE
+]
+_HIGH = r"[\x{100}-\x{10ffff}]"
 ARABIC = r"\x{600}-\x{6ff}"
 KEYWORD_CHARS = rf"[a-zA-Z{ARABIC}]{{4,}}"
 
@@ -41,7 +50,7 @@ dans pour avec elle elles nous vous leur plus
 just like
 """.split()
 
-TAG = r"(?s)<!--.*?-->|</[^>]*+>|<[A-Za-z!?][^>]*+>"
+TAG = r"(?s)<(?:!--.*?-->|/[^>]*+>|[A-Za-z!?][^>]*+>)"
 
 # A keyword begins and ends where word and non-word characters meet. Marks and
 # punctuation of the Arabic block are non-word characters that a keyword may
@@ -160,9 +169,23 @@ def strip_html(c: Column) -> Column:
     return bound(bound(F.coalesce(c, F.lit("")), without_tags), unescaped)
 
 
+def _blank_each(c: Column, low: Collection[int], chars: str) -> Column:
+    """Each character of a class becomes a blank; ``low`` are those below 256, for which one look at a table does."""
+    low_chars = "[" + "".join(rf"\x{n:02x}" for n in low) + "]"
+
+    def high_too(text: Column) -> Column:
+        return F.when(text.rlike(_HIGH), F.regexp_replace(text, chars, " ")).otherwise(text)
+
+    return bound(F.regexp_replace(c, low_chars, " "), high_too)
+
+
 def remove_urls(c: Column) -> Column:
     """Remove anything from ``http`` or ``www`` up to the next space."""
-    return F.regexp_replace(c, URL_PATTERN, "")
+
+    def without_urls(text: Column) -> Column:
+        return F.when(text.contains("http") | text.contains("www"), F.regexp_replace(text, URL_PATTERN, "")).otherwise(text)
+
+    return bound(c, without_urls)
 
 
 def collapse_whitespace(c: Column) -> Column:
@@ -170,12 +193,16 @@ def collapse_whitespace(c: Column) -> Column:
 
     Two passes that match little are cheaper than one that matches every blank.
     """
-    return F.regexp_replace(F.regexp_replace(c, f"[{SPACE}&&[^ ]]", " "), " {2,}", " ")
+
+    def single(text: Column) -> Column:
+        return F.when(text.contains("  "), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
+
+    return bound(_blank_each(c, _LOW_SPACE, ODD_SPACE), single)
 
 
 def filter_characters(c: Column) -> Column:
     """Replace each character outside the allow-list by a space."""
-    return F.regexp_replace(c, DISALLOWED_CHARS, " ")
+    return _blank_each(c, _LOW_DISALLOWED, DISALLOWED_CHARS)
 
 
 def normalize_text(c: Column) -> Column:
@@ -207,7 +234,7 @@ def _mentions(source: Column, names: list[str]) -> Column:
 def detect_language(text: Column, source: Column) -> Column:
     """Language code from the source name and the count of Arabic and ASCII
     letters; a tie is not Arabic."""
-    mostly_arabic = _count_chars(text, ARABIC) > _count_chars(text, "a-zA-Z")
+    mostly_arabic = text.rlike(f"[{ARABIC}]") & (_count_chars(text, ARABIC) > _count_chars(text, "a-zA-Z"))
     return (
         F.when(is_blank(text), "unknown")
         .when(_mentions(source, REGIONAL_SOURCES), F.when(mostly_arabic, "ar").otherwise("fr"))

@@ -1,6 +1,6 @@
 """Gap-free 1-based numbering of a whole table without one big task.
 
-The rows are written once as they come. Only the columns that order them are sorted by ranges
+The rows are written once as they come, unless a table holds them already. Only the columns that order them are sorted by ranges
 and written with their place in their range, so neither the sampling that a range sort begins with
 nor the sort itself computes a row again. The rows per range are counted, and the running sum
 over ranges, of which there are as many as tasks and not as many as files or rows, gives
@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from newsloom.settings import staged
 
 
-def number_rows(df: DataFrame, *order: str, out: str = "sequence") -> DataFrame:
-    """Add ``out``: the 1-based rank of each row in the given order, which must be total; nulls come first."""
-    rows = staged(df, "unnumbered")
+def number_rows(df: DataFrame, *order: str, out: str = "sequence", stored: bool = False) -> DataFrame:
+    """Add ``out``: the 1-based rank of each row in the given order, which must be total; nulls come first.
+    ``stored``: the rows are read from a table that stays, and are not written once more."""
+    rows = df if stored else staged(df, "unnumbered")
     # The low 33 bits of a row id count the rows of a task.
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     keys = rows.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)])

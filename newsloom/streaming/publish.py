@@ -25,10 +25,10 @@ from newsloom.streaming import epochs
 logger = logging.getLogger(__name__)
 
 
-def batch_events(articles: DataFrame, batch_id: str, event_time: Column) -> DataFrame:
-    """Events of one batch; articles carry ``file_name`` and ``pos``."""
+def batch_events(articles: DataFrame, batch_id: str, event_time: Column, stored: bool = False) -> DataFrame:
+    """Events of one batch; articles carry ``file_name`` and ``pos``. ``stored``: see ``number_rows``."""
     file, pos = silver.ORDER
-    return build_events(number_rows(articles, file, pos), F.lit(batch_id), event_time)
+    return build_events(number_rows(articles, file, pos, stored=stored), F.lit(batch_id), event_time)
 
 
 def latest_articles(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -44,7 +44,7 @@ def publish_batch(spark: SparkSession, lake: Lake, batch_id: str, now: Column) -
 
     The lake write is the commit point; a failing mirror is reported, not raised.
     """
-    events = batch_events(latest_articles(spark, lake), batch_id, now)
+    events = batch_events(latest_articles(spark, lake), batch_id, now, stored=True)
     lake.write_run(events, EVENT_LAYER, EVENTS, batch_id)
     stored = spark.read.schema(events.schema).parquet(lake.run_path(EVENT_LAYER, EVENTS, batch_id))
     count = stored.count()

@@ -478,11 +478,11 @@ def event_sequence_files(spark, sf):
 
 @query
 def event_sequence(spark, sf):
-    return sequence.number_rows(stored_clean(spark, sf), "file_name", "pos").select("pos", "url", "sequence")
+    return sequence.number_rows(stored_clean(spark, sf), "file_name", "pos", stored=True).select("pos", "url", "sequence")
 
 
 def _events(spark, sf, batch):
-    return publish.batch_events(stored_clean(spark, sf), batch, F.lit(STAMP))
+    return publish.batch_events(stored_clean(spark, sf), batch, F.lit(STAMP), stored=True)
 
 
 @query
@@ -546,8 +546,8 @@ def _streamed(spark, rows, schema):
     for part in range(3):
         rows.filter(third == part).write.mode("append").parquet(folder)
         most = max(most, len([n for n in lake.names_in(spark, folder) if n.endswith(".parquet")]))
-    return publish.read_article_stream(spark, folder, schema + ", file_name string, pos bigint", batch_files=max(1, -(-most // 3)))
     release(rows)
+    return publish.read_article_stream(spark, folder, schema + ", file_name string, pos bigint", batch_files=max(1, -(-most // 3)))
 
 
 @query
@@ -588,8 +588,8 @@ def stream_dedup(spark, sf):
 def stream_dedup_exact(spark, sf):
     """Two queries with checkpoints of their own into one table, the second over the same rows again."""
     out = fresh_folder(spark, "dedup-exact")
-    for _ in range(2):
     stream = _streamed(spark, raw(spark, sf), schemas.BRONZE_ARTICLE)
+    for _ in range(2):
         dedup.keep_first_ever(stream, out, fresh_folder(spark, "dedup-exact-state")).awaitTermination()
     schema = schemas.BRONZE_ARTICLE + ", file_name string, pos bigint"
     return spark.read.schema(schema).parquet(out).select("pos", "url")

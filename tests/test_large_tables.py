@@ -87,3 +87,31 @@ def test_a_second_snapshot_does_not_clean_again(spark, monkeypatch):
     query, sql = QUERIES["latest_snapshot"], ORACLES["latest_snapshot"]
     assert compare.difference(spark, compare.connect(SF_DIR), query, sql, SF_DIR) == ""
     assert len(runs) == 1
+
+
+def test_a_run_does_not_copy_stored_articles(spark, monkeypatch):
+    copies = []
+    for module in (sequence, gold):
+        monkeypatch.setattr(module, "staged", lambda rows, name: copies.append(rows.columns) or staged(rows, name))
+    assert compare.difference(spark, compare.connect(SF_DIR), QUERIES["lake_run"], ORACLES["lake_run"], SF_DIR) == ""
+    assert copies and not any("content" in columns for columns in copies)
+
+
+def test_texts_are_cleaned_as_by_single_patterns(spark):
+    """Every character, in ASCII texts and others, against patterns that take no short cut."""
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    chars = spark.range(0, 0x11000).filter("id NOT BETWEEN 55296 AND 57343").select(char.alias("c"))
+    words = ["abcd", "abc", "ab9cd", "été", "كلمة", "،", "ab", "_abcd", "x" * 9]
+    texts = spark.createDataFrame([(f"{a} {b}{c} {a}  {b}. http://x {c}",) for a in words for b in words for c in words], "c string")
+    c = F.col("c")
+    old = rf"[^{text.WORD}{text.SPACE}\x{{600}}-\x{{6ff}}\x{{c0}}-\x{{24f}}.,!?;:'\x22-]"
+    single = F.regexp_replace(F.regexp_replace(c, f"[{text.SPACE}&&[^ ]]", " "), " {2,}", " ")
+    count = lambda x: F.length(F.regexp_replace(c, f"[^{x}]+", ""))
+    for rows in (chars, chars.select(F.concat(F.lit("é "), c, F.lit("  <")).alias("c")), texts):
+        assert rows.filter(text.filter_characters(c) != F.regexp_replace(c, old, " ")).isEmpty()
+        assert rows.filter(text.collapse_whitespace(c) != single).isEmpty()
+        assert rows.filter(text.remove_urls(c) != F.regexp_replace(c, text.URL_PATTERN, "")).isEmpty()
+        whole = F.regexp_extract_all(F.lower(c), F.lit(text._KEYWORD), F.lit(0))
+        assert rows.filter(text.keyword_tokens(c) != whole).isEmpty()
+        arabic = F.when(c == "", "unknown").when(count(text.ARABIC) > count("a-zA-Z"), "ar").otherwise("en")
+        assert rows.filter(text.detect_language(c, F.lit("x")) != arabic).isEmpty()
