@@ -3,9 +3,9 @@
 Vectors are lifted onto a sphere: with one more coordinate all candidates have the same
 norm, so a larger inner product is a smaller distance. For each candidate the distances to
 all pivots are known; by the triangle inequality the largest difference to the query's own
-distances bounds its distance from below, and so its score from above. Candidates are
-evaluated in the order of their bounds, and the search stops where no bound can reach
-the worst of the best scores; scores are exact integers.
+distances bounds its distance from below, and so its score from above. The candidates of the
+highest bounds are evaluated, then more of those left whose bound can still reach the worst of
+the best scores, until there are none; scores are exact integers.
 
 Queries and candidates meet in blocks: each pair of a query block and a candidate block
 is one group, whatever the number of rows.
@@ -14,6 +14,7 @@ is one group, whatever the number of rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 
 PIVOTS = 32
 BLOCK_ROWS, BLOCK_QUERIES = 2048, 2048
-# Candidates evaluated between two looks at the bounds.
-STEP = 64
+# Candidates evaluated before the first look at the bounds, before the second, and before each later one.
+STEPS = (64, 512, BLOCK_ROWS)
 FOUND = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -52,6 +53,10 @@ class _Search:
     def run(self, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray) -> Iterator[tuple]:
         table = np.ascontiguousarray(self.distances(vectors, False).T)
         own = self.distances(queries, True)
+        # Sums below 2**53 are exact in doubles, whose products are many times faster.
+        largest = [float(np.abs(x).max(initial=0)) for x in (vectors, queries)]
+        if vectors.shape[1] * largest[0] * largest[1] < 2**53:
+            vectors, queries = vectors.astype(float), queries.astype(float)
         for q, (query_id, query) in enumerate(zip(query_ids, queries)):
             apart = np.zeros(len(ids))
             for p in range(len(self.pivots)):
@@ -59,16 +64,27 @@ class _Search:
             norm = float((query.astype(float) ** 2).sum()) + self.greatest
             # Rounding of the distances must not cut off an equal score.
             bound = (norm - apart**2) / 2 + 1e-9 * norm + 1e-6
-            order = np.argsort(-bound, kind="stable")
-            best: list[tuple[int, int]] = []
-            for at in range(0, len(order), STEP):
-                some = order[at : at + STEP]
-                if len(best) == self.k and bound[some[0]] < -best[-1][0]:
+            left = np.flatnonzero(ids != query_id)
+            best_ids, best = ids[:0], np.zeros(0, np.int64)
+            for step in chain(STEPS, repeat(STEPS[-1])):
+                if len(best) == self.k:
+                    left = left[bound[left] >= best[-1]]
+                if not len(left):
                     break
-                scores = vectors[some] @ query
-                best += [(-int(s), int(i)) for s, i in zip(scores, ids[some]) if i != query_id]
-                best = sorted(best)[: self.k]
-            yield from ((int(query_id), i, -s) for s, i in best)
+                order = np.argpartition(-bound[left], step) if len(left) > step else np.arange(len(left))
+                some, left = left[order[:step]], left[order[step:]]
+                # Gathering most of the rows would cost more than their products.
+                scores = vectors[some] @ query if 2 * len(some) < len(ids) else (vectors @ query)[some]
+                best_ids, best = self.highest(np.append(best_ids, ids[some]), np.append(best, scores.astype(np.int64)))
+            yield from ((int(query_id), int(i), int(s)) for i, s in zip(best_ids, best))
+
+    def highest(self, ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` highest scores, ties by the smaller id."""
+        if len(scores) > self.k:
+            reach = scores >= np.partition(scores, -self.k)[-self.k]
+            ids, scores = ids[reach], scores[reach]
+        order = np.lexsort((ids, -scores))[: self.k]
+        return ids[order], scores[order]
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOTS) -> DataFrame:

@@ -1,10 +1,12 @@
 """What shows only on larger tables, made small."""
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from newsloom.functions import text
+from newsloom.llm import topk
 from newsloom.operators import extraction, sequence
 from newsloom.plans import gold, silver
 from newsloom.settings import fresh_folder, staged
@@ -115,3 +117,33 @@ def test_texts_are_cleaned_as_by_single_patterns(spark):
         assert rows.filter(text.keyword_tokens(c) != whole).isEmpty()
         arabic = F.when(c == "", "unknown").when(count(text.ARABIC) > count("a-zA-Z"), "ar").otherwise("en")
         assert rows.filter(text.detect_language(c, F.lit("x")) != arabic).isEmpty()
+
+
+def test_large_components_and_growing_steps():
+    """Sums beyond 2**53 stay exact, and many candidates cost few looks at the bounds."""
+    r = np.random.default_rng(3)
+    for width in (200, 2**26):
+        vectors = r.integers(-width, width, size=(2048, 64))
+        queries, ids = vectors[:300], np.arange(2048)
+        search = topk._Search(vectors[:32], int((vectors**2).sum(axis=1).max()), 5)
+        found = list(search.run(ids, vectors, ids[:300], queries))
+        scores = vectors @ queries.T
+        expected = [
+            (q, i, int(scores[i, q])) for q in range(300) for i in [i for i in np.lexsort((ids, -scores[:, q])) if i != q][:5]
+        ]
+        assert found == expected
+    search = topk._Search(np.zeros((1, 2), np.int64), 2, 2)
+    ties = list(search.run(np.array([9, 3, 7, 1]), np.ones((4, 2), np.int64), np.array([3]), np.ones((1, 2), np.int64)))
+    assert ties == [(3, 1, 2), (3, 7, 2)]
+
+    looks = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, at):
+            if isinstance(at, np.ndarray):
+                looks.append(len(at))
+            return super().__getitem__(at)
+
+    search = topk._Search(vectors[:32], int((vectors**2).sum(axis=1).max()), 5)
+    list(search.run(ids, vectors.view(Counted), ids[:20], queries[:20]))
+    assert len(looks) <= 3 * 20
