@@ -24,13 +24,14 @@ SPACE = r"\p{IsWhite_Space}\x1c-\x1f"
 URL_PATTERN = rf"http[^{SPACE}]+|www[^{SPACE}]+"
 DISALLOWED_CHARS = rf"[^{WORD}{SPACE}\x{{600}}-\x{{6ff}}\x{{c0}}-\x{{24f}}.,!?;:'\x22-]"
 ODD_SPACE = f"[{SPACE}&&[^ ]]"
-# Those of them below 256, one by one, as Java looks up single ones in a table; and all characters above.
+# Those of them below 256, one by one, as Java looks up single ones in a table. Above them
+# the rest of Latin and the Arabic block are allowed and hold no space, so only all others are looked at.
 _LOW_SPACE = (9, 10, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0)
 _LOW_DISALLOWED = [
     n for n in range(0xC0)
     if unicodedata.category(chr(n))[0] not in "LN" and chr(n) not in " _.,!?;:'\"-" and n not in _LOW_SPACE
 ]
-_HIGH = r"[\x{100}-\x{10ffff}]"
+_HIGH = r"\x{250}-\x{5ff}\x{700}-\x{10ffff}"
 ARABIC = r"\x{600}-\x{6ff}"
 KEYWORD_CHARS = rf"[a-zA-Z{ARABIC}]{{4,}}"
 
@@ -171,12 +172,15 @@ def strip_html(c: Column) -> Column:
 
 def _blank_each(c: Column, low: Collection[int], chars: str) -> Column:
     """Each character of a class becomes a blank; ``low`` are those below 256, for which one look at a table does."""
-    low_chars = "[" + "".join(rf"\x{n:02x}" for n in low) + "]"
 
     def high_too(text: Column) -> Column:
-        return F.when(text.rlike(_HIGH), F.regexp_replace(text, chars, " ")).otherwise(text)
+        return F.when(text.rlike(f"[{_HIGH}]"), F.regexp_replace(text, f"[{_HIGH}&&{chars}]", " ")).otherwise(text)
 
-    return bound(F.regexp_replace(c, low_chars, " "), high_too)
+    return bound(F.regexp_replace(c, f"[{_escaped(low)}]", " "), high_too)
+
+
+def _escaped(chars: Collection[int]) -> str:
+    return "".join(rf"\x{n:02x}" for n in chars)
 
 
 def remove_urls(c: Column) -> Column:
@@ -193,11 +197,11 @@ def collapse_whitespace(c: Column) -> Column:
 
     Two passes that match little are cheaper than one that matches every blank.
     """
+    return bound(_blank_each(c, _LOW_SPACE, ODD_SPACE), _single_blanks)
 
-    def single(text: Column) -> Column:
-        return F.when(text.contains("  "), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
 
-    return bound(_blank_each(c, _LOW_SPACE, ODD_SPACE), single)
+def _single_blanks(text: Column) -> Column:
+    return F.when(text.contains("  "), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
 
 
 def filter_characters(c: Column) -> Column:
@@ -210,8 +214,23 @@ def normalize_text(c: Column) -> Column:
 
     The character filter runs after the space collapse, so doubled spaces may
     remain and count towards the length. NULL becomes ``''``.
+
+    Line feeds, which most texts have, are replaced as bytes; most have no other character that the last two
+    steps replace, and one look for any is cheaper than both.
     """
-    return F.trim(filter_characters(collapse_whitespace(remove_urls(strip_html(c)))))
+    odd = f"[{_escaped([*_LOW_SPACE, *_LOW_DISALLOWED])}{_HIGH}]"
+
+    def look(text: Column) -> Column:
+        return F.struct(text.alias("text"), text.rlike(odd).alias("odd"))
+
+    def filtered(looked: Column) -> Column:
+        spaced = F.when(looked["odd"], _blank_each(looked["text"], _LOW_SPACE, ODD_SPACE)).otherwise(looked["text"])
+        return bound(
+            bound(spaced, _single_blanks), lambda text: F.when(looked["odd"], filter_characters(text)).otherwise(text)
+        )
+
+    lines = F.replace(remove_urls(strip_html(c)), F.lit("\n"), F.lit(" "))
+    return F.trim(bound(bound(lines, look), filtered))
 
 
 def null_if_empty(c: Column) -> Column:
@@ -258,15 +277,22 @@ def keyword_tokens(text: Column) -> Column:
     """Array of lower-case words of four or more ASCII or Arabic-block letters.
 
     A word that also holds an accented letter, a digit or ``_`` is left out
-    whole.
+    whole. A word holds no blank, so the words of a text are those of what stands between its blanks.
     """
     return F.regexp_extract_all(F.lower(text), F.lit(_KEYWORD), F.lit(0))
 
 
+def _title_and_content(content: Column, title: Column) -> Column:
+    return F.concat(F.coalesce(content, F.lit("")), F.lit(" "), F.coalesce(title, F.lit("")))
+
+
 def article_tokens(content: Column, title: Column) -> Column:
-    return keyword_tokens(
-        F.concat(F.coalesce(content, F.lit("")), F.lit(" "), F.coalesce(title, F.lit("")))
-    )
+    return keyword_tokens(_title_and_content(content, title))
+
+
+def article_chunks(content: Column, title: Column) -> Column:
+    """Array of what stands between blanks, as it is: splitting at one character needs no pattern."""
+    return F.split(_title_and_content(content, title), " ")
 
 
 def is_stop_word(word: Column) -> Column:

@@ -85,7 +85,12 @@ def keywords(articles: DataFrame) -> DataFrame:
 
 
 def keyword_counts(articles: DataFrame) -> DataFrame:
-    return keywords(articles).groupBy("keyword").agg(F.count(F.lit(1)).alias("frequency"))
+    """``keyword``, ``frequency``. What stands between blanks is counted first, and keywords are looked for once in each
+    different one. A keyword has four letters, so shorter ones are not counted."""
+    chunk = F.explode(text.article_chunks(F.col("content"), F.col("title"))).alias("chunk")
+    counted = articles.select(chunk).filter(F.octet_length("chunk") >= 4).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
+    found = counted.select(F.explode(text.keyword_tokens(F.col("chunk"))).alias("keyword"), "n")
+    return found.filter(~text.is_stop_word(F.col("keyword"))).groupBy("keyword").agg(F.sum("n").alias("frequency"))
 
 
 def top_keywords(articles: DataFrame, n: int = TOP_KEYWORDS) -> DataFrame:

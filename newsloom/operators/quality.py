@@ -2,12 +2,14 @@
 
 A check is a condition on a row. Counting is a single aggregation however many
 checks there are and however often they fire; a row per violation never exists.
-A few sample messages per severity come from a top-n over the violations.
+A few sample messages per severity come from a top-n over the violations. Where both are wanted, one
+pass leaves a bit per check beside the place of each row, and they are taken from that.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,8 +70,9 @@ def _required(df: DataFrame, layer: str, fields: tuple[str, ...], what: str) ->
 
 
 def bronze_checks(df: DataFrame) -> list[Check]:
-    length = F.length(F.coalesce("content", F.lit("")))
-    short = (length > 0) & (length < SHORT_CONTENT)
+    content = F.coalesce("content", F.lit(""))
+    # A character has four bytes at most; only short texts are counted through.
+    short = (content != "") & (F.octet_length(content) < 4 * SHORT_CONTENT) & (F.length(content) < SHORT_CONTENT)
     return _required(df, "bronze", BRONZE_REQUIRED, "article") + [
         Check("bronze", "content_quality", WARNING, "Content is below the usual length", short)
     ]
@@ -80,7 +83,7 @@ def silver_checks(df: DataFrame) -> list[Check]:
     language = F.coalesce("language", F.lit(""))
     date = F.col("publication_date")
     return _required(df, "silver", SILVER_REQUIRED, "processed article") + [
-        Check("silver", "normalization_error", WARNING, "Markup left in the text", content.rlike("[<>]")),
+        Check("silver", "normalization_error", WARNING, "Markup left in the text", content.contains("<") | content.contains(">")),
         Check("silver", "language_detection", WARNING, "Language is none of the known codes", ~language.isin(*LANGUAGES)),
         Check(
             "silver", "date_format", WARNING, "Date is no time stamp",
@@ -165,6 +168,17 @@ def sample_violations(df: DataFrame, checks: list[Check], order: list[str], n: i
     return first_n(rows, ["severity"], [*order, "check_no"], n)
 
 
+def mark_violations(df: DataFrame, checks: list[Check], order: list[str]) -> DataFrame:
+    """``order``, and ``hits`` with a bit for each check that a row violates."""
+    bits = [F.when(c.condition, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(checks)]
+    return df.select(*order, reduce(Column.bitwiseOR, bits).cast("bigint").alias("hits"))
+
+
+def marked_checks(checks: list[Check]) -> list[Check]:
+    """The same checks on the rows of ``mark_violations``."""
+    return [replace(c, condition=F.col("hits").bitwiseAND(F.lit(1 << i)) != 0) for i, c in enumerate(checks)]
+
+
 def layer_issue(when: Column, layer: str, kind: str, severity: str, message: str) -> Column:
     """0 or 1 violations of a whole layer, as a row of ``count_violations``."""
     return F.struct(

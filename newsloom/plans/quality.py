@@ -33,7 +33,23 @@ def _if_empty(rows: DataFrame, layer: str, message: str) -> DataFrame:
     return rows.limit(1).agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(issue)))
 
 
-def bronze_issues(spark: SparkSession, lake: Lake, now: Column) -> DataFrame:
+def row_marks(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """What the checks find in each row of Bronze and Silver (see ``ops.mark_violations``): texts are read once for
+    counts and samples."""
+    marks = {}
+    for layer, rows, checks in (
+        ("bronze", lake.read_bronze(spark, schemas.BRONZE_ARTICLE), ops.bronze_checks),
+        ("silver", silver.read_silver(spark, lake), ops.silver_checks),
+    ):
+        marks[layer] = staged(ops.mark_violations(rows, checks(rows), list(silver.ORDER)), f"{layer}-marks")
+    return marks
+
+
+def _row_issues(rows: DataFrame, checks: list[ops.Check], marks: DataFrame | None) -> DataFrame:
+    return ops.count_violations(rows, checks) if marks is None else ops.count_violations(marks, ops.marked_checks(checks))
+
+
+def bronze_issues(spark: SparkSession, lake: Lake, now: Column, marks: DataFrame | None = None) -> DataFrame:
     path = lake.path("bronze", "articles")
     newest = lakes.newest_file(lakes.list_files(spark, path, "*.parquet")) if lakes.exists(spark, path) else None
     # A folder without data files is as good as none.
@@ -48,7 +64,7 @@ def bronze_issues(spark: SparkSession, lake: Lake, now: Column) -> DataFrame:
         ops.stale(F.col("modified_at"), now), "bronze", "data_freshness", WARNING, "No new file for a day"
     )
     return (
-        missing.unionByName(ops.count_violations(rows, ops.bronze_checks(rows)))
+        missing.unionByName(_row_issues(rows, ops.bronze_checks(rows), marks))
         .unionByName(newest.select(F.inline(F.array(late))))
     )
 
@@ -82,7 +98,7 @@ def table_file_issues(spark: SparkSession, lake: Lake, layer: str) -> DataFrame:
     return ops.count_violations(audit, [check])
 
 
-def silver_issues(spark: SparkSession, lake: Lake) -> DataFrame:
+def silver_issues(spark: SparkSession, lake: Lake, marks: DataFrame | None = None) -> DataFrame:
     present = lake.latest_path(spark, silver.LAYER, silver.TABLE) is not None
     missing = _layer_issues(
         spark, ops.layer_issue(_flag(not present), "silver", "missing_data", ERROR, "Layer holds no data files")
@@ -90,7 +106,7 @@ def silver_issues(spark: SparkSession, lake: Lake) -> DataFrame:
     if not present:
         return missing
     rows = silver.read_silver(spark, lake)
-    return missing.unionByName(ops.count_violations(rows, ops.silver_checks(rows)))
+    return missing.unionByName(_row_issues(rows, ops.silver_checks(rows), marks))
 
 
 def event_issues(spark: SparkSession, lake: Lake, checked_events: int | None = None) -> DataFrame:
@@ -153,8 +169,9 @@ def consistency_issues(bronze: int, silver_rows: int, gold_total: int | None, sp
     return _layer_issues(spark, *issues)
 
 
-def all_issues(spark: SparkSession, lake: Lake, now: Column) -> DataFrame:
-    """Violation counts of every check over the whole lake."""
+def all_issues(spark: SparkSession, lake: Lake, now: Column, marks: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Violation counts of every check over the whole lake. ``marks``: from ``row_marks``, where they are there."""
+    marks = marks or {}
     counts = {
         row.part: row.n
         for row in warehouse.count_parts(
@@ -167,8 +184,8 @@ def all_issues(spark: SparkSession, lake: Lake, now: Column) -> DataFrame:
     summary = gold.read_gold(spark, lake, "summary_stats").first()
     gold_total = None if summary is None else (summary.total_articles or 0)
     issues = (
-        bronze_issues(spark, lake, now)
-        .unionByName(silver_issues(spark, lake))
+        bronze_issues(spark, lake, now, marks.get("bronze"))
+        .unionByName(silver_issues(spark, lake, marks.get("silver")))
         .unionByName(event_issues(spark, lake))
         .unionByName(gold_issues(spark, lake))
         .unionByName(consistency_issues(counts["bronze"], counts["silver"], gold_total, spark))
@@ -209,14 +226,14 @@ def lake_stats(spark: SparkSession, lake: Lake, facts: DataFrame) -> DataFrame:
     return one_row(counted, total)
 
 
-def sample_issues(spark: SparkSession, lake: Lake) -> DataFrame:
+def sample_issues(spark: SparkSession, lake: Lake, marks: dict[str, DataFrame]) -> DataFrame:
     """The first issues per severity of Bronze and Silver rows, for the report."""
     parts = []
     for layer, rows, checks in (
         ("bronze", lake.read_bronze(spark, schemas.BRONZE_ARTICLE), ops.bronze_checks),
         ("silver", silver.read_silver(spark, lake), ops.silver_checks),
     ):
-        parts.append(ops.sample_violations(rows, checks(rows), list(silver.ORDER)))
+        parts.append(ops.sample_violations(marks[layer], ops.marked_checks(checks(rows)), list(silver.ORDER)))
     both = parts[0].unionByName(parts[1])
     return ops.first_n(both, ["severity"], ["layer", *silver.ORDER, "check_no"], ops.SAMPLES)
 
@@ -250,9 +267,10 @@ def check_lake(
     before = spark.conf.get(name)
     spark.conf.set(name, "true")
     try:
-        issues = staged(all_issues(spark, lake, now), "quality-issues")
+        marks = row_marks(spark, lake)
+        issues = staged(all_issues(spark, lake, now, marks), "quality-issues")
         facts = staged(lake_facts(spark, lake), "lake-facts")
-        report = quality_report(issues, sample_issues(spark, lake), now, lake_stats(spark, lake, facts))
+        report = quality_report(issues, sample_issues(spark, lake, marks), now, lake_stats(spark, lake, facts))
         report = staged(report, "quality-report")
     finally:
         spark.conf.set(name, before)
