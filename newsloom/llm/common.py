@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,15 +37,21 @@ def slices(batch: pa.RecordBatch, size: int = SLICE) -> Batches:
 
 
 @contextmanager
-def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs that are run within hand at most so many rows at a time to Python: rows may be large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Jobs that are run within have these settings; afterwards they are as before."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def rows_per_batch(spark: SparkSession, rows: int) -> AbstractContextManager[None]:
+    """Jobs that are run within hand at most so many rows at a time to Python: rows may be large."""
+    return session_settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)})
 
 
 def give_back() -> None:

@@ -7,9 +7,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import Broadcast
+from pyspark.sql import functions as F
 
 from newsloom.llm import lexical, phrases, quality
 from newsloom.llm.queries import QUERIES
@@ -268,6 +271,88 @@ def test_filter_of_frequent_hashes(spark, monkeypatch, bits):
     assert made.has(frequent).all()
 
 
+def test_memory_of_phrase_tasks(spark, monkeypatch, tmp_path):
+    """An index goes to disk in groups of few rows and is read row by row, texts come to Python by bytes."""
+    groups, settings_seen = [], {}
+    names = (phrases.ARROW_BYTES, phrases.READ_ROWS)
+    real = phrases.staged
+
+    def spy(df, name, **options):
+        settings_seen.setdefault(name, [spark.conf.get(n) for n in names])
+        made = real(df, name, **options)
+        if name == "phrase-index":
+            for file in made.inputFiles():
+                meta = pq.ParquetFile(file.removeprefix("file:")).metadata
+                groups.extend(meta.row_group(i).num_rows for i in range(meta.num_row_groups))
+        return made
+
+    monkeypatch.setattr(phrases, "staged", spy)
+    monkeypatch.setattr(phrases, "GROUP_BYTES", 1 << 14)
+    before = [spark.conf.get(n) for n in names]
+    docs = [(" ".join(random.Random(i).choices("abcdefgh", k=2000)), "en") for i in range(60)]
+    got = phrases.mine_phrases(spark.createDataFrame(docs, "text string, lang string").coalesce(1), shard_words=2000).collect()
+    assert sorted(map(tuple, got)) == sorted(mined(docs, 30))
+    assert sum(groups) == 60 and max(groups) <= 2
+    assert settings_seen["phrase-index"][0] == str(phrases.TEXT_BYTES)
+    assert settings_seen["frequent-hashes"][1] == settings_seen["phrase-counts"][1] == "1"
+    assert [spark.conf.get(n) for n in names] == before
+
+
+def test_filter_is_small(spark):
+    """A filter takes about a byte and a half for each hash, once in a worker, and lets few others through."""
+    r = np.random.default_rng(1)
+    known, others = r.integers(0, 2**64, (2, 50_000), np.uint64)
+    made = phrases._filter(spark.createDataFrame([(int(h),) for h in known.view(np.int64)], "h bigint"))
+    assert made.has(known).all()
+    assert made.has(others).mean() < 0.02
+    assert len(made.bits.value) <= 1.5 * len(known) + 8
+    assert isinstance(made.bits, Broadcast)
+
+
+@pytest.mark.parametrize(("sent", "together", "at_a_time", "least"), [(2**64 - 4, 50, 7, 9), (2**64 - 2**24, 1, 1, 3), (2**64 - 2, 1 << 22, 1 << 16, 5)])
+def test_sums_of_hashes(spark, monkeypatch, sent, together, at_a_time, least):
+    """Counts too large for the bits beside a hash, shards larger than what is added up at once, batches of one hash."""
+    monkeypatch.setattr(phrases, "SENT", np.uint64(sent))
+    monkeypatch.setattr(phrases, "TOGETHER", together)
+    monkeypatch.setattr(phrases, "SUMS_AT_A_TIME", at_a_time)
+    docs = [(t, (None, "en")[i % 2]) for i, t in enumerate(prose(2, 60))]
+    got = phrases.mine_phrases(spark.createDataFrame(docs, "text string, lang string").repartition(2), least=least, shard_words=60).collect()
+    assert sorted(map(tuple, got)) == sorted(mined(docs, least))
+
+
+def test_shards_of_many_languages(spark):
+    """A task keeps a bounded number of words, whatever the number of languages; texts without words take nothing."""
+    docs = [(f"a b c d e {i % 3} a b c d", f"l{i % 100}") for i in range(400)] + [(t, "none") for t in (None, "", " \t ")] * 50
+    frame = spark.createDataFrame(docs, "text string, lang string").coalesce(1)
+    made = phrases.build_indexes(frame, shard_words=100).select("lang", "n", F.length("before").alias("b")).collect()
+    assert len(made) > 101
+    assert all(r.b <= 4 * (100 + 100 + 2) for r in made)
+    assert Counter(r.lang for r in made if r.lang == "none") == {"none": 1} and max(r.b for r in made if r.lang == "none") == 4
+    assert sum(r.n for r in made) == 4000
+    got = phrases.mine_phrases(frame, least=3, shard_words=100).collect()
+    assert sorted(map(tuple, got)) == sorted(mined(docs, 3))
+
+
+def test_extensions_in_parts(monkeypatch):
+    r = random.Random(3)
+    row = np.array([0, *(r.choice([0, 1, 1, 2, 3, 4]) for _ in range(3000)), 0], np.int32)
+    index = phrases.Index.of("en", [b".", b"a", b"b", b"c", b"d"], row)
+    found = [index.single()]
+    found += [index.longer(found[0])]
+    whole = [index.sides[0].extend(p.left, p.size, p.right) for p in found]
+    monkeypatch.setattr(phrases, "PLACES", 40)
+    for p, want in zip(found, whole):
+        for a, b in zip(index.sides[0].extend(p.left, p.size, p.right), want):
+            assert a.tolist() == b.tolist()
+
+
+@pytest.mark.parametrize("most", [1, 5, 2**40, 2**62])
+def test_stable_order(most):
+    for n in (0, 1, 2, 1000):
+        key = np.random.default_rng(n).integers(0, most, n) // max(most // 50, 1) * max(most // 50, 1)
+        assert phrases.stable_order(key).tolist() == np.argsort(key, kind="stable").tolist()
+
+
 @pytest.mark.parametrize("name", ["op11_lexical", "op13_phrases"])
 def test_queries_by_counting(spark, name):
     connection = compare.connect(SF_DIR)
